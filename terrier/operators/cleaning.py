@@ -84,9 +84,12 @@ def land_area(text: Column | str, sum_plots: bool = False) -> Column:
     return fill_missing_zero(parse_number(sum_multi_plot(bare) if sum_plots else collapse_multi_plot(bare)))
 
 
-def clean_transactions(raw: DataFrame, sum_plots: bool = False) -> DataFrame:
+def clean_transactions(raw: DataFrame, sum_plots: bool = False, dedupe: bool = True) -> DataFrame:
     """Raw sales to the cleaned schema, in one lazy plan with one shuffle.
 
+    ``dedupe=False`` leaves copies in and needs no shuffle, for consumers that take distinct values
+    anyway.
+
     Every filter reads only columns that take part in the row comparison, so it commutes with the
     de-duplication and is written before it: rows that will be dropped never reach the shuffle. The
     two land-use texts are constant after their filter and leave the comparison too.
@@ -109,7 +112,7 @@ def clean_transactions(raw: DataFrame, sum_plots: bool = False) -> DataFrame:
     kept = kept.filter(
         parsed.isNotNull() & (F.col("n_pieces").try_cast("int") > 0) & F.col("id_ville").try_cast("int").isNotNull()
     )
-    unique = dedupe_transactions(kept)
+    unique = dedupe_transactions(kept) if dedupe else kept
     return cast_schema(
         unique.select(
             parsed.cast("date").alias("date_transaction"),
@@ -160,50 +163,49 @@ def agg_tax_by_city(joined: DataFrame) -> DataFrame:
     )
 
 
-def clean_tax_households(table: DataFrame, mapping: DataFrame, match_department: bool = False) -> DataFrame:
-    """Tax means by city: the same numbers as joining on the name and then averaging.
+def _means_by_city(
+    table: DataFrame, mapping: DataFrame, measures: list[str], keys: dict[str, Column], match_department: bool = False
+) -> DataFrame:
+    """Means by city and ``keys``: the same numbers as joining on the name and then averaging.
 
     Sums and counts are taken by commune name (and department, when matched) before the join. A name
     then meets the mapping as one row, so the join output is the size of the mapping however many
     rows a name has, and no group of homonyms is multiplied out.
     """
-    measures = ["n_foyers_fiscaux", "revenu_fiscal_moyen"]
+    names = ["ville", "_dep"] if match_department else ["ville"]
     named = table.select(
         upper_name("ville").alias("ville"),
-        parse_integer("departement").alias("_dep"),
-        *[F.col(m).cast("double").alias(m) for m in measures],
+        *([parse_integer("departement").alias("_dep")] if match_department else []),
+        *[key.alias(name) for name, key in keys.items()],
+        *[F.col(f"`{m}`").cast("double").alias(m) for m in measures],
     )
-    keys = ["ville", "_dep"] if match_department else ["ville"]
-    parts = [F.sum(m).alias(f"_sum_{m}") for m in measures]
-    parts += [F.count(m).alias(f"_n_{m}") for m in measures]
-    by_name = named.groupBy(*keys).agg(*parts)
+    parts = [F.sum(f"`{m}`").alias(f"_sum_{m}") for m in measures]
+    parts += [F.count(f"`{m}`").alias(f"_n_{m}") for m in measures]
+    by_name = named.groupBy(*names, *keys).agg(*parts)
     cities = mapping
     if match_department:
         own = F.regexp_extract("unique_city_id", r"^\(([^,]+),", 1)
         cities = mapping.withColumn("_dep", parse_integer(own))
-    joined = by_name.join(cities, keys, "inner")
-    means = [F.try_divide(F.sum(f"_sum_{m}"), F.sum(f"_n_{m}")).alias(m) for m in measures]
-    return cast_schema(joined.groupBy("unique_city_id").agg(*means), TAX_BY_CITY)
+    means = [F.try_divide(F.sum(f"`_sum_{m}`"), F.sum(f"`_n_{m}`")).alias(m) for m in measures]
+    return by_name.join(cities, names, "inner").groupBy("unique_city_id", *keys).agg(*means)
 
 
-def tax_features_by_year(table: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Tax rows by city and January month number of their year."""
-    return _yearly_by_city(table, mapping, ["departement"])
+_TAX_MEASURES = ["n_foyers_fiscaux", "revenu_fiscal_moyen"]
+
+
+def clean_tax_households(table: DataFrame, mapping: DataFrame, match_department: bool = False) -> DataFrame:
+    """Mean household count and income of each city over all years."""
+    return cast_schema(_means_by_city(table, mapping, _TAX_MEASURES, {}, match_department), TAX_BY_CITY)
 
 
 def agg_tax_by_year_city(table: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Mean of the tax columns by year start and city, summed by name and year before the join."""
-    measures = ["n_foyers_fiscaux", "revenu_fiscal_moyen"]
-    named = table.select(
-        parse_year("date").alias("date"),
-        upper_name("ville").alias("ville"),
-        *[F.col(m).cast("double").alias(m) for m in measures],
-    )
-    parts = [F.sum(m).alias(f"_sum_{m}") for m in measures]
-    parts += [F.count(m).alias(f"_n_{m}") for m in measures]
-    joined = named.groupBy("ville", "date").agg(*parts).join(mapping, "ville", "inner")
-    means = [F.try_divide(F.sum(f"_sum_{m}"), F.sum(f"_n_{m}")).alias(m) for m in measures]
-    return joined.groupBy("date", "unique_city_id").agg(*means)
+    """Mean of the tax columns by year start and city."""
+    return _means_by_city(table, mapping, _TAX_MEASURES, {"date": parse_year("date")})
+
+
+def tax_features_by_year(table: DataFrame, mapping: DataFrame) -> DataFrame:
+    """Tax rows by city and January month number of their year."""
+    return _yearly_by_city(table, mapping, ["departement"])
 
 
 def rents_features(table: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -216,6 +218,13 @@ def _yearly_by_city(table: DataFrame, mapping: DataFrame, drop: list[str]) -> Da
     return joined.withColumn("year_month_numeric", (parse_integer("date") * 12 + 1).cast("int")).drop("date")
 
 
+def rents_by_month(table: DataFrame, mapping: DataFrame) -> DataFrame:
+    """Mean rents by city and month number, averaged by name before the join."""
+    measures = [c for c in table.columns if c not in ("date", "departement", "id_ville", "ville")]
+    month = (parse_integer("date") * 12 + 1).cast("int")
+    return _means_by_city(table, mapping, measures, {"year_month_numeric": month})
+
+
 def pivot_rents(rents: DataFrame, months: list[int] | None = None) -> DataFrame:
     """Mean rents by city with one column per month; without ``months`` Spark looks them up."""
     measures = [c for c in rents.columns if c not in ("unique_city_id", "year_month_numeric")]

@@ -72,13 +72,15 @@ def csv_to_parquet(spark: SparkSession, folder: str, schemas: dict[str, T.Struct
     return converted
 
 
-def read_csv_typed(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+def read_csv_typed(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, header: bool = True
+) -> DataFrame:
     """Typed CSV read that skips lines with too many fields and pads short lines with NULL.
 
     One extra trailing column catches surplus fields; a row that fills it is a bad line.
     """
     wide = T.StructType(schema.fields + [T.StructField(_OVERFLOW, T.StringType())])
-    rows = spark.read.csv(path, schema=wide, header=True, mode="PERMISSIVE")
+    rows = spark.read.csv(path, schema=wide, header=header, mode="PERMISSIVE")
     return rows.filter(F.col(_OVERFLOW).isNull()).drop(_OVERFLOW)
 
 
