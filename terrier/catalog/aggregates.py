@@ -47,9 +47,10 @@ def table_profile(t):
     return profiling.table_profile(t.raw.select(*_TYPES))
 
 
-@query("quantile", "select 0.7::double as share, quantile_cont(l_extendedprice, 0.7) as value from lineitem")
+@query("quantile", "select 0.7::double as share, round(quantile_cont(l_extendedprice, 0.7), 6) as value from lineitem")
 def quantile(t):
-    return profiling.quantile(t["lineitem"], "l_extendedprice", 0.7)
+    found = profiling.quantile(t["lineitem"], "l_extendedprice", 0.7)
+    return found.select("share", F.round("value", 6).alias("value"))
 
 
 @query(

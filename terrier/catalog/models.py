@@ -76,6 +76,9 @@ class _Trained:
         done = preprocessing.apply_preprocessor(rows, self.fitted, keep=[modelling.TARGET])
         return preprocessing.encode_labels(done, self.fitted)
 
+    def scored_test(self, model) -> DataFrame:
+        return modelling.predict(modelling.drop_non_finite(self.encoded(self.test), modelling.TARGET), model)
+
     def gbt(self):
         rows = modelling.drop_non_finite(self.encoded(self.train), modelling.TARGET)
         labelled = splits.validation_split(rows).withColumn("is_validation", F.col("part") == "validation")
@@ -97,7 +100,7 @@ def train_gbt(t):
 @query("train_embedding_model")
 def train_embedding_model(t):
     trained = _Trained(t)
-    return modelling.evaluate(modelling.predict(trained.encoded(trained.test), trained.embedding()))
+    return modelling.evaluate(trained.scored_test(trained.embedding()))
 
 
 @query("score_batch")
@@ -130,7 +133,7 @@ def save_model(t):
     trained, root = _Trained(t), t.scratch("registry")
     registry.save_model(trained.gbt(), root, "gbt", "20240101-000000")
     model = registry.load_latest_model(t.spark, root, "gbt")
-    return modelling.evaluate(modelling.predict(trained.encoded(trained.test), model))
+    return modelling.evaluate(trained.scored_test(model))
 
 
 @query(

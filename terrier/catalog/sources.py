@@ -59,7 +59,7 @@ def ingest_chunks(t):
 
 @query(
     "read_batches",
-    "select l_returnflag, count(*) as n, sum(cast(l_quantity as bigint)) as quantity from lineitem group by l_returnflag",
+    "select l_returnflag, count(*) as n, cast(sum(l_quantity) as bigint) as quantity from lineitem group by l_returnflag",
 )
 def read_batches(t):
     lines = tables.read_batches(t.spark, f"{t.folder}/lineitem.parquet")

@@ -51,7 +51,7 @@ def _sale(text: str, day: str) -> list[str]:
 def raw_transactions(lineitem: DataFrame) -> DataFrame:
     """Raw sales; every tenth order is listed twice."""
     copies = lineitem.withColumn("_copy", F.explode(F.expr("sequence(1, if(l_orderkey % 10 = 0, 2, 1))")))
-    return copies.selectExpr(*_sale("string", "date_format(l_shipdate, 'yyyy-MM-dd')"))
+    return copies.selectExpr(*_sale("string", "cast(cast(l_shipdate as date) as string)"))
 
 
 def tax_households(supplier: DataFrame) -> DataFrame:

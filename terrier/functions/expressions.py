@@ -1,7 +1,9 @@
 """Scalar expressions of the cleaning and feature steps.
 
 Each function takes a column (or its name) and returns a column built from SQL built-ins, so
-Catalyst can fold, push down and compile it. No Python runs per row.
+Catalyst can fold, push down and compile it. No Python runs per row. Where an argument may be costly
+(a parsed text), the expression refers to it once: branches of a ``CASE`` are not shared subexpressions
+in compiled code, so each further mention would evaluate it again.
 """
 
 from __future__ import annotations
@@ -62,8 +64,7 @@ def _col(value: Column | str) -> Column:
 
 
 def nan_to_null(value: Column | str) -> Column:
-    value = _col(value).cast("double")
-    return F.when(~F.isnan(value), value)
+    return F.nanvl(_col(value).cast("double"), F.lit(None).cast("double"))
 
 
 def is_finite(value: Column | str) -> Column:
@@ -101,8 +102,7 @@ def parse_quarter(text: Column | str) -> Column:
 
 def parse_number(text: Column | str) -> Column:
     """Text to double; text that is not a plain number (``1d`` and ``1f`` included) is NULL."""
-    text = _col(text).cast("string")
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    return F.regexp_extract(_col(text).cast("string"), _NUMBER, 0).try_cast("double")
 
 
 def parse_integer(value: Column | str) -> Column:
@@ -116,8 +116,7 @@ def strip_braces(text: Column | str) -> Column:
 
 def collapse_multi_plot(text: Column | str) -> Column:
     """A list of several plots counts as no plot: text with a comma becomes ``0``."""
-    text = _col(text)
-    return F.when(text.contains(","), F.lit("0")).otherwise(text)
+    return F.regexp_replace(_col(text), r"(?s)^.*,.*$", "0")
 
 
 def sum_multi_plot(text: Column | str) -> Column:

@@ -113,6 +113,8 @@ def clean_transactions(raw: DataFrame, sum_plots: bool = False, dedupe: bool = T
         parsed.isNotNull() & (F.col("n_pieces").try_cast("int") > 0) & F.col("id_ville").try_cast("int").isNotNull()
     )
     unique = dedupe_transactions(kept) if dedupe else kept
+    # A column of its own: the bins mention the parsed area several times.
+    unique = unique.withColumn("_land", land_area("surface_terrains_sols", sum_plots))
     return cast_schema(
         unique.select(
             parsed.cast("date").alias("date_transaction"),
@@ -123,7 +125,7 @@ def clean_transactions(raw: DataFrame, sum_plots: bool = False, dedupe: bool = T
             "type_batiment",
             F.col("n_pieces").cast("int"),
             F.col("surface_habitable").cast("float"),
-            bin_outdoor_area(land_area("surface_terrains_sols", sum_plots)).alias("surface_terrains_sols"),
+            bin_outdoor_area("_land").alias("surface_terrains_sols"),
         ),
         CLEANED,
     )

@@ -67,14 +67,15 @@ def train_gbt(
     train: DataFrame,
     departments: int,
     validation: str | None = "is_validation",
-    patience_tolerance: float = 0.01,
+    validation_tolerance: float = 0.0,
     **params,
 ) -> PipelineModel:
     """Boosted trees on log price over encoded rows.
 
     The department code is nominal; a city code has tens of thousands of levels, more than the
     histogram bins of a distributed tree, so it enters as an ordered number. Codes follow the
-    ``(dep,id)`` text, so a split on them separates neighbouring departments and communes.
+    ``(dep,id)`` text, so a split on them separates neighbouring departments and communes. Rounds
+    stop when the validation error no longer falls.
     """
     _use_shared_checkpoints(train)
     settings = {**GBT_PARAMS, **params}
@@ -91,7 +92,7 @@ def train_gbt(
         featuresCol="features",
         predictionCol="log_price",
         maxBins=max(64, departments + 1),
-        validationTol=patience_tolerance,
+        validationTol=validation_tolerance,
         checkpointInterval=10,
         maxMemoryInMB=512,
         **settings,

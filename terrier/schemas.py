@@ -7,8 +7,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "string": T.StringType(),
+    "double": T.DoubleType(),
+    "float": T.FloatType(),
+    "int": T.IntegerType(),
+    "date": T.DateType(),
+}
+
+
 def _struct(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    """Schema from ``name type`` pairs; unlike the DDL parser it needs no running session."""
+    pairs = [part.split() for part in text.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 # Columns of the raw sales that no later step reads.
@@ -39,7 +50,7 @@ ECONOMIC_RAW = {
     ),
     "taux_endettement": _struct("date int, taux_endettement double"),
     "taux_interet": _struct("date string, taux double"),
-    "flux_nouveaux_emprunts": _struct("date string, `emprunts_M€` double"),
+    "flux_nouveaux_emprunts": _struct("date string, emprunts_M€ double"),
     "indice_reference_loyers": _struct("quarter string, IRL double"),
 }
 

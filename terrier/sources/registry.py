@@ -11,9 +11,15 @@ from pyspark.sql import types as T
 
 from terrier.sources.files import is_complete, list_names
 
-RUNS = T.StructType.fromDDL(
-    """ts string, model_type string, context string, row_count bigint,
-    params map<string,string>, metrics map<string,double>"""
+RUNS = T.StructType(
+    [
+        T.StructField("ts", T.StringType()),
+        T.StructField("model_type", T.StringType()),
+        T.StructField("context", T.StringType()),
+        T.StructField("row_count", T.LongType()),
+        T.StructField("params", T.MapType(T.StringType(), T.StringType())),
+        T.StructField("metrics", T.MapType(T.StringType(), T.DoubleType())),
+    ]
 )
 
 
