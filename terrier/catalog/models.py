@@ -81,12 +81,14 @@ class _Trained:
 
     def gbt(self):
         rows = modelling.drop_non_finite(self.encoded(self.train), modelling.TARGET)
-        labelled = splits.validation_split(rows).withColumn("is_validation", F.col("part") == "validation")
-        return modelling.train_gbt(labelled, self.departments, **_ROUNDS)
+        parts = scratch.settle(splits.validation_split(rows), "fit_validation")
+        return modelling.train_gbt(
+            parts.filter("part = 'fit'"), self.departments, parts.filter("part = 'validation'"), **_ROUNDS
+        )
 
     def embedding(self):
         return modelling.train_embedding_model(
-            self.encoded(self.train), self.departments, self.cities, factor_size=4, max_iter=10
+            scratch.settle(self.encoded(self.train), "encoded"), self.departments, self.cities, factor_size=4, max_iter=20
         )
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.regression import FMRegressor, GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -64,51 +64,68 @@ def _use_shared_checkpoints(df: DataFrame) -> None:
 
 
 def train_gbt(
-    train: DataFrame,
-    departments: int,
-    validation: str | None = "is_validation",
-    validation_tolerance: float = 0.0,
-    **params,
+    fit: DataFrame, departments: int, validation: DataFrame | None = None, patience: int = 5, **params
 ) -> PipelineModel:
     """Boosted trees on log price over encoded rows.
 
     The department code is nominal; a city code has tens of thousands of levels, more than the
     histogram bins of a distributed tree, so it enters as an ordered number. Codes follow the
-    ``(dep,id)`` text, so a split on them separates neighbouring departments and communes. Rounds
-    stop when the validation error no longer falls.
+    ``(dep,id)`` text, so a split on them separates neighbouring departments and communes.
+
+    With validation rows the model ends at the round with the lowest validation error before
+    ``patience`` rounds without improvement. The learner cannot cut a fitted model, so an early end
+    means a second fit with that many rounds and the same seed.
     """
-    _use_shared_checkpoints(train)
+    _use_shared_checkpoints(fit)
     settings = {**GBT_PARAMS, **params}
-    rows = _trainable(train).withColumn("departement", F.col("departement").cast("double"))
-    numeric = VectorAssembler(inputCols=[*NUMERIC_COLUMNS, "unique_city_id"], outputCol="numbers")
-    # A one-level-per-code nominal attribute for the department.
-    rows = rows.withMetadata(
+    rows = _tree_rows(fit).withMetadata(
         "departement",
         {"ml_attr": {"type": "nominal", "name": "departement", "vals": [str(i) for i in range(departments + 1)]}},
     )
+    numeric = VectorAssembler(inputCols=[*NUMERIC_COLUMNS, "unique_city_id"], outputCol="numbers")
     joined = VectorAssembler(inputCols=["numbers", "departement"], outputCol="features")
     learner = GBTRegressor(
         labelCol=TARGET,
         featuresCol="features",
         predictionCol="log_price",
         maxBins=max(64, departments + 1),
-        validationTol=validation_tolerance,
         checkpointInterval=10,
         maxMemoryInMB=512,
         **settings,
     )
+    model = Pipeline(stages=[numeric, joined, learner]).fit(rows)
     if validation is not None:
-        learner = learner.setValidationIndicatorCol(validation)
-    return Pipeline(stages=[numeric, joined, learner]).fit(rows)
+        best = best_round(_validation_losses(model, validation), patience)
+        if best < model.stages[-1].getNumTrees:
+            model = Pipeline(stages=[numeric, joined, learner.setMaxIter(best)]).fit(rows)
+    return model
 
 
-def training_curve(model: PipelineModel, validation: DataFrame) -> DataFrame:
-    """RMSE on validation rows after each round of a boosted-tree model."""
-    rows = _trainable(validation).withColumn("departement", F.col("departement").cast("double"))
+def best_round(losses: list[float], patience: int) -> int:
+    """One-based round with the lowest loss, looking no further than ``patience`` rounds past it."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def _tree_rows(encoded: DataFrame) -> DataFrame:
+    return _trainable(encoded).withColumn("departement", F.col("departement").cast("double"))
+
+
+def _validation_losses(model: PipelineModel, validation: DataFrame) -> list[float]:
+    rows = _tree_rows(validation)
     for stage in model.stages[:-1]:
         rows = stage.transform(rows)
-    losses = model.stages[-1].evaluateEachIteration(rows, "squared")
-    table = [(i + 1, float(loss) ** 0.5) for i, loss in enumerate(losses)]
+    return [float(loss) for loss in model.stages[-1].evaluateEachIteration(rows, "squared")]
+
+
+def training_curve(model: PipelineModel, validation: DataFrame) -> DataFrame:
+    """RMSE on validation rows after each round of a boosted-tree model."""
+    table = [(i + 1, loss**0.5) for i, loss in enumerate(_validation_losses(model, validation))]
     return validation.sparkSession.createDataFrame(table, "round int, rmse double")
 
 
@@ -118,31 +135,38 @@ def train_embedding_model(
     """Factorisation machine over one-hot department and city plus the numeric columns.
 
     It learns one factor vector per department and city, distributed, in sparse form. Rows are
-    encoded with the reserved code for unseen labels, so the vector sizes are fixed by the fit.
+    encoded with the reserved code for unseen labels, so the vector sizes are fixed by the fit. The
+    numeric columns are standardised and the target is centred, which gradient steps need.
     """
     sizes = {"departement": departments + 1, "unique_city_id": cities + 1}
     rows = _trainable(train).withColumns({c: F.col(c).cast("double") for c in sizes})
-    stages = []
+    mean = rows.agg(F.avg(TARGET)).first()[0]
+    encoders = []
     for column, levels in sizes.items():
         # Fit the encoder on the known number of levels, not on a pass over the data.
         levels_table = train.sparkSession.range(levels).select(F.col("id").cast("double").alias(column))
         encoder = OneHotEncoder(inputCol=column, outputCol=f"{column}_vec", dropLast=False, handleInvalid="keep")
-        stages.append(encoder.fit(levels_table))
-    stages.append(
-        VectorAssembler(inputCols=[*NUMERIC_COLUMNS, *[f"{c}_vec" for c in sizes]], outputCol="features")
-    )
+        encoders.append(encoder.fit(levels_table))
     learner = FMRegressor(
-        labelCol=TARGET,
+        labelCol="centred",
         featuresCol="features",
-        predictionCol="log_price",
+        predictionCol="deviation",
         factorSize=factor_size,
         maxIter=max_iter,
         stepSize=0.05,
         miniBatchFraction=1.0,
         seed=seed,
     )
-    prepared = PipelineModel(stages)
-    return PipelineModel([*stages, learner.fit(prepared.transform(rows))])
+    return Pipeline(
+        stages=[
+            *encoders,
+            VectorAssembler(inputCols=NUMERIC_COLUMNS, outputCol="numbers"),
+            StandardScaler(inputCol="numbers", outputCol="scaled", withMean=True, withStd=True),
+            VectorAssembler(inputCols=["scaled", *[f"{c}_vec" for c in sizes]], outputCol="features"),
+            learner,
+            SQLTransformer(statement=f"SELECT *, deviation + {mean!r}D AS log_price FROM __THIS__"),
+        ]
+    ).fit(rows.withColumn("centred", F.col(TARGET) - F.lit(mean)))
 
 
 def squared_error(prediction: str, target: str) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from terrier.operators import cleaning, modelling, preprocessing, splits
 from terrier.operators.enrich import merge_features, rename_features, stateless_features
+from terrier.operators.profiling import min_metric
 from terrier.operators.series import combined_temporal_features
 from terrier.schemas import CITY_MAPPING, MERGED, STATELESS, TAX_BY_CITY, TEMPORAL, TRANSACTIONS_RAW
 from terrier.sources.files import is_complete
@@ -147,15 +148,17 @@ def run_train(spark: SparkSession, layout: Layout, model_type: str = "gbt", **pa
     if model_type not in ("gbt", "embedding"):
         raise ValueError(f"model_type must be gbt or embedding, not {model_type}")
     rows, fitted = _encoded(spark, layout, "train")
-    usable = cleaning.drop_non_finite(rows, TARGET)
-    labelled = splits.validation_split(usable).withColumn("is_validation", F.col("part") == "validation").drop("part")
+    # Written once: every boosting round and both parts read it.
+    parts = materialize(
+        spark,
+        layout.preprocessed("fit_validation"),
+        lambda: splits.validation_split(cleaning.drop_non_finite(rows, TARGET)),
+    )
+    fit, validation = (parts.filter(F.col("part") == p).drop("part") for p in ("fit", "validation"))
     departments = fitted.labels["departement"].count()
-    validation = labelled.filter("is_validation")
-    fit = labelled.filter("not is_validation")
     if model_type == "gbt":
-        model = modelling.train_gbt(labelled, departments, **params)
-        curve = modelling.training_curve(model, validation)
-        rmse = curve.agg(F.min("rmse")).first()[0]
+        model = modelling.train_gbt(fit, departments, validation, **params)
+        rmse = min_metric(modelling.training_curve(model, validation)).first()["rmse"]
     else:
         cities = fitted.labels["unique_city_id"].count()
         model = modelling.train_embedding_model(fit, departments, cities, **params)
