@@ -76,11 +76,13 @@ class Tables:
 
     @cached_property
     def temporal(self) -> DataFrame:
-        return series.combined_temporal_features(
+        """Monthly indicators, computed over all orders once and then read from storage."""
+        monthly = series.combined_temporal_features(
             cleaning.clean_new_mortgages(self.mortgages_raw),
             cleaning.clean_interest_rates(self.rates_raw),
             cleaning.clean_debt_ratio(self.debt_raw),
         )
+        return settle(monthly, "temporal")
 
     @cached_property
     def merged(self) -> DataFrame:

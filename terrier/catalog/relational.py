@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrier.catalog.registry import query
+from terrier.functions import year_month_numeric
 from terrier.operators import cleaning, enrich, splits
 from terrier.schemas import cast_schema
 
@@ -150,21 +151,11 @@ def filter_before_quantile(t):
 
 @query(
     "sort_by_month",
-    """select row_number() over (order by m, n) as place, m, n from (
-      select cast(year(o_orderdate) * 12 + month(o_orderdate) as int) as m, count(*) as n from orders group by 1)""",
+    "select o_orderkey, o_custkey, cast(year(o_orderdate) * 12 + month(o_orderdate) as int) as year_month_numeric from orders",
 )
 def sort_by_month(t):
-    """The sorted table, reduced to what ties leave defined: its months in order with their sizes."""
-    from pyspark.sql import Window
-
-    from terrier.functions import year_month_numeric
-
     months = t["orders"].withColumn("year_month_numeric", year_month_numeric("o_orderdate"))
-    ordered = splits.sort_by_month(months)
-    # One row per month after the count, so the numbering window is small.
-    sizes = ordered.groupBy(F.col("year_month_numeric").alias("m")).agg(F.count("*").alias("n"))
-    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("m", "n")).cast("long")
-    return sizes.select(place.alias("place"), "m", "n")
+    return splits.sort_by_month(months.select("o_orderkey", "o_custkey", "year_month_numeric"))
 
 
 @query("head", "select o_orderkey, o_custkey, o_totalprice from orders order by o_totalprice desc, o_orderkey limit 10")

@@ -20,6 +20,7 @@ from terrier.functions import (
     unique_city_id,
     upper_name,
 )
+from terrier.operators.ranks import sort_spread
 from terrier.operators.series import align_to_spine, interpolate_linear, month_spine
 from terrier.schemas import CITY_MAPPING, CLEANED, TAX_BY_CITY, UNUSED_RAW_COLUMNS, cast_schema
 
@@ -45,7 +46,7 @@ def filter_rooms(df: DataFrame) -> DataFrame:
 
 def filter_by_type(df: DataFrame, building_type: str, by: str = "date_transaction") -> DataFrame:
     """Sales of one building type in time order."""
-    return df.filter(F.col("type_batiment") == building_type).orderBy(by)
+    return sort_spread(df.filter(F.col("type_batiment") == building_type), by)
 
 
 def filter_point(df: DataFrame, column: str, value) -> DataFrame:

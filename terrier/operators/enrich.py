@@ -8,10 +8,19 @@ from pyspark.sql import functions as F
 from terrier.functions import log_target, month_cos, month_sin, unique_city_id, year_month_numeric
 from terrier.schemas import MERGED, STATELESS, cast_schema
 
-# Rows of a month table: one per calendar month of the years 1 to 9999.
+# Rows of a month table: one per calendar month of the years 1 to 9999, a few megabytes.
 MAX_MONTHS = 12 * 9999
 
 
+def broadcast_within(df: DataFrame, rows: int) -> DataFrame:
+    """Mark a table for broadcast if it has at most ``rows`` rows, else leave the join to Catalyst.
+
+    The check is a count that stops at the limit; pass a written table, so that it is not computed
+    twice.
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def stateless_features(cleaned: DataFrame) -> DataFrame:
     """Time, city and price features of each sale; the other columns pass through."""
     date = "date_transaction"
@@ -35,10 +44,10 @@ def stateless_features(cleaned: DataFrame) -> DataFrame:
 def join_temporal(sales: DataFrame, temporal: DataFrame, on: str = "year_month_numeric") -> DataFrame:
     """Inner join with the monthly indicators.
 
-    The indicator table has one row per month (see ``MAX_MONTHS``): a few megabytes at the very
-    most, whatever the number of sales, so the broadcast is bounded and the sales are not shuffled.
+    An indicator table has one row per month, whatever the number of sales. That bound is checked;
+    within it the table is broadcast and the sales are not shuffled.
     """
-    return sales.join(F.broadcast(temporal), on, "inner")
+    return sales.join(broadcast_within(temporal, MAX_MONTHS), on, "inner")
 
 
 def join_tax_households(sales: DataFrame, tax: DataFrame, on: str = "unique_city_id") -> DataFrame:

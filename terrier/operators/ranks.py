@@ -155,6 +155,16 @@ def row_hash(columns: list[str]) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*[F.col(f"`{c}`") for c in columns]), 64 - HASH_BITS)
 
 
+def sort_spread(df: DataFrame, order_by: str) -> DataFrame:
+    """Whole table in key order.
+
+    Equal keys are ordered by row hash and copies by the partition they come from, so the range
+    shuffle can cut through a hot key and through a hot group of copies.
+    """
+    tied = df.withColumns({"_hash": row_hash(df.columns), "_from": F.spark_partition_id()})
+    return tied.orderBy(order_by, "_hash", "_from").drop("_hash", "_from")
+
+
 def label_by_position(
     df: DataFrame, order_by: str, cuts: Callable[[int], list[int]], label: str = "segment"
 ) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrier.operators.ranks import exact_quantiles, label_by_position, row_hash
+from terrier.operators.ranks import exact_quantiles, label_by_position, sort_spread
 
 MONTH = "year_month_numeric"
 
@@ -87,13 +87,8 @@ def kfold_contiguous(df: DataFrame, order_by: str, folds: int = 5) -> DataFrame:
 
 
 def sort_by_month(df: DataFrame, order_by: str = MONTH) -> DataFrame:
-    """Whole table in key order.
-
-    Equal keys are ordered by row hash and copies by the partition they come from, so the range
-    shuffle can cut through a hot month and through a hot group of copies.
-    """
-    tied = df.withColumns({"_hash": row_hash(df.columns), "_from": F.spark_partition_id()})
-    return tied.orderBy(order_by, "_hash", "_from").drop("_hash", "_from")
+    """Whole table in month order."""
+    return sort_spread(df, order_by)
 
 
 def head(df: DataFrame, rows: int, order_by: list[str]) -> DataFrame:

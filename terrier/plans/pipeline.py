@@ -119,7 +119,7 @@ def run_preprocess(spark: SparkSession, layout: Layout) -> tuple[DataFrame, Data
         complete = cleaning.drop_missing_subset(merged, ["n_tax_households", "average_tax_income"])
         return splits.temporal_split(complete)
 
-    parts = materialize(spark, layout.split, split)
+    parts = materialize(spark, layout.split, split, partition_by=["part"])
     train = parts.filter(F.col("part") == "train").drop("part")
     test = parts.filter(F.col("part") == "test").drop("part")
     if not is_complete(spark, f"{layout.preprocessor}/numbers"):
@@ -153,6 +153,7 @@ def run_train(spark: SparkSession, layout: Layout, model_type: str = "gbt", **pa
         spark,
         layout.preprocessed("fit_validation"),
         lambda: splits.validation_split(cleaning.drop_non_finite(rows, TARGET)),
+        partition_by=["part"],
     )
     fit, validation = (parts.filter(F.col("part") == p).drop("part") for p in ("fit", "validation"))
     departments = fitted.labels["departement"].count()

@@ -29,10 +29,12 @@ def materialize(
     build: Callable[[], DataFrame],
     schema: T.StructType | None = None,
     require_rows: bool = False,
+    partition_by: list[str] | None = None,
 ) -> DataFrame:
     """Reuse a finished stage, else compute, write and re-read it.
 
-    With ``require_rows`` an existing but empty stage is computed again.
+    With ``require_rows`` an existing but empty stage is computed again. ``partition_by`` lays the
+    stage out so that a filter on those columns reads only its part.
     """
     if is_complete(spark, path):
         stage = read_stage(spark, path, schema)
@@ -41,7 +43,7 @@ def materialize(
     built = build()
     if schema is not None:
         expect_schema(built, schema)
-    write_parquet(built, path)
+    write_parquet(built, path, partition_by=partition_by)
     return read_stage(spark, path, schema or built.schema)
 
 

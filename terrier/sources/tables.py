@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,7 +59,15 @@ def _read_csv_by_name(spark: SparkSession, path: str, schema: T.StructType | Non
     known = [f for f in schema if f.name in text.columns]
     if len(known) < len(schema):
         return spark.read.csv(path, header=True, inferSchema=True)
-    return text.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in known])
+    return text.select(*[_typed(f) for f in known])
+
+
+def _typed(field: T.StructField) -> Column:
+    value = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.IntegralType):
+        # A whole-number column with gaps is often written as 2014.0.
+        value = F.coalesce(value.try_cast(field.dataType), value.try_cast("double").try_cast(field.dataType))
+    return value.try_cast(field.dataType).alias(field.name)
 
 
 def csv_to_parquet(spark: SparkSession, folder: str, schemas: dict[str, T.StructType] | None = None) -> dict[str, DataFrame]:
