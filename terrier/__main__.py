@@ -1,4 +1,4 @@
-"""Command line: ``spark-submit -m terrier <step> --root <folder>`` runs one pipeline step."""
+"""Command line: ``python -m terrier <step> --root <folder>`` runs one pipeline step."""
 
 from __future__ import annotations
 
