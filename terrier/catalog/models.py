@@ -6,6 +6,8 @@ to convergence is a matter of the ``maxIter`` parameter.
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -80,7 +82,7 @@ class _Trained:
         done = preprocessing.apply_preprocessor(rows, self.fitted, keep=[modelling.TARGET])
         return preprocessing.encode_labels(done, self.fitted)
 
-    def scored_test(self, model) -> DataFrame:
+    def scored_test(self, model: PipelineModel) -> DataFrame:
         return modelling.predict(modelling.drop_non_finite(self.encoded(self.test), modelling.TARGET), model)
 
     def gbt(self):
@@ -109,18 +111,56 @@ def train_embedding_model(t):
     return modelling.evaluate(trained.scored_test(trained.embedding()))
 
 
-@query("score_batch")
+def _formula_model(t: Tables, statement: str) -> PipelineModel:
+    """A model with a known formula, so that the path around the model can be checked in SQL."""
+    return Pipeline(stages=[SQLTransformer(statement=statement)]).fit(t.spark.range(1))
+
+
+_FORMULA = """8 + 0.1D * n_rooms + 0.2D * living_area + 0.05D * building_type + 0.001D * departement
+  + 0.0001D * unique_city_id"""
+
+_SCORED = """select {columns}, round(y, 6) as log_price, round(exp(y), 3) as price_per_sq_meter from (
+  select m.*, 8 + 0.1::double * cast((n_rooms - r0) / (r1 - r0) as float)::double
+    + 0.2::double * cast((living_area::double - a0) / a1 as float)::double
+    + case when building_type = 'Maison' then 0.05::double else 0 end + 0.001::double * d.code + 0.0001::double * c.code as y
+  from merged m
+    join (select departement, row_number() over (order by departement) - 1 as code
+      from (select distinct departement from merged)) d on d.departement = m.departement
+    join (select unique_city_id, row_number() over (order by unique_city_id) - 1 as code
+      from (select distinct unique_city_id from merged)) c on c.unique_city_id = m.unique_city_id
+    cross join (select min(n_rooms) as r0, max(n_rooms) as r1, avg(living_area::double) as a0,
+      stddev_pop(living_area::double) as a1 from merged))"""
+
+
+def _rounded_scores(df: DataFrame) -> DataFrame:
+    return df.withColumns(
+        {"log_price": F.round("log_price", 6), "price_per_sq_meter": F.round("price_per_sq_meter", 3)}
+    )
+
+
+@query("score_batch", _SCORED.format(columns="unique_city_id, year_month_numeric"), "merged")
 def score_batch(t):
-    trained = _Trained(t)
-    return modelling.score_batch(trained.test, trained.fitted, trained.gbt(), keep=["unique_city_id", "year_month_numeric"])
+    """Every merged row through the fitted preprocessor, the label codes and a formula model."""
+    merged = t.merged_stage
+    model = _formula_model(t, f"SELECT *, {_FORMULA} AS log_price FROM __THIS__")
+    fitted = preprocessing.fit_preprocessor(merged)
+    return _rounded_scores(
+        modelling.score_batch(merged, fitted, model, keep=["unique_city_id", "year_month_numeric"])
+    )
+
+
+_REQUEST_COLUMNS = ["year_month_numeric", "departement", "unique_city_id", "building_type", "n_rooms", "outdoor_area"]
 
 
-@query("score_requests")
+@query("score_requests", _SCORED.format(columns=", ".join(_REQUEST_COLUMNS)), "merged")
 def score_requests(t):
-    trained = _Trained(t)
-    requests = trained.test.select(*SCORING_REQUEST.names)
+    """The same rows as requests, with blanks in their city keys."""
+    merged = t.merged_stage
+    model = _formula_model(t, f"SELECT *, {_FORMULA} AS log_price FROM __THIS__")
+    requests = merged.select(*SCORING_REQUEST.names)
     spaced = requests.withColumn("unique_city_id", F.replace("unique_city_id", F.lit(","), F.lit(", ")))
-    return modelling.score_requests(spaced, trained.fitted, trained.gbt())
+    scored = modelling.score_requests(spaced, preprocessing.fit_preprocessor(merged), model)
+    return _rounded_scores(scored.select(*_REQUEST_COLUMNS, "log_price", "price_per_sq_meter"))
 
 
 @query(
@@ -133,13 +173,23 @@ def normal_city(t):
     return t.raw.select("id_transaction", normal_city_id(spaced).alias("city"))
 
 
-@query("save_model")
+_DOUBLED = "SELECT o_orderkey, o_totalprice * {k} AS log_price FROM __THIS__"
+
+
+@query("save_model", "select o_orderkey, o_totalprice * 2 as log_price from orders")
 def save_model(t):
-    """Predictions of a model that was saved and loaded by its latest name."""
-    trained, root = _Trained(t), t.scratch("registry")
-    registry.save_model(trained.gbt(), root, "gbt", "20240101-000000")
-    model = registry.load_latest_model(t.spark, root, "gbt")
-    return modelling.evaluate(trained.scored_test(model))
+    """A model that was saved and read back from its path."""
+    path = registry.save_model(_formula_model(t, _DOUBLED.format(k=2)), t.scratch("registry"), "gbt", "20240101-000000")
+    return PipelineModel.load(path).transform(t["orders"])
+
+
+@query("load_latest_model", "select o_orderkey, o_totalprice * 3 as log_price from orders")
+def load_latest_model(t):
+    """The latest of two saved models by name, whichever was written last."""
+    root = t.scratch("registry")
+    registry.save_model(_formula_model(t, _DOUBLED.format(k=3)), root, "gbt", "20240102-000000")
+    registry.save_model(_formula_model(t, _DOUBLED.format(k=2)), root, "gbt", "20240101-000000")
+    return registry.load_latest_model(t.spark, root, "gbt").transform(t["orders"])
 
 
 @query(

@@ -12,10 +12,10 @@ from terrier.operators.ranks import exact_quantiles
 
 
 def value_frequencies(df: DataFrame) -> DataFrame:
-    """Share of each distinct row without NULLs; the total comes from the grouped counts."""
+    """Share of each distinct row without NULLs; the total is summed from the grouped counts."""
     columns = [F.col(f"`{c}`") for c in df.columns]
     counts = df.na.drop("any").groupBy(*columns).agg(F.count("*").alias("n"))
-    total = df.na.drop("any").agg(F.count("*").alias("total")).scalar()
+    total = counts.agg(F.sum("n").alias("total")).scalar()
     return counts.select(*columns, (F.col("n") / total).alias("proportion"))
 
 

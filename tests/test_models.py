@@ -43,7 +43,7 @@ def encoded(merged, fitted):
 
 @pytest.fixture(scope="module")
 def gbt(merged, fitted):
-    return modelling.train_gbt(encoded(merged, fitted), 7, maxIter=8, maxDepth=4, stepSize=0.3, minInfoGain=0.0)
+    return modelling.train_gbt(encoded(merged, fitted), 7, maxIter=8, maxDepth=4, stepSize=0.3)
 
 
 def test_trees_learn(merged, fitted, gbt):

@@ -8,7 +8,7 @@ from oracle import compare, connect
 FOLDER = "/root/testdata/sf0.001"
 SQL = spark_entry.oracle_sql()
 # Trained from scratch each; the pipeline test and the model tests cover their parts.
-SLOW = {"run_train", "run_evaluate", "run_predict", "score_batch", "score_requests", "save_model"}
+SLOW = {"run_train", "run_evaluate", "run_predict"}
 
 
 @pytest.fixture(scope="module")
