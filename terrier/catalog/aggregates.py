@@ -76,19 +76,21 @@ def mean_by_department(t):
     return table.withColumn("deviation", F.round("deviation", 3))
 
 
+_DAY = "cast(date_diff('day', date '1970-01-01', cast(o_orderdate as date)) as double)"
+
+
 @query(
     "histogram",
-    """select cast(b as int) as bin, low + b * (high - low) / 80 as low, low + (b + 1) * ((high - low) / 80) as high, coalesce(n, 0) as n
+    f"""select cast(b as int) as bin, low + b * ((high - low) / 80) as low, low + (b + 1) * ((high - low) / 80) as high,
+      coalesce(n, 0) as n
     from range(80) as bins(b)
       left join (select least(floor((v - low) / (high - low) * 80), 79) as bin, count(*) as n from (
-        select cast(epoch(o_orderdate) as double) as v, min(epoch(o_orderdate)) over () as low,
-          max(epoch(o_orderdate)) over () as high from orders) group by 1) on b = bin
-      cross join (select min(epoch(o_orderdate)) as low, max(epoch(o_orderdate)) as high from orders)""",
+        select {_DAY} as v, min({_DAY}) over () as low, max({_DAY}) over () as high from orders) group by 1) on b = bin
+      cross join (select min({_DAY}) as low, max({_DAY}) as high from orders)""",
 )
 def histogram(t):
-    seconds = F.unix_timestamp(F.col("o_orderdate").cast("timestamp")).cast("double")
-    bins = profiling.histogram(t["orders"].select(seconds.alias("day")), "day", 80)
-    return bins
+    day = F.unix_date(F.col("o_orderdate").cast("date")).cast("double")
+    return profiling.histogram(t["orders"].select(day.alias("day")), "day", 80)
 
 
 _BOX = """select '{c}' as column, min({c}) filter ({c} >= q1 - 1.5 * (q3 - q1)) as low, any_value(q1) as q1,

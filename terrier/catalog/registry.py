@@ -16,7 +16,11 @@ SQL: dict[str, str] = {}
 
 
 class Tables:
-    """Test tables and the stand-in tables and stages derived from them, all lazy."""
+    """Test tables and the stand-in tables and stages derived from them.
+
+    All are lazy except the small ones that several steps read: the economic series and the two
+    lookups are computed from the whole tables once, written, and read back.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
@@ -55,19 +59,19 @@ class Tables:
 
     @cached_property
     def debt_raw(self) -> DataFrame:
-        return standins.debt_ratio(self["orders"])
+        return settle(standins.debt_ratio(self["orders"]), "debt")
 
     @cached_property
     def rates_raw(self) -> DataFrame:
-        return standins.interest_rates(self["orders"])
+        return settle(standins.interest_rates(self["orders"]), "rates")
 
     @cached_property
     def mortgages_raw(self) -> DataFrame:
-        return standins.new_mortgages(self["orders"])
+        return settle(standins.new_mortgages(self["orders"]), "mortgages")
 
     @cached_property
     def quarters_raw(self) -> DataFrame:
-        return standins.rent_index(self["orders"])
+        return settle(standins.rent_index(self["orders"]), "quarters")
 
     @cached_property
     def tax(self) -> DataFrame:

@@ -73,6 +73,7 @@ def merge_features(
 
 def rename_features(merged: DataFrame) -> DataFrame:
     """English names in the merged order."""
+    # Name of each source column in the merged table.
     names = {
         "type_batiment": "building_type",
         "n_pieces": "n_rooms",

@@ -174,7 +174,8 @@ def label_by_position(
     looking into: everything before or after it is settled by a comparison with a constant, so the
     big table is neither sorted nor shuffled, and a filter on the label pushes down to the key.
     Copies of one row at a cut are counted, divided, and written out again in bounded pieces.
-    ``order_by`` must be numeric without missing values; whole numbers up to 2**53.
+    ``order_by`` must be numeric without missing values; whole numbers up to 2**53. ``df`` is read
+    several times, so pass a table that is cheap to read and the same each time, such as a stage.
     """
     seen = extent(df, order_by)
     if seen.missing:

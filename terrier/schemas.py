@@ -22,7 +22,7 @@ def _struct(text: str) -> T.StructType:
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
-# Columns of the raw sales that no later step reads.
+# Columns of the raw sales that no later step reads.
 UNUSED_RAW_COLUMNS = [
     "id_transaction",
     "code_postal",
