@@ -162,3 +162,22 @@ def test_rents(spark):
     by_name = cleaning.pivot_rents(cleaning.rents_by_month(rents, mapping), [24217, 24229]).orderBy("unique_city_id").collect()
     assert [tuple(r) for r in by_join] == [("(11,339)", 15.0, 30.0), ("(93,66)", 15.0, 30.0)]
     assert by_join == by_name
+
+
+def test_a_hot_name_gives_the_same_means_as_the_plain_join(spark):
+    """One name holds a third of the tax rows and several cities."""
+    tax = spark.range(900).selectExpr(
+        "cast(2014 + id % 5 as int) as date",
+        "cast(id % 7 as string) as departement",
+        "if(id % 3 = 0, 'Hot', concat('Ville ', id % 40)) as ville",
+        "if(id % 11 = 0, null, cast(id as double)) as n_foyers_fiscaux",
+        "cast(id % 17 as double) as revenu_fiscal_moyen",
+    )
+    mapping = spark.range(60).selectExpr(
+        "if(id < 12, 'HOT', concat('VILLE ', id % 45)) as ville", "concat('(', id % 7, ',', id, ')') as unique_city_id"
+    )
+    for match in (False, True):
+        by_join = cleaning.agg_tax_by_city(cleaning.join_city_names(tax, mapping, match)).orderBy("unique_city_id")
+        by_name = cleaning.clean_tax_households(tax, mapping, match).orderBy("unique_city_id")
+        assert by_join.collect() == by_name.collect()
+        assert by_name.count() > 12

@@ -63,9 +63,18 @@ def test_city_join_is_decided_by_size(spark):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
     try:
-        assert "SortMergeJoin" in plan(enrich.join_tax_households(sales, t.tax))
+        shuffled = enrich.join_tax_households(sales, t.tax)
+        assert "SortMergeJoin" in plan(shuffled)
+        rows = shuffled.count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert enrich.join_tax_households(sales, t.tax).count() == rows
+
+
+def test_month_table_beyond_its_bound_is_not_broadcast(spark):
+    months = spark.range(5).select(F.col("id").cast("int").alias("year_month_numeric"))
+    assert "ResolvedHint" in enrich.broadcast_within(months, 5)._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" not in enrich.broadcast_within(months, 4)._jdf.queryExecution().analyzed().toString()
 
 
 def test_counting_passes_return_bounded_rows(spark, monkeypatch):
