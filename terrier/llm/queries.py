@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from terrier.llm import exact, jaccard
+from terrier.llm import bpe, exact, jaccard, packing
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -15,9 +16,23 @@ def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.jaccard_components(_table(spark, folder, "documents"))
 
 
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), ids=False)
+
+
+def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    words = public_tokenizers.path("byte_bpe_50k.json")
+    return bpe.digests(bpe.decode(bpe.encode(_table(spark, folder, "documents"), words), words))
+
+
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_duplicates(_table(spark, folder, "documents"))
 
 
-QUERIES = {"op5_jaccard_join": op5_jaccard_join, "op9_exact_dedup": op9_exact_dedup}
+QUERIES = {
+    "op5_jaccard_join": op5_jaccard_join,
+    "op6_packing": op6_packing,
+    "op8_bpe": op8_bpe,
+    "op9_exact_dedup": op9_exact_dedup,
+}
 SQL = {"op5_jaccard_join": jaccard.SQL, "op9_exact_dedup": exact.SQL}
