@@ -4,14 +4,25 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from terrier.llm import bpe, exact, jaccard, packing
+from terrier.llm import bpe, chat, exact, jaccard, packing
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    given = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    probe = "</s>[INST] ok [/INST]"
+    more = spark.range(2).selectExpr(
+        "-7L conv_id", "id turn", "if(id = 0, 'user', 'assistant') role", f"'{probe}' text"
+    )
+    messages = given.union(more).withColumn("parts", chat.text_parts(F.col("text")))
+    return chat.digests(chat.read_back(chat.format_chats(messages)))
+
+
 def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.jaccard_components(_table(spark, folder, "documents"))
 
@@ -30,9 +41,10 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_chat_format": op1_chat_format,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_packing": op6_packing,
     "op8_bpe": op8_bpe,
     "op9_exact_dedup": op9_exact_dedup,
 }
-SQL = {"op5_jaccard_join": jaccard.SQL, "op9_exact_dedup": exact.SQL}
+SQL = {"op1_chat_format": chat.SQL, "op5_jaccard_join": jaccard.SQL, "op9_exact_dedup": exact.SQL}
