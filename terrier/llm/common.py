@@ -155,3 +155,70 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         mark = new
     roots = links.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct()
     return roots.union(links.select(F.col("b").alias("node"), F.col("a").alias("component")))
+
+
+def bounded_sample(df: DataFrame, key: str, most: int) -> DataFrame:
+    """At most ``most`` rows, those with the smallest hash of ``key``: the same ones however rows are dealt."""
+    rows = df.count()
+    if rows > most:
+        share = min(1.0, 1.2 * most / rows + 0.001)
+        df = df.filter(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < int(share * (1 << 30)))
+    return df.withColumn("_order", F.pmod(F.xxhash64(key), F.lit(1 << 30))).orderBy("_order", key).limit(most).drop("_order")
+
+
+# ---- words for tokenizers --------------------------------------------------------------------------
+
+
+def portions(texts: list[str], letters: int = 1 << 20):
+    """Slices of ``texts`` of about so many letters, so that lists of words stay small beside long texts."""
+    start, total = 0, 0
+    for i, text in enumerate(texts):
+        total += len(text)
+        if total >= letters:
+            yield slice(start, i + 1)
+            start, total = i + 1, 0
+    if start < len(texts):
+        yield slice(start, len(texts))
+
+
+def split_tail(word: str) -> tuple[str, str]:
+    """``word`` without the punctuation after its last letter or digit, and that punctuation.
+
+    Both tokenizers cut there, so the ids of the two parts are those of the word. A word that ends
+    otherwise, or beyond Latin letters, stays whole.
+    """
+    core = word.rstrip(".,;:!?")
+    return (core, word[len(core) :]) if core and core[-1].isalnum() and core[-1] < "ɐ" else (word, "")
+
+
+class WordIds:
+    """Ids of words, as bytes: each core and each tail is encoded once while it is remembered.
+
+    ``table`` is never forgotten; beside it, at most ``most`` words and as many parts are.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], most: int, table: dict[str, bytes] | None = None):
+        self.encode, self.most, self.table = encode, most, table or {}
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def of(self, split: list[list[str]]) -> list[bytes]:
+        """The ids of each list of words, one after the other."""
+        wanted = set().union(*split)
+        if len(self.words) + len(wanted) > self.most:
+            self.words.clear()
+        if len(self.parts) + len(wanted) > self.most:
+            self.parts.clear()
+        cut = {w: split_tail(w) for w in wanted if w not in self.words}
+        new = {p for pair in cut.values() for p in pair if p and p not in self.table and p not in self.parts}
+        new = list(new)
+        for start in range(0, len(new), 20_000):
+            part = new[start : start + 20_000]
+            self.parts.update(zip(part, self.encode(part), strict=True))
+        for word, (core, tail) in cut.items():
+            self.words[word] = self._part(core) + self._part(tail) if tail else self._part(core)
+        return [b"".join(map(self.words.__getitem__, words)) for words in split]
+
+    def _part(self, part: str) -> bytes:
+        found = self.table.get(part)
+        return self.parts[part] if found is None else found

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrier.llm import bpe, chat, exact, jaccard, packing
+from terrier.llm import bpe, chat, exact, jaccard, packing, pii, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -31,6 +31,11 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), ids=False)
 
 
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, _table(spark, folder, "labels")))
+
+
 def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
     words = public_tokenizers.path("byte_bpe_50k.json")
     return bpe.digests(bpe.decode(bpe.encode(_table(spark, folder, "documents"), words), words))
@@ -40,11 +45,18 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_duplicates(_table(spark, folder, "documents"))
 
 
+def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return pii.digests(pii.detect(docs, pii.fit(docs)))
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_packing": op6_packing,
+    "op7_toxicity": op7_toxicity,
     "op8_bpe": op8_bpe,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_pii": op10_pii,
 }
 SQL = {"op1_chat_format": chat.SQL, "op5_jaccard_join": jaccard.SQL, "op9_exact_dedup": exact.SQL}
