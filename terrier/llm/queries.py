@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrier.llm import bpe, chat, exact, jaccard, packing, pii, toxicity
+from terrier.llm import bpe, chat, exact, jaccard, packing, pii, quality, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -23,6 +23,11 @@ def op1_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digests(chat.read_back(chat.format_chats(messages)))
 
 
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return quality.classify(docs, quality.fit(docs))
+
+
 def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.jaccard_components(_table(spark, folder, "documents"))
 
@@ -52,6 +57,7 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_format": op1_chat_format,
+    "op2_quality": op2_quality,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_packing": op6_packing,
     "op7_toxicity": op7_toxicity,

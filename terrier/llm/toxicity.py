@@ -17,7 +17,7 @@ WIDTH = 8
 GRAMS = (3, 4, 5, 6)
 #: Words averaged together. A text's score is that of its most toxic stretch, so that a few words in a
 #: long text count as much as in a short one; every stretch of the whole text is scored.
-STRETCH = 4
+STRETCH = 2
 #: Labelled rows that the model is fitted on at most.
 FIT_ROWS = 4_000
 #: Words whose value a task remembers at most.
@@ -45,9 +45,9 @@ def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     marked = [b"<" + (w.strip(_EDGE) or w[:8]) + b">" for w in words]
     lengths = np.fromiter(map(len, marked), np.int64, len(marked))
     letters = np.frombuffer(b"".join(marked), np.uint8).astype(np.uint64)
-    owner = np.repeat(np.arange(len(marked)), lengths)
-    ends = np.repeat(np.cumsum(lengths), lengths)
-    at = np.arange(len(letters))
+    owner = np.repeat(np.arange(len(marked), dtype=np.int32), lengths)
+    ends = np.repeat(np.cumsum(lengths).astype(np.int32), lengths)
+    at = np.arange(len(letters), dtype=np.int32)
     buckets, owners = [], []
     with np.errstate(over="ignore"):
         for n in GRAMS:
@@ -56,7 +56,7 @@ def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             for k in range(n):
                 code = (code ^ letters[inside + k]) * np.uint64(0x100000001B3)
                 code ^= code >> np.uint64(29)
-            buckets.append((code * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.int64) % BUCKETS)
+            buckets.append((code * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.int32) % BUCKETS)
             owners.append(owner[inside])
     return np.concatenate(buckets), np.concatenate(owners)
 
@@ -66,7 +66,7 @@ def stretches(n: int) -> np.ndarray:
     return np.linspace(0, n, max(1, round(n / STRETCH)), endpoint=False).astype(np.int64)
 
 
-def train(texts: list[str], labels: np.ndarray, epochs: int = 80, rate: float = 0.05, decay: float = 0.02, seed: int = 7) -> Toxicity:
+def train(texts: list[str], labels: np.ndarray, epochs: int = 80, rate: float = 0.05, decay: float = 0.05, seed: int = 7) -> Toxicity:
     """Embeddings and softmax together, by Adam on all rows at once.
 
     First every stretch carries its text's label; later only the most toxic one of each text does.
