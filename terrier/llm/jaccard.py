@@ -21,6 +21,13 @@ BITS = 2048
 BLOCK = 1024
 
 
+def bitmap(tokens: np.ndarray) -> bytes:
+    """The token bitmap of a set of fingerprints."""
+    bits = np.zeros(BITS, bool)
+    bits[(tokens >> np.uint64(20)) % np.uint64(BITS)] = True
+    return np.packbits(bits).tobytes()
+
+
 def _sketches(docs: DataFrame, width: int) -> DataFrame:
     """doc_id, size, two words that identify the set, the routing sample and the token bitmap."""
 
@@ -29,8 +36,6 @@ def _sketches(docs: DataFrame, width: int) -> DataFrame:
             ids, sizes, low, high, samples, maps = [], [], [], [], [], []
             for key, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
                 found = shingles(words(text), width)
-                bits = np.zeros(BITS, bool)
-                bits[(found >> np.uint64(20)) % np.uint64(BITS)] = True
                 with np.errstate(over="ignore"):
                     sums = [mix(found ^ np.uint64(seed)).sum(dtype=np.uint64).astype(np.int64) for seed in (11, 1013)]
                 ids.append(key)
@@ -38,7 +43,7 @@ def _sketches(docs: DataFrame, width: int) -> DataFrame:
                 low.append(int(sums[0]))
                 high.append(int(sums[1]))
                 samples.append(found[:SAMPLE].astype(np.int64))
-                maps.append(np.packbits(bits).tobytes())
+                maps.append(bitmap(found))
             yield ids, sizes, low, high, samples, maps
 
     schema = "doc_id long, n_shingles long, low long, high long, sample array<long>, bitmap binary"
@@ -174,6 +179,29 @@ def _tree_join(members: DataFrame, percent: int, block: int) -> DataFrame:
     return spread.mapInArrow(run, "a long, b long").distinct()
 
 
+def connect(
+    stars: DataFrame, features: DataFrame, texts: DataFrame, width: int = 5, percent: int = 75, block: int = BLOCK
+) -> DataFrame:
+    """Components (node, component) of the links inside groups.
+
+    ``stars`` (doc_id, pivot) lists the members of each group but its pivot. Each is compared with its
+    pivot; groups whose members are then in several components are searched by signature trees on
+    ``features`` (doc_id, n_shingles, bitmap). All candidates are verified on ``texts`` (doc_id, text).
+    """
+    pairs = stars.select(F.col("pivot").alias("a"), F.col("doc_id").alias("b"))
+    links = settle(_verified(pairs, texts, width, percent), "links")
+    part = settle(components(links, "star_components"), "parts")
+    members = stars.join(part.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
+        "doc_id", "pivot", F.coalesce("component", "doc_id").alias("component")
+    )
+    members = settle(members, "members")
+    mixed = members.groupBy("pivot").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
+    members = members.join(mixed.select("pivot"), "pivot").join(features, "doc_id")
+    rest = settle(_tree_join(members, percent, block), "candidates")
+    more = _verified(rest, texts, width, percent)
+    return components(links.union(more), "link_components")
+
+
 def jaccard_components(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -218,20 +246,8 @@ def jaccard_components(
         "stars",
     )
     texts = source.filter("doc_id is not null")
-    pairs = stars.select(F.col("pivot").alias("a"), F.col("doc_id").alias("b"))
-    links = settle(_verified(pairs, texts, width, percent), "links")
-    part = settle(components(links, "star_components"), "parts")
-    members = stars.join(part.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-        "doc_id", "pivot", F.coalesce("component", "doc_id").alias("component")
-    )
-    members = settle(members, "members")
-    mixed = members.groupBy("pivot").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
-    members = members.join(mixed.select("pivot"), "pivot").join(
-        known.select("doc_id", "n_shingles", "bitmap").dropDuplicates(["doc_id"]), "doc_id"
-    )
-    rest = settle(_tree_join(members, percent, block), "candidates")
-    more = _verified(rest, texts, width, percent)
-    part = components(links.union(more), "link_components").withColumnRenamed("node", "rep")
+    features = known.select("doc_id", "n_shingles", "bitmap").dropDuplicates(["doc_id"])
+    part = connect(stars, features, texts, width, percent, block).withColumnRenamed("node", "rep")
     reach = settle(classes.join(part, "rep", "left").withColumn("component", F.coalesce("component", "rep")), "reach")
     least = sketch.join(reach, key, "left").select("doc_id", "n_shingles", "component")
     return least.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrier.llm import bpe, chat, exact, jaccard, packing, pii, quality, toxicity
+from terrier.llm import bpe, chat, exact, jaccard, neighbours, packing, paragraphs, pii, quality, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -28,6 +28,15 @@ def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(docs, quality.fit(docs))
 
 
+def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return paragraphs.repeated_passages(_table(spark, folder, "documents"))
+
+
+def op4_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _table(spark, folder, "embeddings")
+    return neighbours.nearest(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
 def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.jaccard_components(_table(spark, folder, "documents"))
 
@@ -58,6 +67,8 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_quality": op2_quality,
+    "op3_substring_dedup": op3_substring_dedup,
+    "op4_neighbours": op4_neighbours,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_packing": op6_packing,
     "op7_toxicity": op7_toxicity,
