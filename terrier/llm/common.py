@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -181,44 +184,45 @@ def portions(texts: list[str], letters: int = 1 << 20):
         yield slice(start, len(texts))
 
 
-def split_tail(word: str) -> tuple[str, str]:
-    """``word`` without the punctuation after its last letter or digit, and that punctuation.
-
-    Both tokenizers cut there, so the ids of the two parts are those of the word. A word that ends
-    otherwise, or beyond Latin letters, stays whole.
-    """
-    core = word.rstrip(".,;:!?")
-    return (core, word[len(core) :]) if core and core[-1].isalnum() and core[-1] < "ɐ" else (word, "")
+#: Latin letters up to U+024F. Texts of these, ASCII and other signs below U+0250 but for numbers such as
+#: superscripts are plain: for them, Python's patterns cut where the tokenizers' patterns do.
+LETTERS = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+PLAIN = re.compile("[\x00-\x1b\x20-\u00b1\u00b4-\u00b8\u00ba\u00bb\u00bf-\u012f\u0131-\u024f]*")
 
 
 class WordIds:
-    """Ids of words, as bytes: each core and each tail is encoded once while it is remembered.
+    """Ids of words, as bytes: each word is encoded once while it is remembered.
 
-    ``table`` is never forgotten; beside it, at most ``most`` words and as many parts are.
+    ``table`` is never forgotten; beside it, at most ``most`` words are remembered, in ``memory``.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], most: int, table: dict[str, bytes] | None = None):
-        self.encode, self.most, self.table = encode, most, table or {}
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+    def __init__(
+        self,
+        encode: Callable[[list[str]], list[bytes]],
+        most: int,
+        table: dict[str, bytes] | None = None,
+        memory: dict[str, bytes] | None = None,
+    ):
+        self.encode, self.most, self.own = encode, most, len(table or {})
+        self.table, self.known = table or {}, memory if memory is not None else {}
+        if not self.known:
+            self.known.update(self.table)
 
     def of(self, split: list[list[str]]) -> list[bytes]:
         """The ids of each list of words, one after the other."""
         wanted = set().union(*split)
-        if len(self.words) + len(wanted) > self.most:
-            self.words.clear()
-        if len(self.parts) + len(wanted) > self.most:
-            self.parts.clear()
-        cut = {w: split_tail(w) for w in wanted if w not in self.words}
-        new = {p for pair in cut.values() for p in pair if p and p not in self.table and p not in self.parts}
-        new = list(new)
+        new = list(wanted - self.known.keys())
+        if len(self.known) + len(new) > self.most + self.own:
+            self.known.clear()
+            self.known.update(self.table)
+            new = list(wanted - self.known.keys())
         for start in range(0, len(new), 20_000):
             part = new[start : start + 20_000]
-            self.parts.update(zip(part, self.encode(part), strict=True))
-        for word, (core, tail) in cut.items():
-            self.words[word] = self._part(core) + self._part(tail) if tail else self._part(core)
-        return [b"".join(map(self.words.__getitem__, words)) for words in split]
-
-    def _part(self, part: str) -> bytes:
-        found = self.table.get(part)
-        return self.parts[part] if found is None else found
+            self.known.update(zip(part, self.encode(part), strict=True))
+        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+
+
+def worker_memory(name: str) -> dict:
+    """A dictionary that stays in a Python worker from task to task, for what costs much to compute again."""
+    store = sys.modules.setdefault("_terrier_memory", types.ModuleType("_terrier_memory"))
+    return store.__dict__.setdefault(name, {})

@@ -7,13 +7,14 @@ import os
 import re
 import zlib
 from itertools import count
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrier.llm.common import map_rows
+from terrier.llm.common import LETTERS, PLAIN, WordIds, map_rows, portions, worker_memory
 from terrier.sources.scratch import settle
 
 #: Tokens of a window, of the pieces that the end of a document is cut into, and the documents' ends
@@ -21,17 +22,19 @@ from terrier.sources.scratch import settle
 WINDOW = 2048
 GRAIN = 512
 BATCH = 512
-#: Words whose ids a task remembers at most before it starts afresh.
-MEMORY = 400_000
-#: White space to Python, not to the tokenizer: such texts are encoded whole.
-_ODD = re.compile("[\x1c-\x1f]")
+#: Words whose ids a worker remembers at most before it starts afresh.
+MEMORY = 800_000
+#: The tokenizer's own words, for plain texts in lower case.
+_WORD = re.compile(rf"'(?:s|t|re|ve|m|ll|d)|[{LETTERS}]+|[0-9]|[^\s{LETTERS}0-9]+")
+#: Its special tokens, which it looks for before it cuts words.
+_SPECIAL = ("<|startoftext|>", "<|endoftext|>")
 
 
 def _encoder(vocabulary: str):
     """A function from texts to token ids as little-endian unsigned 32-bit bytes.
 
-    This tokenizer's pre-tokens never span white space, so a text's ids are those of its words, one
-    after the other, and each distinct word of a task is encoded once.
+    A plain text's ids are those of its words, one after the other, so each distinct word is encoded
+    once; other texts are encoded whole.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -40,21 +43,21 @@ def _encoder(vocabulary: str):
         tokenizer = Tokenizer.from_str(file.read())
     tokenizer.no_truncation()
     tokenizer.no_padding()
-    known: dict[str, bytes] = {}
 
     def raw(texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    known = WordIds(raw, MEMORY, memory=worker_memory(f"packing {vocabulary}"))
+
     def encode(texts: list[str]) -> list[bytes]:
-        split = [None if _ODD.search(t) else t.split() for t in texts]
-        new = list(set().union(*(s for s in split if s)) - known.keys())
-        if len(known) + len(new) > MEMORY:
-            known.clear()
-            new = list(set().union(*(s for s in split if s)))
-        for start in range(0, len(new), 20_000):
-            part = new[start : start + 20_000]
-            known.update(zip(part, raw(part), strict=True))
-        return [raw([t])[0] if s is None else b"".join(map(known.__getitem__, s)) for t, s in zip(texts, split, strict=True)]
+        out: list[bytes] = []
+        for part in portions(texts):
+            plain = [bool(PLAIN.fullmatch(t)) and not any(x in t for x in _SPECIAL) for t in texts[part]]
+            # The tokenizer lower-cases; for plain texts that goes letter by letter, before or after.
+            split = [_WORD.findall(t.lower()) if p else [] for t, p in zip(texts[part], plain, strict=True)]
+            found = known.of(split)
+            out += [f if p else raw([t])[0] for t, p, f in zip(texts[part], plain, found, strict=True)]
+        return out
 
     return encode
 
@@ -82,7 +85,7 @@ def difference(sizes: list[int], windows: int) -> list[list[int]]:
         over = max(0, len(a) + len(b) - windows)
         x, y = len(a) - over, len(b) - over
         merged = a[:x] + b[:y] + [(p[0] + q[0], (p[1], q[1])) for p, q in zip(a[x:], reversed(b[y:]), strict=True)]
-        merged.sort(key=lambda part: -part[0])
+        merged.sort(key=itemgetter(0), reverse=True)
         spread = merged[0][0] - (merged[-1][0] if len(merged) == windows else 0)
         heapq.heappush(heap, (-spread, next(order), merged))
     return [_flat(items) for _, items in heap[0][2]] if heap else []
