@@ -8,20 +8,24 @@ from pyspark.sql import functions as F
 
 from terrier.catalog.registry import query
 from terrier.operators import cleaning, profiling
+from terrier.schemas import TRANSACTIONS_RAW
 
 
 @query(
     "value_frequencies",
-    """select date, departement, revenu_fiscal_moyen, count(*) / cast(sum(count(*)) over () as double) as proportion
-    from tax_raw where n_foyers_fiscaux is not null group by date, departement, revenu_fiscal_moyen""",
+    """select date, departement, ville, n_foyers_fiscaux, revenu_fiscal_moyen,
+      count(*) / cast(sum(count(*)) over () as double) as proportion from tax_raw
+    where date is not null and departement is not null and ville is not null and n_foyers_fiscaux is not null
+      and revenu_fiscal_moyen is not null and not isnan(n_foyers_fiscaux) and not isnan(revenu_fiscal_moyen)
+    group by date, departement, ville, n_foyers_fiscaux, revenu_fiscal_moyen""",
     "tax_raw",
 )
 def value_frequencies(t):
-    rows = cleaning.drop_missing_subset(t.tax_raw, ["n_foyers_fiscaux"])
-    return profiling.value_frequencies(rows.select("date", "departement", "revenu_fiscal_moyen"))
+    columns = ["date", "departement", "ville", "n_foyers_fiscaux", "revenu_fiscal_moyen"]
+    return profiling.value_frequencies(t.tax_raw.select(*columns))
 
 
-_PROFILED = ["date_transaction", "prix", "ville", "surface_locaux_industriels", "surface_terrains_sols"]
+_PROFILED = TRANSACTIONS_RAW.names
 
 
 @query(
@@ -33,7 +37,7 @@ def null_profile(t):
     return profiling.null_profile(t.raw.select(*_PROFILED))
 
 
-_TYPES = {"date_transaction": "string", "prix": "double", "ville": "string"}
+_TYPES = {f.name: f.dataType.simpleString() for f in TRANSACTIONS_RAW}
 
 
 @query(

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrier.catalog.registry import query
 from terrier.functions import year_month_numeric
 from terrier.operators import cleaning, enrich, splits
-from terrier.schemas import cast_schema
+from terrier.schemas import MERGED, cast_schema
 
 _KEPT = """date_transaction, prix, departement, id_ville, ville, type_batiment, n_pieces, surface_habitable,
   surface_locaux_industriels, surface_terrains_agricoles, surface_terrains_sols"""
@@ -29,17 +30,26 @@ def drop_join_keys(t):
     return enrich.drop_join_keys(t.tax_raw)
 
 
+_FRACTIONS = {"month_sin", "month_cos", "log_price_per_m2", "average_tax_income", "n_tax_households"}
+
+
+def _rounded_name(field: T.StructField) -> str:
+    return f"round({field.name}, 6) + 0 as {field.name}" if field.name in _FRACTIONS else field.name
+
+
+def _rounded_column(field: T.StructField) -> Column:
+    column = F.col(field.name)
+    return (F.round(column, 6) + 0).alias(field.name) if field.name in _FRACTIONS else column
+
+
 @query(
     "rename_features",
-    """select year_month_numeric, unique_city_id, building_type, n_rooms, outdoor_area, new_mortgages,
-      n_tax_households, average_tax_income from merged""",
+    f"select {', '.join(_rounded_name(f) for f in MERGED)} from merged",
     "merged",
 )
 def rename_features(t):
-    return t.merged.select(
-        "year_month_numeric", "unique_city_id", "building_type", "n_rooms", "outdoor_area", "new_mortgages",
-        "n_tax_households", "average_tax_income",
-    )
+    """All columns of the merged table; computed fractions are rounded on both sides."""
+    return t.merged.select(*[_rounded_column(f) for f in MERGED])
 
 
 @query(

@@ -40,21 +40,24 @@ def csv_to_parquet(t):
     return tables.csv_to_parquet(t.spark, folder, {"customer": customer.schema})["customer_df"]
 
 
+_AWKWARD_SQL = {"adresse": """'RUE "' || id_transaction || '", 5' || chr(10) || 'BIS' as adresse"""}
+
+
 @query(
     "ingest_chunks",
-    """select id_transaction, date_transaction, prix, departement, ville, type_batiment, n_pieces,
-      surface_habitable, surface_locaux_industriels, surface_terrains_sols from raw""",
+    f"select {', '.join(_AWKWARD_SQL.get(c, c) for c in TRANSACTIONS_RAW.names)} from raw",
     "raw",
 )
 def ingest_chunks(t):
+    """Chunks whose addresses hold quotes, commas and line breaks, one with its columns in another order."""
     folder = t.scratch("chunks")
-    raw = t.raw.select(*TRANSACTIONS_RAW.names)
-    for i, kind in enumerate(("Maison", "Appartement")):
-        tables.write_csv(raw.filter(F.col("type_batiment") == kind), f"{folder}/transactions_chunk_{i}.csv")
-    return tables.ingest_chunks(t.spark, folder, f"{folder}/transactions.parquet").select(
-        "id_transaction", "date_transaction", "prix", "departement", "ville", "type_batiment", "n_pieces",
-        "surface_habitable", "surface_locaux_industriels", "surface_terrains_sols",
+    raw = t.raw.select(*TRANSACTIONS_RAW.names).withColumn(
+        "adresse", F.concat(F.lit('RUE "'), F.col("id_transaction"), F.lit('", 5\nBIS'))
     )
+    for i, kind in enumerate(("Maison", "Appartement")):
+        part = raw.filter(F.col("type_batiment") == kind)
+        tables.write_csv(part.select(*raw.columns[:: -1 if i else 1]), f"{folder}/transactions_chunk_{i}.csv")
+    return tables.ingest_chunks(t.spark, folder, f"{folder}/transactions.parquet")
 
 
 @query(
@@ -119,7 +122,7 @@ def materialize(t):
 
 @query("expect_row_count", "select l_linestatus, count(*) as n from lineitem group by l_linestatus")
 def expect_row_count(t):
-    checked = stages.expect_row_count(t["lineitem"], 0, 10**15)
+    checked = stages.expect_row_count(t["lineitem"], 0, t["lineitem"].count() + 1)
     return checked.groupBy("l_linestatus").agg(F.count("*").alias("n"))
 
 

@@ -109,9 +109,12 @@ def clean_transactions(raw: DataFrame, sum_plots: bool = False, dedupe: bool = T
     )
     # NULL land text is a valid "no garden", so it is not among the checked columns.
     kept = drop_missing(filter_rooms(filter_mainland(compared)), [*numbers, "ville", "type_batiment"])
-    # A room count or city number that does not fit an int, or truncates to no room, is missing too.
+    # A room count, city or department number that does not fit an int, or truncates to no room, is missing too.
     kept = kept.filter(
-        parsed.isNotNull() & (F.col("n_pieces").try_cast("int") > 0) & F.col("id_ville").try_cast("int").isNotNull()
+        parsed.isNotNull()
+        & (F.col("n_pieces").try_cast("int") > 0)
+        & F.col("id_ville").try_cast("int").isNotNull()
+        & F.col("departement").try_cast("int").isNotNull()
     )
     unique = dedupe_transactions(kept) if dedupe else kept
     # A column of its own: the bins mention the parsed area several times.

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, VectorAssembler
-from pyspark.ml.regression import FMRegressor, GBTRegressor
+from pyspark.ml.regression import FMRegressor, GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +29,9 @@ GBT_PARAMS = {
     "seed": 42,
 }
 
+# Defaults of the factor model.
+EMBEDDING_PARAMS = {"factor_size": 8, "max_iter": 100, "seed": 42}
+
 # Fixed value: added to each squared error inside the root.
 RMSE_EPSILON = 1e-8
 
@@ -73,8 +77,7 @@ def train_gbt(
     ``(dep,id)`` text, so a split on them separates neighbouring departments and communes.
 
     With validation rows the model ends at the round with the lowest validation error before
-    ``patience`` rounds without improvement. The learner cannot cut a fitted model, so an early end
-    means a second fit with that many rounds and the same seed.
+    ``patience`` rounds without improvement: the later trees are cut off, nothing is fitted twice.
     """
     _use_shared_checkpoints(fit)
     settings = {**GBT_PARAMS, **params}
@@ -97,10 +100,24 @@ def train_gbt(
     if validation is not None:
         best = best_round(_validation_losses(model, validation), patience)
         if best < model.stages[-1].getNumTrees:
-            model = Pipeline(stages=[numeric, joined, learner.setMaxIter(best)]).fit(rows)
+            model = PipelineModel([*model.stages[:-1], _first_rounds(model.stages[-1], best)])
     return model
 
 
+def _first_rounds(model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
+    """The same ensemble without the trees after ``rounds``."""
+    context = SparkContext._active_spark_context
+    whole, jvm = model._java_obj, context._jvm
+    trees = context._gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    weights = context._gateway.new_array(jvm.double, rounds)
+    for i in range(rounds):
+        trees[i], weights[i] = whole.trees()[i], whole.treeWeights()[i]
+    cut = jvm.org.apache.spark.ml.regression.GBTRegressionModel(whole.uid(), trees, weights, whole.numFeatures())
+    for name in ("featuresCol", "predictionCol", "labelCol"):
+        cut.set(cut.getParam(name), whole.getOrDefault(whole.getParam(name)))
+    return GBTRegressionModel(cut)
+
+
 def best_round(losses: list[float], patience: int) -> int:
     """One-based round with the lowest loss, looking no further than ``patience`` rounds past it."""
     best = 0

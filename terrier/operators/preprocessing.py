@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from terrier.functions import category_indicator, scale_minmax, scale_standard
 from terrier.schemas import NUMERIC_COLUMNS, PREPROCESSED, cast_schema
+from terrier.sources.files import clear_mark, set_mark
 from terrier.sources.scratch import settle
 
 MINMAX_COLUMNS = ["n_rooms", "new_mortgages", "debt_ratio", "interest_rates"]
@@ -24,9 +25,6 @@ OUTDOOR_INDICATORS = {
     "small_outdoor_space": "Small outdoor space",
 }
 
-# A categorical column beyond this many values is not one-hot encoded but an error.
-MAX_CATEGORIES = 100
-
 
 @dataclass(frozen=True)
 class FittedPreprocessor:
@@ -40,7 +38,7 @@ class FittedPreprocessor:
 
 def _finite_number(name: str) -> Column:
     value = F.col(f"`{name}`").cast("double")
-    return F.when(~F.isnan(value), value)
+    return F.when(~F.isnan(value) & (F.abs(value) != F.lit(float("inf"))), value)
 
 
 def fit_minmax(df: DataFrame, columns: list[str]) -> dict[str, tuple[float | None, float | None]]:
@@ -79,14 +77,12 @@ def standard_scale(df: DataFrame, columns: list[str], fitted: dict | None = None
 
 
 def fit_categories(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
-    """Sorted distinct non-NULL values of low-cardinality columns."""
-    found = {}
-    for column in columns:
-        values = df.select(column).na.drop().distinct().orderBy(column).limit(MAX_CATEGORIES + 1).collect()
-        if len(values) > MAX_CATEGORIES:
-            raise ValueError(f"{column} has more than {MAX_CATEGORIES} values")
-        found[column] = [row[0] for row in values]
-    return found
+    """Sorted distinct non-NULL values of columns that become one indicator each, in one pass.
+
+    Each value is a column of the result, so the caller names columns of few values.
+    """
+    row = df.agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in columns]).first()
+    return {c: list(row[c]) for c in columns}
 
 
 def one_hot(df: DataFrame, column: str, categories: list[str], prefix: str | None = None) -> DataFrame:
@@ -192,7 +188,11 @@ def numeric_matrix(df: DataFrame, columns: list[str] = NUMERIC_COLUMNS, out: str
 
 
 def save_preprocessor(spark: SparkSession, fitted: FittedPreprocessor, path: str) -> None:
-    """Fitted state as Parquet tables: one of numbers, one of categories, one per label column."""
+    """Fitted state as Parquet tables: one of numbers, one of categories, one per label column.
+
+    A mark is written last; without it, the state counts as not there.
+    """
+    clear_mark(spark, path)
     numbers = [("minmax", c, *pair) for c, pair in fitted.minmax.items()]
     numbers += [("moments", c, *pair) for c, pair in fitted.moments.items()]
     categories = [(c, i, v) for c, values in fitted.categories.items() for i, v in enumerate(values)]
@@ -203,6 +203,7 @@ def save_preprocessor(spark: SparkSession, fitted: FittedPreprocessor, path: str
     }
     for name, table in tables.items():
         table.write.mode("overwrite").parquet(f"{path}/{name}")
+    set_mark(spark, path)
 
 
 def load_preprocessor(spark: SparkSession, path: str) -> FittedPreprocessor:

@@ -1,8 +1,8 @@
 """Monthly series: spine, alignment, linear interpolation, quarters.
 
 A series holds one row per month of the calendar, so it has at most 12 x 9999 rows whatever the size
-of the data it was aggregated from. That bound is what allows the small windows and the broadcasts
-here. Pass ``key`` when a table holds several series; every window is then partitioned by it.
+of the data it was aggregated from. ``expect_unique`` enforces that where a series comes in; it is what
+allows the small windows and the broadcasts here. Pass ``key`` when a table holds several series; every window is then partitioned by it.
 """
 
 from __future__ import annotations
@@ -28,9 +28,20 @@ def month_spine(series: DataFrame, key: list[str] | None = None) -> DataFrame:
     return bounds.filter(F.col("_first") <= F.col("_last")).select(*key, F.explode(months).alias("month"))
 
 
+def expect_unique(series: DataFrame, key: list[str]) -> None:
+    """Raise with the first few keys that stand in several rows. With it, a series has a row per month."""
+    double = series.groupBy(*key).count().filter("count > 1").orderBy(*key).limit(5).collect()
+    if double:
+        raise ValueError(f"repeated {', '.join(key)}: {'; '.join(str(tuple(r)[:-1]) for r in double)}")
+
+
 def align_to_spine(spine: DataFrame, series: DataFrame, values: list[str], key: list[str] | None = None) -> DataFrame:
-    """Values of a series on the spine; months without an exact date are NULL, other dates vanish."""
+    """Values of a series on the spine; months without an exact date are NULL, other dates vanish.
+
+    A date that the series holds twice would double every month it is joined to, so it raises.
+    """
     key = key or []
+    expect_unique(series, [*key, "month"])
     return spine.join(series.select(*key, "month", *[f"`{v}`" for v in values]), [*key, "month"], "left")
 
 
@@ -93,9 +104,10 @@ def combined_temporal_features(mortgages: DataFrame, rates: DataFrame, debt: Dat
 def expand_quarters(quarters: DataFrame, value: str = "IRL", key: list[str] | None = None) -> DataFrame:
     """Quarterly values to three months each, stepping a third of the way to the next quarter.
 
-    The last quarter has no next one and yields nothing.
+    The last quarter has no next one and yields nothing. A repeated quarter raises.
     """
     key = key or []
+    expect_unique(quarters, [*key, "quarter"])
     order = Window.partitionBy(*(key or [F.lit(0)])).orderBy("quarter")
     stepped = quarters.withColumn("_next", F.lead(value).over(order))
     stepped = stepped.withColumn("_quarters", F.lead("quarter").over(order)).filter(F.col("_quarters").isNotNull())

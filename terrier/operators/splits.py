@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrier.operators.ranks import exact_quantiles, label_by_position, sort_spread
+from terrier.operators.ranks import exact_quantiles, label_by_position, sort_spread, row_hash
 
 MONTH = "year_month_numeric"
 
@@ -103,8 +103,11 @@ def row_at(df: DataFrame, position: int, order_by: str) -> DataFrame:
 
 
 def sample_one(df: DataFrame, seed: int, by: list[str]) -> DataFrame:
-    """One row picked by a seeded digest of the ``by`` columns: same seed, same row."""
+    """One row picked by a seeded digest of the ``by`` columns: same seed, same row.
+
+    Rows that tie there are ordered by their hash and then by all columns, so only copies of a row tie.
+    """
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(f"`{c}`").cast("string") for c in by]))
-    return df.orderBy(digest, *by).limit(1)
+    return df.orderBy(digest, *by, row_hash(df.columns), *[F.col(f"`{c}`") for c in df.columns]).limit(1)
 
 

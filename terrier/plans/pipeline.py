@@ -13,7 +13,7 @@ from terrier.operators.enrich import merge_features, rename_features, stateless_
 from terrier.operators.profiling import min_metric
 from terrier.operators.series import combined_temporal_features
 from terrier.schemas import CITY_MAPPING, MERGED, STATELESS, TAX_BY_CITY, TEMPORAL, TRANSACTIONS_RAW
-from terrier.sources.files import is_complete
+from terrier.sources.files import has_mark, is_complete
 from terrier.sources.registry import load_latest_model, log_run, save_model
 from terrier.sources.stages import expect_row_count, materialize, read_stage, require_stage
 from terrier.sources.tables import ingest_chunks, load_tables, write_parquet
@@ -71,10 +71,11 @@ def run_extract(spark: SparkSession, layout: Layout) -> DataFrame:
     return ingest_chunks(spark, layout.chunks, layout.transactions, TRANSACTIONS_RAW)
 
 
-def run_clean(spark: SparkSession, layout: Layout, rows: tuple[int, int] | None = (7_000_000, 9_000_000)) -> DataFrame:
+def run_clean(spark: SparkSession, layout: Layout, rows: tuple[int, int] | None = None) -> DataFrame:
     """Cleaned sales with stateless features, city mapping, and the four economic tables.
 
-    A finished cleaned stage is reused after its row count passes the gate.
+    A finished cleaned stage is reused; with ``rows`` (low, high) its row count has to lie between them.
+    An empty one is computed again, from the raw table on.
     """
     target = layout.cleaned("transactions_df")
     if is_complete(spark, target) and not (stage := read_stage(spark, target, STATELESS)).isEmpty():
@@ -83,7 +84,7 @@ def run_clean(spark: SparkSession, layout: Layout, rows: tuple[int, int] | None
     else:
         raw = require_stage(spark, layout.transactions, "run_extract first", TRANSACTIONS_RAW)
         # The de-duplicated sales feed two outputs: written once, then both read narrow columns of it.
-        sales = materialize(spark, layout.cleaned("sales_df"), lambda: cleaning.clean_transactions(raw))
+        sales = materialize(spark, layout.cleaned("sales_df"), lambda: cleaning.clean_transactions(raw), require_rows=True)
         write_parquet(cleaning.city_mapping(sales), layout.city_mapping)
         write_parquet(stateless_features(sales), target)
     mapping = require_stage(spark, layout.city_mapping, "run_clean again", CITY_MAPPING)
@@ -122,7 +123,7 @@ def run_preprocess(spark: SparkSession, layout: Layout) -> tuple[DataFrame, Data
     parts = materialize(spark, layout.split, split, partition_by=["part"])
     train = parts.filter(F.col("part") == "train").drop("part")
     test = parts.filter(F.col("part") == "test").drop("part")
-    if not is_complete(spark, f"{layout.preprocessor}/numbers"):
+    if not has_mark(spark, layout.preprocessor):
         fitted = preprocessing.fit_preprocessor(train)
         preprocessing.save_preprocessor(spark, fitted, layout.preprocessor)
     fitted = preprocessing.load_preprocessor(spark, layout.preprocessor)
@@ -164,7 +165,9 @@ def run_train(spark: SparkSession, layout: Layout, model_type: str = "gbt", **pa
         cities = fitted.labels["unique_city_id"].count()
         model = modelling.train_embedding_model(fit, departments, cities, **params)
         rmse = modelling.evaluate(modelling.predict(validation, model)).first()["rmse"]
-    log_run(spark, layout.artifacts, model_type, "train", fit.count(), params, {"rmse": rmse})
+    # The whole set, defaults included, so that the run can be repeated from its record.
+    used = {**(modelling.GBT_PARAMS if model_type == "gbt" else modelling.EMBEDDING_PARAMS), **params}
+    log_run(spark, layout.artifacts, model_type, "train", fit.count(), used, {"rmse": rmse})
     save_model(model, layout.artifacts, model_type)
     return rmse
 
@@ -201,7 +204,7 @@ def run_predict(
     return modelling.score_requests(requests, fitted, _model(spark, layout, model_type))
 
 
-def run_all(spark: SparkSession, layout: Layout, model_type: str = "gbt", rows=(7_000_000, 9_000_000), **params) -> DataFrame:
+def run_all(spark: SparkSession, layout: Layout, model_type: str = "gbt", rows=None, **params) -> DataFrame:
     """Clean to predict; extraction is a step of its own."""
     run_clean(spark, layout, rows)
     run_preprocess(spark, layout)

@@ -17,8 +17,35 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:
-    """True when a Spark job finished writing ``path``."""
-    return path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")
+    """True when a Spark job finished writing ``path``, or a stream has committed batches to it."""
+    folder = path.rstrip("/")
+    return path_exists(spark, f"{folder}/_SUCCESS") or path_exists(spark, f"{folder}/_spark_metadata")
+
+
+def set_mark(spark: SparkSession, path: str) -> None:
+    """Mark a folder of several tables as whole, once the last is written."""
+    target, fs = _handle(spark, f"{path.rstrip('/')}/_COMPLETE")
+    fs.create(target, True).close()
+
+
+def clear_mark(spark: SparkSession, path: str) -> None:
+    target, fs = _handle(spark, f"{path.rstrip('/')}/_COMPLETE")
+    fs.delete(target, False)
+
+
+def has_mark(spark: SparkSession, path: str) -> bool:
+    return path_exists(spark, f"{path.rstrip('/')}/_COMPLETE")
+
+
+def first_line(spark: SparkSession, path: str) -> str:
+    """The first line of a text file; empty when there is none."""
+    target, fs = _handle(spark, path)
+    jvm = spark.sparkContext._jvm
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(target), "UTF-8"))
+    try:
+        return reader.readLine() or ""
+    finally:
+        reader.close()
 
 
 def list_names(spark: SparkSession, folder: str) -> list[str]:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrier.sources.files import is_complete, list_names
+from terrier.sources.files import has_mark, list_names, set_mark
 
 RUNS = T.StructType(
     [
@@ -32,16 +32,20 @@ def model_path(root: str, model_type: str, ts: str) -> str:
 
 
 def save_model(model: PipelineModel, root: str, model_type: str, ts: str | None = None) -> str:
-    """Save under a timestamped name; any path scheme Spark can write works."""
+    """Save under a timestamped name; any path scheme Spark can write works.
+
+    The mark comes last, so a model whose saving was cut short is never taken as the latest.
+    """
     path = model_path(root, model_type, ts or timestamp())
     model.write().overwrite().save(path)
+    set_mark(SparkSession.active(), path)
     return path
 
 
 def load_latest_model(spark: SparkSession, root: str, model_type: str) -> PipelineModel | None:
     """The saved model with the greatest name, or None when there is none."""
     names = list_names(spark, f"{root}/models/{model_type}")
-    names = [n for n in names if is_complete(spark, f"{model_path(root, model_type, n)}/metadata")]
+    names = [n for n in names if has_mark(spark, model_path(root, model_type, n))]
     return PipelineModel.load(model_path(root, model_type, names[-1])) if names else None
 
 

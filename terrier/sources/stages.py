@@ -51,7 +51,7 @@ def row_count(df: DataFrame) -> int:
     return df.count()
 
 
-def expect_row_count(df: DataFrame, low: int = 7_000_000, high: int = 9_000_000) -> DataFrame:
+def expect_row_count(df: DataFrame, low: int, high: int) -> DataFrame:
     """Return ``df`` when ``low < rows < high`` holds strictly, else raise."""
     rows = row_count(df)
     if not low < rows < high:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrier.schemas import ECONOMIC_RAW, TRANSACTIONS_RAW
-from terrier.sources.files import list_names
+from terrier.sources.files import first_line, list_names
 
 # Entries of the raw folder that are not tables of their own.
 SKIPPED_RAW_ENTRIES = [
@@ -54,11 +56,11 @@ def load_csv_tables(spark: SparkSession, folder: str, schemas: dict[str, T.Struc
 def _read_csv_by_name(spark: SparkSession, path: str, schema: T.StructType | None) -> DataFrame:
     """Read a CSV whose header may hold more columns, in another order, than the schema."""
     if schema is None:
-        return spark.read.csv(path, header=True, inferSchema=True)
-    text = spark.read.csv(path, header=True)
+        return spark.read.csv(path, header=True, inferSchema=True, escape='"', multiLine=True)
+    text = spark.read.csv(path, header=True, escape='"', multiLine=True)
     known = [f for f in schema if f.name in text.columns]
     if len(known) < len(schema):
-        return spark.read.csv(path, header=True, inferSchema=True)
+        return spark.read.csv(path, header=True, inferSchema=True, escape='"', multiLine=True)
     return text.select(*[_typed(f) for f in known])
 
 
@@ -80,26 +82,78 @@ def csv_to_parquet(spark: SparkSession, folder: str, schemas: dict[str, T.Struct
     return converted
 
 
+def _csv_split(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, header: bool, multi_line: bool
+) -> DataFrame:
+    """Typed rows and a last column that holds what a line has beyond its fields."""
+    wide = T.StructType(schema.fields + [T.StructField(_OVERFLOW, T.StringType())])
+    return spark.read.csv(path, schema=wide, header=header, mode="PERMISSIVE", escape='"', multiLine=multi_line)
+
+
 def read_csv_typed(
-    spark: SparkSession, path: str | list[str], schema: T.StructType, header: bool = True
+    spark: SparkSession, path: str | list[str], schema: T.StructType, header: bool = True, multi_line: bool = False
 ) -> DataFrame:
     """Typed CSV read that skips lines with too many fields and pads short lines with NULL.
 
-    One extra trailing column catches surplus fields; a row that fills it is a bad line.
+    Quotes inside quoted fields are doubled. ``multi_line`` lets quoted fields hold line breaks; a file
+    is then one task, because it can't be split. One extra trailing column catches surplus fields; a row
+    that fills it is a bad line, which ``skipped_lines`` returns.
     """
-    wide = T.StructType(schema.fields + [T.StructField(_OVERFLOW, T.StringType())])
-    rows = spark.read.csv(path, schema=wide, header=header, mode="PERMISSIVE")
+    rows = _csv_split(spark, path, schema, header, multi_line)
     return rows.filter(F.col(_OVERFLOW).isNull()).drop(_OVERFLOW)
 
 
+def skipped_lines(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, header: bool = True, multi_line: bool = False
+) -> DataFrame:
+    """The lines that ``read_csv_typed`` leaves out, with what they hold beyond the fields as ``surplus``."""
+    rows = _csv_split(spark, path, schema, header, multi_line)
+    return rows.filter(F.col(_OVERFLOW).isNotNull()).withColumnRenamed(_OVERFLOW, "surplus")
+
+
 def read_batches(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """A Parquet table as a lazy DataFrame: scan partitions take the place of row batches."""
     return _read(spark, schema).parquet(path)
 
 
+def _by_header(spark: SparkSession, folder: str, schema: T.StructType) -> list[tuple[list[str], T.StructType]]:
+    """Chunk files grouped by their header line, each group with the schema in its column order."""
+    groups: dict[str, list[str]] = {}
+    for name in list_names(spark, folder):
+        if name.startswith("transactions_chunk_") and name.endswith(".csv"):
+            path = f"{folder}/{name}"
+            # A chunk is a file, or a folder of part files; a file lists itself.
+            inside = [n for n in list_names(spark, path) if n.endswith(".csv")]
+            parts = [path] if inside == [name] else [f"{path}/{n}" for n in inside]
+            for part in parts:
+                groups.setdefault(first_line(spark, part), []).append(part)
+    known = {f.name: f for f in schema}
+    found = []
+    for line, paths in groups.items():
+        names = next(csv.reader([line.removeprefix("\ufeff")]), [])
+        fields = [known.get(n) or T.StructField(n or f"_unnamed_{i}", T.StringType()) for i, n in enumerate(names)]
+        found.append((paths, T.StructType(fields)))
+    return found
+
+
 def ingest_chunks(spark: SparkSession, folder: str, out: str, schema: T.StructType = TRANSACTIONS_RAW) -> DataFrame:
-    """Combine ``transactions_chunk_*.csv`` of a folder into one Parquet dataset."""
-    write_parquet(read_csv_typed(spark, f"{folder}/transactions_chunk_*.csv", schema), out)
+    """Combine ``transactions_chunk_*.csv`` of a folder into one Parquet dataset.
+
+    Columns are taken by the names in each file's header, in whatever order; other columns are dropped
+    and missing ones NULL. Quoted fields may hold quotes (doubled) and line breaks, so a chunk is one task.
+    Lines with surplus fields go to ``<out>_skipped`` as JSON text, to be counted and looked at.
+    """
+    good, bad = [], []
+    for paths, own in _by_header(spark, folder, schema):
+        rows = read_csv_typed(spark, paths, own, multi_line=True)
+        there = set(own.names)
+        columns = [F.col(f"`{f.name}`") if f.name in there else F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+        good.append(rows.select(*columns))
+        bad.append(skipped_lines(spark, paths, own, multi_line=True).select(F.to_json(F.struct("*")).alias("value")))
+    if not good:
+        raise FileNotFoundError(f"no transactions_chunk_*.csv in {folder}")
+    write_parquet(union_batches(*good), out)
+    union_batches(*bad).write.mode("overwrite").text(f"{out}_skipped")
     return spark.read.schema(schema).parquet(out)
 
 
@@ -124,5 +178,5 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with a header in each part file; ``mode='append'`` adds to earlier output."""
-    df.write.mode(mode).option("header", True).csv(path)
+    """CSV with a header in each part file and doubled quotes; ``mode='append'`` adds to earlier output."""
+    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)

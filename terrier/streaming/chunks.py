@@ -23,6 +23,8 @@ def append_new_chunks(
         spark.readStream.schema(wide)
         .option("header", True)
         .option("mode", "PERMISSIVE")
+        .option("escape", '"')
+        .option("multiLine", True)
         .option("pathGlobFilter", "transactions_chunk_*.csv")
         .csv(folder)
     )

@@ -7,8 +7,6 @@ from oracle import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
 SQL = spark_entry.oracle_sql()
-# Trained from scratch each; the pipeline test and the model tests cover their parts.
-SLOW = {"run_train", "run_evaluate", "run_predict"}
 
 
 @pytest.fixture(scope="module")
@@ -25,7 +23,7 @@ def test_agrees_with_sql(spark, db, name):
     assert compare(spark_entry.queries()[name](spark, FOLDER), db, SQL[name]) == []
 
 
-@pytest.mark.parametrize("name", sorted(set(spark_entry.queries()) - set(SQL) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(spark_entry.queries()) - set(SQL)))
 def test_runs(spark, name):
     assert spark_entry.queries()[name](spark, FOLDER).collect()
 

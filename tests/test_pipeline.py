@@ -32,8 +32,9 @@ def test_clean_to_predict(spark, layout):
     sales = pipeline.run_clean(spark, layout, rows=None)
     rows = sales.count()
     assert pipeline.run_clean(spark, layout, rows=(rows - 1, rows + 1)).count() == rows
+    assert pipeline.run_clean(spark, layout).count() == rows
     with pytest.raises(ValueError, match="outside"):
-        pipeline.run_clean(spark, layout)
+        pipeline.run_clean(spark, layout, rows=(7_000_000, 9_000_000))
 
     train, test = pipeline.run_preprocess(spark, layout)
     merged = spark.read.parquet(layout.merged)

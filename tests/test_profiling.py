@@ -43,3 +43,13 @@ def test_value_frequencies(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (None, "c"), (2, "c")], "x int, y string")
     got = {(r["x"], r["y"]): r["proportion"] for r in profiling.value_frequencies(df).collect()}
     assert got == {(1, "a"): 0.5, (2, "b"): 0.25, (2, "c"): 0.25}
+
+
+def test_infinite_values_are_left_out(spark):
+    from terrier.operators import profiling
+
+    inf = float("inf")
+    table = spark.createDataFrame([(x,) for x in (1.0, 2.0, 3.0, inf, -inf, float("nan"), None)], "v double")
+    assert [r["n"] for r in profiling.histogram(table, "v", 2).orderBy("bin").collect()] == [1, 2]
+    row = profiling.box_stats(table, ["v"]).first()
+    assert (row["low"], row["median"], row["high"], row["outliers"]) == (1.0, 2.0, 3.0, 0)

@@ -65,3 +65,13 @@ def test_incomplete_months_are_dropped(spark):
     late = table(spark, [("2014-03-01", 9.0)], "b")
     got = series.assemble_series(series.month_spine(full), [(full, "a", "x"), (late, "b", "y")]).orderBy("month").collect()
     assert [(r["month"].month, r["x"], r["y"]) for r in got] == [(3, 3.0, 9.0), (4, 4.0, 9.0)]
+
+
+def test_repeated_months_raise(spark):
+    rows = [("2020-01-01", 1.0, "a"), ("2020-02-01", 2.0, "a"), ("2020-02-01", 3.0, "b")]
+    table = spark.createDataFrame(rows, "month string, v double, k string").selectExpr("to_date(month) month", "v", "k")
+    spine = series.month_spine(table)
+    with pytest.raises(ValueError, match="2020, 2, 1"):
+        series.align_to_spine(spine, table, ["v"])
+    keyed = series.month_spine(table, ["k"])
+    assert series.align_to_spine(keyed, table, ["v"], ["k"]).count() == 3

@@ -104,3 +104,39 @@ def test_settle_uses_the_named_folder(spark):
     settled = scratch.settle(spark.range(5).withColumn("x", F.col("id") * 2), "five")
     assert settled.inputFiles()[0].startswith(f"file://{root}/terrier/five-")
     assert settled.count() == 5
+
+
+def test_quoted_csv_is_read_as_pandas_writes_it(spark, tmp_path):
+    pd = pytest.importorskip("pandas")
+    text = T.StructType.fromDDL("a string, b int, c string")
+    frame = pd.DataFrame({"a": ['RUE "X", 5', "two\nlines", "plain"], "b": [1, 2, 3], "c": ["z", "\\", ""]})
+    frame.to_csv(tmp_path / "x.csv", index=False)
+    rows = tables.read_csv_typed(spark, str(tmp_path / "x.csv"), text, multi_line=True).orderBy("b").collect()
+    assert [(r["a"], r["b"]) for r in rows] == [('RUE "X", 5', 1), ("two\nlines", 2), ("plain", 3)]
+    tables.write_csv(spark.createDataFrame(frame[["a", "b"]]), str(tmp_path / "out"))
+    back = pd.concat([pd.read_csv(p) for p in (tmp_path / "out").glob("*.csv")]).sort_values("b")
+    assert back["a"].tolist() == frame["a"].tolist()
+
+
+def test_chunks_are_read_by_name_and_bad_lines_kept_aside(spark, tmp_path):
+    chunk(tmp_path, "0_2", "1,2,3", "4,5,6,7")
+    (tmp_path / "transactions_chunk_2_4.csv").write_text("c,x,a\n30,odd,10\n")
+    got = tables.ingest_chunks(spark, str(tmp_path), str(tmp_path / "out"), ABC)
+    assert sorted(tuple(r) for r in got.collect()) == [(1, 2, 3), (10, None, 30)]
+    skipped = spark.read.text(str(tmp_path / "out_skipped")).collect()
+    assert len(skipped) == 1 and '"surplus":"7"' in skipped[0][0]
+
+
+def test_a_model_without_its_mark_is_not_the_latest(spark, tmp_path):
+    root = str(tmp_path)
+    model = Pipeline(stages=[SQLTransformer(statement="SELECT *, 1 AS v FROM __THIS__")]).fit(spark.range(1))
+    registry.save_model(model, root, "gbt", "20240101-000000")
+    model.write().save(registry.model_path(root, "gbt", "20240102-000000"))
+    (tmp_path / "models/gbt/20240103-000000").mkdir()
+    assert registry.load_latest_model(spark, root, "gbt").transform(spark.range(1)).first()["v"] == 1
+
+
+def test_streamed_output_counts_as_a_stage(spark, tmp_path):
+    chunk(tmp_path, "0_2", '"1",2,3')
+    append_new_chunks(spark, str(tmp_path), str(tmp_path / "out"), str(tmp_path / "marks"), ABC)
+    assert stages.require_stage(spark, str(tmp_path / "out"), "ingest first").count() == 1

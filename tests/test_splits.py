@@ -143,3 +143,11 @@ def test_quantile_split_and_filter(spark):
     assert {r[0]: (r[1], r[2]) for r in got} == {"before": (3, 30)} or {r[0]: r[2] for r in got} == {"before": 20, "after": 10}
     assert splits.filter_before_quantile(df, share=0.5).count() == 20
     assert splits.filter_before_quantile(df.limit(0)).count() == 0
+
+
+def test_sample_one_of_tied_rows_is_the_same_however_dealt(spark):
+    from terrier.operators import splits
+
+    table = spark.range(1000).selectExpr("id", "1 as k")
+    picked = {splits.sample_one(table.repartition(n), 3, ["k"]).first()["id"] for n in (1, 2, 5, 8)}
+    assert len(picked) == 1
