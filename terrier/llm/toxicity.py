@@ -194,7 +194,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         yield pa.RecordBatch.from_arrays([pa.array([value.tobytes()], pa.binary())], names=["model"])
 
     found = rows.mapInArrow(run, "model binary").collect()
-    value = np.frombuffer(found[0][0]) if found else np.append(np.zeros(BUCKETS), 0.0)
+    if not found:
+        return train([], np.empty(0))
+    value = np.frombuffer(found[0][0])
     return Toxicity(value[:-1].copy(), float(value[-1]))
 
 
