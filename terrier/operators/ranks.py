@@ -1,7 +1,8 @@
 """Exact order statistics and cuts by position without a global sort.
 
 ``locate_ranks`` finds the value at given ranks of a column by counting: a histogram over the value
-range, then a finer one inside the bucket that holds the rank, until the bucket is a single value.
+range (over powers of two where it is wide), then a finer one inside the bucket that holds the rank,
+until the bucket is a single value: at most six passes for one rank, whatever the distribution.
 Each pass is one map-side-combined count that returns at most ``HISTOGRAM_ROWS`` rows, whatever the
 size or skew of the data; a value that makes up a third of all rows is one histogram row.
 """
@@ -82,9 +83,12 @@ def locate_ranks(df: DataFrame, value: Column | str, ranks: list[int], known: Ex
         else:
             inside.append(rank)
     brackets = [(seen.low, seen.high, seen.minus, inside)] if inside else []
+    by_scale = bool(brackets) and _spans_scales(seen.low, seen.high)
     while brackets:
         finer = []
-        for (low, high, below, wanted), buckets in zip(brackets, _histogram(df, column, brackets)):
+        found = [_scales(df, column)] if by_scale else _histogram(df, column, brackets)
+        by_scale = False
+        for (low, high, below, wanted), buckets in zip(brackets, found):
             for bucket in buckets:
                 held = [r for r in wanted if below <= r < below + bucket["n"]]
                 if held and bucket["low"] == bucket["high"]:
@@ -96,6 +100,30 @@ def locate_ranks(df: DataFrame, value: Column | str, ranks: list[int], known: Ex
     return hits
 
 
+def _spans_scales(low: float, high: float) -> bool:
+    """Whether equal widths would leave a bucket that spans many powers of two."""
+    small, large = sorted((abs(low), abs(high)))
+    return low <= 0 <= high and low != high or small * HISTOGRAM_ROWS < large
+
+
+def _scales(df: DataFrame, value: Column) -> list:
+    """The first histogram of a wide range: a bucket for each sign and power of two, some 4,200 at most.
+
+    Inside one, equal widths gain all their bits in every pass, so the number of passes has a bound for
+    any distribution: the 52 bits of a double's fraction by those of the buckets.
+    """
+    power = F.floor(F.log2(F.abs(F.col("v")))) + 1100
+    slot = F.when(F.col("v") == 0, 0).when(F.col("v") > 0, power).otherwise(-power)
+    rows = (
+        df.select(value.alias("v"))
+        .filter(F.abs(F.col("v")) < F.lit(math.inf))
+        .groupBy(slot.cast("int").alias("slot"))
+        .agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+        .collect()
+    )
+    return sorted(rows, key=lambda r: r["slot"])
+
+
 def _histogram(df: DataFrame, value: Column, brackets: list[tuple]) -> list[list]:
     """Per bracket, its non-empty equal-width buckets in value order with count, min and max."""
     per = max(2, HISTOGRAM_ROWS // len(brackets))

@@ -151,3 +151,22 @@ def test_sample_one_of_tied_rows_is_the_same_however_dealt(spark):
     table = spark.range(1000).selectExpr("id", "1 as k")
     picked = {splits.sample_one(table.repartition(n), 3, ["k"]).first()["id"] for n in (1, 2, 5, 8)}
     assert len(picked) == 1
+
+
+def test_passes_have_a_bound_for_any_distribution(spark, monkeypatch):
+    from terrier.operators import ranks
+
+    passes = []
+    for name in ("_histogram", "_scales", "extent"):
+        whole = getattr(ranks, name)
+        monkeypatch.setattr(ranks, name, lambda *a, whole=whole, name=name: passes.append(name) or whole(*a))
+    geometric = [2.0**i for i in range(-300, 300)]
+    for values in (geometric, [-v for v in geometric], [0.0, 5e-324, 1e308, -1e308, 1.0, 1.0 + 2**-52] * 3, [1.0 + i * 2**-52 for i in range(900)]):
+        table = spark.createDataFrame([(v,) for v in values], "v double").coalesce(2)
+        passes.clear()
+        own = sorted(values)
+        place = 0.3 * (len(own) - 1)
+        low = own[int(place)]
+        expected = low + (own[int(place) + 1] - low) * (place - int(place)) if own[int(place) + 1] != low else low
+        assert ranks.exact_quantiles(table, "v", [0.3])[0.3] == expected
+        assert len(passes) <= 6, passes
