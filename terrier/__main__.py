@@ -7,6 +7,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from terrier.plans import pipeline
+from terrier.sources.scratch import clear_scratch
 
 STEPS = ["extract", "clean", "preprocess", "train", "evaluate", "predict", "all"]
 
@@ -40,6 +41,7 @@ def main() -> None:
         result.show(truncate=False)
     elif args.step == "train":
         print(f"validation rmse {result}")
+    clear_scratch(spark)
 
 
 if __name__ == "__main__":

@@ -22,6 +22,11 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{folder}/_SUCCESS") or path_exists(spark, f"{folder}/_spark_metadata")
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    target, fs = _handle(spark, path)
+    fs.delete(target, True)
+
+
 def set_mark(spark: SparkSession, path: str) -> None:
     """Mark a folder of several tables as whole, once the last is written."""
     target, fs = _handle(spark, f"{path.rstrip('/')}/_COMPLETE")

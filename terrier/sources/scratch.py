@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from terrier.sources.files import remove_folder
+
 
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables.
@@ -26,8 +28,18 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def scratch_home(spark: SparkSession) -> str:
+    """The folder of this application's scratch tables; ``clear_scratch`` deletes it."""
+    return f"{scratch_root(spark)}/terrier/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/terrier/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_home(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's scratch tables, once nothing reads them any more."""
+    remove_folder(spark, scratch_home(spark))
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:

@@ -102,10 +102,20 @@ def test_runs_accumulate(spark, tmp_path):
 def test_settle_uses_the_named_folder(spark):
     root = scratch.scratch_root(spark)
     settled = scratch.settle(spark.range(5).withColumn("x", F.col("id") * 2), "five")
-    assert settled.inputFiles()[0].startswith(f"file://{root}/terrier/five-")
+    assert settled.inputFiles()[0].startswith(f"file://{root}/terrier/{spark.sparkContext.applicationId}/five-")
     assert settled.count() == 5
 
 
+def test_scratch_is_cleared_by_its_owner_only(spark, monkeypatch):
+    other = scratch.settle(spark.range(2), "other")
+    monkeypatch.setattr(scratch, "scratch_home", lambda s: f"{scratch.scratch_root(s)}/terrier/mine")
+    mine = scratch.scratch_path(spark, "x")
+    spark.range(3).write.parquet(mine)
+    scratch.clear_scratch(spark)
+    assert not scratch.remove_folder.__globals__["path_exists"](spark, mine)
+    assert other.count() == 2
+
+
 def test_quoted_csv_is_read_as_pandas_writes_it(spark, tmp_path):
     pd = pytest.importorskip("pandas")
     text = T.StructType.fromDDL("a string, b int, c string")
