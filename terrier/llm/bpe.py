@@ -13,20 +13,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrier.llm.common import map_rows
+from terrier.llm.common import LETTERS, PLAIN, WordIds, map_rows, portions
 from terrier.sources.scratch import settle
 
-#: The tokenizer's pre-tokens never cross from a word into the white space after it. A unit is a word
-#: with the blank before it, or white space; a text's ids are its units' ids, one after the other.
-UNIT = re.compile(r" ?\S+|\s+(?!\S)|\s+")
-#: White space to Python, not to the tokenizer: such texts are encoded whole.
-ODD = re.compile("[\x1c-\x1f]")
+#: The tokenizer's own words, for plain texts: a blank before a word belongs to it.
+WORD = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{LETTERS}]+| ?[0-9]+| ?[^\s{LETTERS}0-9]+|\s+(?!\S)|\s+")
+#: Its special token, which it looks for before it cuts words.
+SPECIAL = "<|endoftext|>"
 #: Words of the table at most: the most frequent ones, which every task gets. The bound on the
 #: broadcast is this number of words of up to WORD_BYTES; other words are encoded where they stand.
 TABLE_WORDS = 200_000
 WORD_BYTES = 64
 #: Other words that a task remembers at most before it starts afresh.
-MEMORY = 300_000
+MEMORY = 120_000
 
 
 def _tokenizer(vocabulary: str):
@@ -45,14 +44,14 @@ def _ids(tokenizer, texts: list[str]) -> list[bytes]:
 
 
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """word, n: every distinct unit of all texts and how often it stands there. Null texts have none."""
+    """word, n: every distinct word of all plain texts and how often it stands there. Null texts have none."""
 
     def rows(batches):
         seen: Counter[str] = Counter()
         for columns in batches:
             for text in columns["text"].to_pylist():
-                if text and not ODD.search(text):
-                    seen.update(UNIT.findall(text))
+                if text and plain(text):
+                    seen.update(WORD.findall(text))
                 if len(seen) > MEMORY:
                     yield list(seen), list(seen.values())
                     seen = Counter()
@@ -63,6 +62,11 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return found.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def plain(text: str) -> bool:
+    """Whether the text is one that ``WORD`` cuts; others are encoded whole."""
+    return bool(PLAIN.fullmatch(text)) and SPECIAL not in text
+
+
 def word_table(counts: DataFrame, vocabulary: str, most: int = TABLE_WORDS) -> DataFrame:
     """word, ids: each of the most frequent words, encoded once. At most ``most`` rows.
 
@@ -119,45 +123,18 @@ def encode(
 
     def rows(batches):
         tokenizer = _tokenizer(vocabulary)
-        joined = dict(zip(*known.value, strict=True))
-        rest: dict[str, bytes] = {}
+        known_ids = WordIds(lambda texts: _ids(tokenizer, texts), MEMORY, dict(zip(*known.value, strict=True)))
         for columns in batches:
-            split = [None if ODD.search(t) else UNIT.findall(t) for t in columns["text"].to_pylist()]
-            new = list(set().union(*(s for s in split if s)) - joined.keys())
-            if len(rest) + len(new) > MEMORY:
-                for word in rest:
-                    del joined[word]
-                rest = {}
-                new = list(set().union(*(s for s in split if s)) - joined.keys())
-            for start in range(0, len(new), 20_000):
-                part = new[start : start + 20_000]
-                rest.update(zip(part, _ids(tokenizer, part), strict=True))
-            joined.update(rest)
-            for i, (key, units) in enumerate(zip(columns["doc_id"].to_pylist(), split, strict=True)):
-                if units is None:
-                    blob = _ids(tokenizer, [columns["text"][i].as_py()])[0]
-                else:
-                    blob = b"".join(map(joined.__getitem__, units))
-                yield [key], [blob]
+            keys, texts = columns["doc_id"].to_pylist(), columns["text"].to_pylist()
+            for part in portions(texts):
+                cut = [WORD.findall(t) if plain(t) else [] for t in texts[part]]
+                found = known_ids.of(cut)
+                # Empty though there is a text: it isn't plain.
+                blobs = [f if c or not t else _ids(tokenizer, [t])[0] for t, c, f in zip(texts[part], cut, found, strict=True)]
+                yield keys[part], blobs
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    return map_rows(source, _grouped(rows), "doc_id long, ids binary")
-
-
-def _grouped(rows, size: int = 256):
-    """Gather single result rows into batches of ``size``."""
-
-    def run(batches):
-        held: list[tuple] = []
-        for row in rows(batches):
-            held.append(row)
-            if len(held) == size:
-                yield tuple([x for part in column for x in part] for column in zip(*held, strict=True))
-                held = []
-        if held:
-            yield tuple([x for part in column for x in part] for column in zip(*held, strict=True))
-
-    return run
+    return map_rows(source, rows, "doc_id long, ids binary")
 
 
 def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
@@ -169,7 +146,8 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
 
     def run(batches):
         pieces = dict(zip(*known.value, strict=True)).__getitem__
-        for given in batches:
+        small = (b.slice(i, 512) for b in batches for i in range(0, b.num_rows, 512))
+        for given in small:
             texts = [
                 b"".join(map(pieces, np.frombuffer(blob or b"", "<u4").tolist())).decode("utf-8", "replace")
                 for blob in given.column("ids").to_pylist()
