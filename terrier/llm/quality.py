@@ -18,7 +18,7 @@ from terrier.llm.common import bounded_sample, portions
 #: remembers at most.
 BUCKETS = 1 << 13
 FIT_DOCS = 10_000
-MEMORY = 300_000
+MEMORY = 600_000
 #: Frequent words of the languages expected (fixed values); other languages abstain.
 STOP_WORDS = frozenset(
     "the of and to in is that it was for on are with as his they be at this have from or by not "
@@ -27,54 +27,69 @@ STOP_WORDS = frozenset(
     "el los las y del una por con no para se su al lo como".split()
 )
 _SHAPES = {i: ("A" if chr(i).isupper() else "a" if chr(i).isalpha() else "9" if chr(i).isdigit() else chr(i)) for i in range(0x250)}
+_OTHER = re.compile("[^\x00-\u024f]")
 _RUN = re.compile(r"(.)\1+", re.S)
 _SYMBOL = re.compile(r"[#&$%*|~^<>{}=\\_@]")
 
 LABELLERS = ["symbols", "shouting", "exclaiming", "repeating", "distinct", "sentences", "function words", "word length"]
 
 
+def _outline(word: str) -> str:
+    """Letters as a and A, digits as 9, other characters as they are."""
+    if not word.isascii():
+        word = _OTHER.sub(lambda m: "a" if m.group().isalpha() else "?", word)
+    return word.translate(_SHAPES)
+
+
 def shape(word: str) -> str:
-    """Letters as a and A, digits as 9, other characters as they are; runs of one become single."""
-    text = "".join(c if c < "ɐ" else "a" if c.isalpha() else "?" for c in word).translate(_SHAPES)
-    return _RUN.sub(r"\1", text[:64])
+    """The outline with runs of one character made single."""
+    return _RUN.sub(r"\1", _outline(word)[:64])
 
 
-def _word(word: str) -> tuple:
-    bare = word.strip(".,;:!?\"'()").lower()
-    letters = sum(c.isalpha() for c in word)
+def _outline_row(outline: str) -> tuple:
+    big = outline.count("A")
+    bare = outline.strip(".,;:!?\"'()")
     return (
-        letters,
-        sum(c.isupper() for c in word),
-        len(_SYMBOL.findall(word)),
-        word.count("!"),
+        big + outline.count("a"),
+        big,
+        len(_SYMBOL.findall(outline)),
+        outline.count("!"),
         len(bare),
-        bare in STOP_WORDS,
-        word[-1] in ".!?",
-        zlib.crc32(shape(word).encode("utf-8", "replace")) % BUCKETS,
+        outline[-1] in ".!?",
+        zlib.crc32(_RUN.sub(r"\1", outline[:64]).encode("utf-8", "replace")) % BUCKETS,
     )
 
 
 class Reader:
-    """Counts of texts from the counts of their words, which are remembered."""
+    """Counts of texts from the outlines of their words, which are remembered."""
 
     def __init__(self):
-        self.index: dict[str, int] = {}
-        self.rows: list[tuple] = []
-        self.table = np.empty((0, 8))
+        self.forget()
+
+    def forget(self):
+        # A word's code is twice its outline's number, and one more for a function word.
+        self.codes: dict[str, int] = {}
+        self.outlines: dict[str, int] = {}
+        self.table = np.empty((0, 7))
 
     def read(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """For each text: its statistics (n words, then shares), buckets and their weights."""
         for part in portions([t or "" for t in texts]):
             split = [(t or "").split() for t in texts[part]]
-            new = set().union(*split) - self.index.keys()
-            if len(self.index) + len(new) > MEMORY:
-                self.index, self.rows, self.table = {}, [], np.empty((0, 8))
+            new = set().union(*split) - self.codes.keys()
+            if len(self.codes) + len(new) > MEMORY:
+                self.forget()
                 new = set().union(*split)
-            if new:
-                rows = []
-                for word in new:
-                    self.index[word] = len(self.index)
-                    rows.append(_word(word))
+            rows = []
+            for word in new:
+                outline = _outline(word)
+                number = self.outlines.get(outline)
+                if number is None:
+                    number = self.outlines[outline] = len(self.outlines)
+                    rows.append(_outline_row(outline))
+                stop = len(word) <= 8 and word.strip(".,;:!?\"'()").lower() in STOP_WORDS
+                self.codes[word] = 2 * number + stop
+            if rows:
                 self.table = np.concatenate([self.table, np.array(rows, float)])
             for words in split:
                 yield self._one(words)
@@ -83,18 +98,25 @@ class Reader:
         n = len(words)
         if not n:
             return np.zeros(9), np.array([0]), np.array([1.0])
-        at = np.fromiter(map(self.index.__getitem__, words), np.int64, n)
-        rows = self.table[at]
-        total = rows[:, :7].sum(axis=0)
-        letters = max(total[0], 1.0)
+        codes = np.fromiter(map(self.codes.__getitem__, words), np.int64, n)
+        # Equal words have equal hashes within a process, which is all that is asked of them here.
+        at = np.fromiter(map(hash, words), np.int64, n)
+        kinds, counts = np.unique(codes >> 1, return_counts=True)
+        rows = self.table[kinds]
+        letters, upper, symbols, bangs, length, ends = counts @ rows[:, :6]
         same = float((at[1:] == at[:-1]).mean()) if n > 1 else 0.0
-        window = at[: n // 64 * 64].reshape(-1, 64) if n >= 64 else at[None, :]
-        distinct = float(np.mean([len(np.unique(w)) / len(w) for w in window]))
-        stats = np.array([n, total[2] / n, total[1] / letters, total[3] / n, same, distinct, total[6] / n, total[5] / n, total[4] / n])
-        buckets, counts = np.unique(rows[:, 7].astype(np.int64), return_counts=True)
+        window = np.sort(at[: n // 64 * 64].reshape(-1, 64) if n >= 64 else at[None, :], axis=1)
+        distinct = float((1 + (window[:, 1:] != window[:, :-1]).sum(axis=1)).mean() / window.shape[1])
+        stops = float((codes & 1).mean())
+        stats = np.array([n, symbols / n, upper / max(letters, 1.0), bangs / n, same, distinct, ends / n, stops, length / n])
         # Each statistic also enters as a bucket of its own, in steps.
-        steps = [zlib.crc32(f"{i}:{int(10 * min(v, 3.0))}".encode()) % BUCKETS for i, v in enumerate(stats[1:])]
-        return stats, np.concatenate([buckets, steps]), np.concatenate([counts / n, np.full(len(steps), 0.25)])
+        steps = [_step(i, int(10 * min(v, 3.0))) for i, v in enumerate(stats[1:].tolist())]
+        buckets = np.concatenate([rows[:, 6].astype(np.int64), steps])
+        return stats, buckets, np.concatenate([counts / n, np.full(len(steps), 0.25)])
+
+
+def _step(statistic: int, value: int) -> int:
+    return zlib.crc32(f"{statistic}:{value}".encode()) % BUCKETS
 
 
 def vote(stats: np.ndarray) -> str:
