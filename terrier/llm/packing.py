@@ -6,6 +6,7 @@ import heapq
 import os
 import re
 import zlib
+from bisect import insort
 from itertools import count
 from operator import itemgetter
 
@@ -22,6 +23,8 @@ from terrier.sources.scratch import settle
 WINDOW = 2048
 GRAIN = 512
 BATCH = 512
+#: Batches that one task packs, one after the other.
+DEAL = 8
 #: Words whose ids a worker remembers at most before it starts afresh.
 MEMORY = 800_000
 #: The tokenizer's own words, for plain texts in lower case.
@@ -74,21 +77,42 @@ def difference(sizes: list[int], windows: int) -> list[list[int]]:
 
     Every item starts as a partial partition with one filled part. The two partitions with the widest
     spread merge, the fullest parts of one with the emptiest of the other, until one is left. Only
-    filled parts are stored, fullest first.
+    filled parts are stored, fullest first. The first merges always gather the largest items, one to a
+    part, so that partition is made at once.
     """
-    order = count()
-    heap = [(-s, next(order), [(s, (i,))]) for i, s in enumerate(sizes)]
+    if not sizes:
+        return []
+    # A part is (minus its size, its items), so that ascending order is fullest first.
+    order = sorted(range(len(sizes)), key=lambda i: -sizes[i])
+    head = [(-sizes[i], (i,)) for i in order[:windows]]
+    heap = [(-_spread(head, windows), 0, head)]
+    heap += [(-sizes[i], n, [(-sizes[i], (i,))]) for n, i in enumerate(order[windows:], 1)]
     heapq.heapify(heap)
+    number = count(len(heap))
     while len(heap) > 1:
         _, _, a = heapq.heappop(heap)
         _, _, b = heapq.heappop(heap)
-        over = max(0, len(a) + len(b) - windows)
-        x, y = len(a) - over, len(b) - over
-        merged = a[:x] + b[:y] + [(p[0] + q[0], (p[1], q[1])) for p, q in zip(a[x:], reversed(b[y:]), strict=True)]
-        merged.sort(key=itemgetter(0), reverse=True)
-        spread = merged[0][0] - (merged[-1][0] if len(merged) == windows else 0)
-        heapq.heappush(heap, (-spread, next(order), merged))
-    return [_flat(items) for _, items in heap[0][2]] if heap else []
+        if len(a) < len(b):
+            a, b = b, a
+        if len(b) == 1 and len(a) == windows:
+            # One item joins the emptiest part, which then moves to its place.
+            size, items = a.pop()
+            insort(a, (size + b[0][0], (items, b[0][1])), key=_SIZE)
+        else:
+            over = max(0, len(a) + len(b) - windows)
+            x, y = len(a) - over, len(b) - over
+            pairs = zip(a[x:], reversed(b[y:]), strict=True)
+            a = a[:x] + b[:y] + [(p[0] + q[0], (p[1], q[1])) for p, q in pairs]
+            a.sort(key=_SIZE)
+        heapq.heappush(heap, (-_spread(a, windows), next(number), a))
+    return [_flat(items) for _, items in heap[0][2]]
+
+
+_SIZE = itemgetter(0)
+
+
+def _spread(parts: list, windows: int) -> int:
+    return (parts[-1][0] if len(parts) == windows else 0) - parts[0][0]
 
 
 def _flat(items: tuple) -> list[int]:
@@ -128,8 +152,7 @@ def pack(
     One row per piece: doc_id, start, length, ids (binary, little-endian unsigned 32-bit; left out when
     ``ids`` is false), ids_crc32, doc_tokens, sequence_id, offset. A document is its text's ids and
     ``end_id``; null and empty texts are ``end_id`` alone. Whole windows stand for themselves; the rest
-    of each document is packed by differencing with about ``batch`` others, dealt by a hash, in a task
-    of its own. Rows with null or repeated ids are packed as they come. Other columns are ignored.
+    of each document is packed by differencing with about ``batch`` others, dealt by a hash. Rows with null or repeated ids are packed as they come. Other columns are ignored.
     """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
     end = np.array([end_id], "<u4").tobytes()
@@ -154,27 +177,29 @@ def pack(
         "*", (F.monotonically_increasing_id() * 2 + 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     )
     rest = pieces.filter(F.col("length") < window)
-    ends = rest.filter(F.col("start") + F.col("length") == F.col("doc_tokens")).count()
-    dealt = rest.repartition(max(1, round(ends / batch)), "doc_id", F.floor(F.col("start") / window))
-    placed = dealt.sortWithinPartitions("doc_id", "start").mapInArrow(_place(window, batch, grain), whole.schema)
+    last = F.col("start") + F.col("length") == F.col("doc_tokens")
+    ends, rows_in = rest.agg(F.count_if(last), F.count("*")).first()
+    chunk = max(1, round(batch * rows_in / max(1, ends)))
+    dealt = rest.repartition(max(1, round(ends / (DEAL * batch))), "doc_id", F.floor(F.col("start") / window))
+    placed = dealt.sortWithinPartitions("doc_id", "start").mapInArrow(_place(window, chunk), whole.schema)
     found = whole.union(placed)
     return found if ids else found.drop("ids")
 
 
-def _place(window: int, batch: int, grain: int):
+def _place(window: int, chunk: int):
+    """Pack each partition, in order, by ``chunk`` pieces; its end takes up to twice as many."""
+
     def run(batches):
         from pyspark import TaskContext
 
-        base, held, rows, made = TaskContext.get().partitionId() << 32, [], 0, 0
-        names = None
+        base, made = TaskContext.get().partitionId() << 32, 0
+        held = None
 
-        def placed():
+        def placed(table):
             nonlocal made
-            table = pa.Table.from_batches(held)
-            parts = balance(table["length"].to_pylist(), window)
             lengths = table["length"].to_pylist()
             order, sequence, offset = [], [], []
-            for part in parts:
+            for part in balance(lengths, window):
                 at = 0
                 for i in part:
                     order.append(i)
@@ -186,16 +211,12 @@ def _place(window: int, batch: int, grain: int):
             return table.append_column("offset", pa.array(offset, pa.int64())).to_batches()
 
         for given in batches:
-            names = names or given.schema.names
-            # A partition that is far larger than dealt for is packed in several parts.
-            most = 2 * batch * -(-window // grain)
-            for start in range(0, given.num_rows, most):
-                held.append(given.slice(start, most))
-                rows += held[-1].num_rows
-                if rows >= most:
-                    yield from placed()
-                    held, rows = [], 0
-        if rows:
-            yield from placed()
+            table = pa.Table.from_batches([given])
+            held = table if held is None else pa.concat_tables([held, table])
+            while held.num_rows >= 2 * chunk:
+                yield from placed(held.slice(0, chunk))
+                held = held.slice(chunk)
+        if held is not None and held.num_rows:
+            yield from placed(held)
 
     return run
