@@ -180,13 +180,21 @@ def _tree_join(members: DataFrame, percent: int, block: int) -> DataFrame:
 
 
 def connect(
-    stars: DataFrame, features: DataFrame, texts: DataFrame, width: int = 5, percent: int = 75, block: int = BLOCK
+    stars: DataFrame,
+    features: DataFrame,
+    texts: DataFrame,
+    width: int = 5,
+    percent: int = 75,
+    block: int = BLOCK,
+    hubs: int = 0,
 ) -> DataFrame:
     """Components (node, component) of the links inside groups.
 
     ``stars`` (doc_id, pivot) lists the members of each group but its pivot. Each is compared with its
     pivot; groups whose members are then in several components are searched by signature trees on
     ``features`` (doc_id, n_shingles, bitmap). All candidates are verified on ``texts`` (doc_id, text).
+    With ``hubs``, members of a group are first compared with so many more of it, chosen by a hash, where
+    they aren't connected yet: linear in the members, it leaves less to the trees.
     """
     pairs = stars.select(F.col("pivot").alias("a"), F.col("doc_id").alias("b"))
     links = settle(_verified(pairs, texts, width, percent), "links")
@@ -195,6 +203,23 @@ def connect(
         "doc_id", "pivot", F.coalesce("component", "doc_id").alias("component")
     )
     members = settle(members, "members")
+    if hubs:
+        centres = members.groupBy("pivot").agg(
+            F.array(*[F.min_by(F.struct("doc_id", "component"), F.xxhash64("doc_id", F.lit(i))) for i in range(hubs)]).alias("hubs")
+        )
+        near = (
+            members.join(settle(centres, "hubs"), "pivot")
+            .select("doc_id", "component", F.explode("hubs").alias("hub"))
+            .filter("component <> hub.component")
+            .select(F.least("doc_id", "hub.doc_id").alias("a"), F.greatest("doc_id", "hub.doc_id").alias("b"))
+            .distinct()
+        )
+        links = settle(links.union(_verified(near, texts, width, percent)), "hub_links")
+        part = components(links, "hub_components").withColumnRenamed("node", "doc_id")
+        members = stars.join(part, "doc_id", "left").select(
+            "doc_id", "pivot", F.coalesce("component", "doc_id").alias("component")
+        )
+        members = settle(members, "hub_members")
     mixed = members.groupBy("pivot").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
     members = members.join(mixed.select("pivot"), "pivot").join(features, "doc_id")
     rest = settle(_tree_join(members, percent, block), "candidates")

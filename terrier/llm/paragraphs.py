@@ -14,6 +14,8 @@ from terrier.sources.scratch import settle
 
 #: Paragraphs (lines) of fewer words are left alone.
 MIN_WORDS = 20
+#: Members of a bucket that others are compared with, beside its smallest key, before the trees.
+HUBS = 6
 
 
 def tune(threshold: float = 0.75, miss: float = 1e-4, stray: float = 0.05, chance: float = 0.05) -> tuple[int, int]:
@@ -127,7 +129,7 @@ def repeated_passages(
     )
     wanted = stars.select(F.col("doc_id").alias("key")).union(stars.select("pivot")).distinct()
     texts = settle(_texts(source, wanted, min_words), "passages").select(F.col("key").alias("doc_id"), "text")
-    part = connect(stars, _features(texts, width), texts, width, percent)
+    part = connect(stars, _features(texts, width), texts, width, percent, hubs=HUBS)
     labels = settle(part.select(F.col("node").alias("key"), "component"), "passage_clusters")
     placed = found.drop("bands").join(labels, "key", "left").withColumn("cluster", F.coalesce("component", "key"))
     place = F.struct("doc_id", "paragraph")
