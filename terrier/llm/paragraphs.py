@@ -1,10 +1,12 @@
-"""Repeated passages: MinHash banding of paragraphs, exact verification, removal by components."""
+"""Repeated passages: MinHash banding of paragraphs, runs of words that are shared word for word, removal."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,9 @@ from terrier.sources.scratch import settle
 MIN_WORDS = 20
 #: Members of a bucket that others are compared with, beside its smallest key, before the trees.
 HUBS = 6
+#: Words of a shared run at least, and words of the anchors that runs are found by.
+RUN_WORDS = 50
+ANCHOR_WORDS = 15
 
 
 def tune(threshold: float = 0.75, miss: float = 1e-4, stray: float = 0.05, chance: float = 0.05) -> tuple[int, int]:
@@ -146,13 +151,214 @@ def repeated_passages(
     )
 
 
+_SPACE = np.zeros(256, bool)
+_SPACE[[32, 9, 10, 11, 12, 13]] = True
+
+
+def _words_at(text: str) -> tuple[np.ndarray, ...]:
+    """Two 64-bit fingerprints of each word, its start and end in code points, and its line."""
+    raw = np.frombuffer(text.encode("utf-8", "surrogatepass").lower() + b" ", np.uint8)
+    space = _SPACE[raw]
+    inside = ~space
+    starts = np.flatnonzero(inside & np.append(True, space[:-1]))
+    if not len(starts):
+        return np.empty(0, np.uint64), np.empty(0, np.uint64), starts, starts, starts
+    ends = np.flatnonzero(space & np.append(False, inside[:-1]))
+    # A word's bytes, weighted by powers of an odd number from its start on, summed modulo 2^64.
+    edges = np.concatenate([[0], starts])
+    place = np.arange(len(raw)) - np.repeat(edges, np.diff(np.append(edges, len(raw))))
+    prints = []
+    for seed in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F):
+        with np.errstate(over="ignore"):
+            letters = mix(raw.astype(np.uint64) + np.uint64(seed) * (place.astype(np.uint64) + np.uint64(1)))
+        letters[space] = 0
+        prints.append(mix(np.add.reduceat(letters, starts)))
+    first = np.cumsum((raw & 0xC0) != 0x80) - 1  # the code point that a byte belongs to
+    line = np.cumsum(raw == 10)
+    return *prints, first[starts], first[ends], line[starts]
+
+
+def _windows(prints: np.ndarray, width: int) -> np.ndarray:
+    """A fingerprint of each ``width`` successive words."""
+    total = np.zeros(len(prints) - width + 1, np.uint64)
+    factors = mix(np.arange(1, width + 1, dtype=np.uint64)) | np.uint64(1)
+    with np.errstate(over="ignore"):
+        for i in range(width):
+            total += prints[i : i + len(total)] * factors[i]
+    return mix(total)
+
+
+def _slide(x: np.ndarray, width: int, least: np.ufunc) -> np.ndarray:
+    """The minimum (or maximum) of each ``width`` successive values, by doubling."""
+    done = 1
+    while done < width:
+        step = min(done, width - done)
+        x = least(x[: len(x) - step], x[step:])
+        done += step
+    return x
+
+
+def _anchors(prints: np.ndarray, run: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and fingerprints of the windows of ``width`` words that are the least of their surroundings.
+
+    Every ``run`` successive words hold one at least, and which ones depends on those words alone.
+    """
+    own = _windows(prints, width)
+    near = run - width + 1
+    least = _slide(own, near, np.minimum)
+    edge = np.zeros(near - 1, np.uint64)
+    at = np.flatnonzero(_slide(np.concatenate([edge, least, edge]), near, np.maximum) == own)
+    return at, own[at]
+
+
+def _stretches(places: list[tuple]) -> Iterator[tuple]:
+    """Runs of the sorted windows of one text: successive ones that are all kept, or all removed."""
+    run = None
+    for pos, start, end, line, doc, at, of_line, copies, removed in places:
+        if run and pos <= run[0] + 1 and removed == run[7]:
+            run[0], run[3], run[6] = pos, end, max(run[6], copies)
+        else:
+            if run:
+                yield tuple(run[1:])
+            run = [pos, line, start, end, doc, of_line, copies, removed]
+    if run:
+        yield tuple(run[1:])
+
+
+def shared_runs(
+    docs: DataFrame,
+    found: DataFrame | None = None,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    run: int = RUN_WORDS,
+    width: int = ANCHOR_WORDS,
+) -> DataFrame:
+    """Runs of ``run`` or more words that stand elsewhere word for word, wherever lines break: columns as of ``repeated_passages``.
+
+    Words are compared after lower-casing A-Z; white space of any kind counts alike. Anchors, windows of
+    ``width`` words that are the least of their surroundings, are in every ``run`` words; windows of ``run``
+    words are counted where they hold an anchor that stands twice, which leaves out no window that repeats.
+    Windows are equal if two independent 64-bit fingerprints are. The first of equal windows, by document
+    and position, stays; one that overlaps its own first place (a loop) stays too. Successive windows that
+    stay, or that are removed, are one row: ``paragraph`` is the line where it starts, ``first_doc`` and
+    ``first_paragraph`` the first place of its first window, ``copies`` the most of any of its windows.
+
+    With ``found`` (of ``repeated_passages``), what stands in its removed lines takes no part, so
+    nothing is removed for the sake of a copy that is removed itself. Rows with a null id take no part;
+    of repeated rows each run is listed once.
+    """
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    source = source.filter("doc_id is not null and text is not null")
+
+    def anchors(batches):
+        for columns in batches:
+            for doc, text in zip(columns["doc_id"].to_pylist(), columns["text"].to_pylist(), strict=True):
+                if len(text) >= 2 * run - 1 and len((prints := _words_at(text)[0])) >= run:
+                    at, own = _anchors(prints, run, width)
+                    yield [doc] * len(at), at.astype(np.int32), own.astype(np.int64)
+
+    placed = settle(map_rows(source, anchors, "doc_id long, at int, anchor long"), "anchors")
+    twice = placed.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    marks = placed.join(twice, "anchor", "left_semi").groupBy("doc_id").agg(F.collect_set("at").alias("marks"))
+    if found is not None:
+        gone = found.filter("removed").groupBy("doc_id").agg(F.collect_set("paragraph").alias("gone"))
+        marks = marks.join(gone, "doc_id", "left")
+    else:
+        marks = marks.withColumn("gone", F.lit(None).cast("array<int>"))
+    marked = source.join(settle(marks, "marks"), "doc_id")
+
+    def windows(batches):
+        for columns in batches:
+            for doc, text, at, gone in zip(*(columns[c].to_pylist() for c in ("doc_id", "text", "marks", "gone")), strict=True):
+                low, high, start, end, line = _words_at(text)
+                if len(low) < run:
+                    continue
+                # Windows that hold a mark, without those that touch a removed line.
+                held, lost = np.zeros(len(low) + 1, int), np.zeros(len(low) + 1, int)
+                # Repeated ids share their marks, which may lie beyond the end of the shorter text.
+                own = np.array([a for a in at if a + width <= len(low)], int)
+                held[own + 1] = 1
+                lost[1:] = np.isin(line, gone or [])
+                held, lost = held.cumsum(), lost.cumsum()
+                n = len(low) - run + 1
+                good = (held[run - width + 1 :][:n] > held[:n]) & (lost[run:] == lost[:n])
+                pos = np.flatnonzero(good)
+                if len(pos):
+                    text_id = int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+                    pair = [_windows(p, run)[pos].astype(np.int64) for p in (low, high)]
+                    spots = [x.astype(np.int32) for x in (pos, start[pos], end[pos + run - 1], line[pos])]
+                    yield [doc] * len(pos), [text_id] * len(pos), *pair, *spots
+
+    schema = "doc_id long, text_id long, low long, high long, pos int, start int, end int, line int"
+    places = settle(map_rows(marked, windows, schema), "windows")
+    groups = (
+        places.groupBy("low", "high")
+        .agg(F.min(F.struct("doc_id", "pos", "line")).alias("first"), F.count("*").alias("copies"))
+        .filter("copies > 1")
+    )
+    near = (F.col("doc_id") == F.col("first.doc_id")) & (F.col("pos") - F.col("first.pos") < run)
+    repeats = places.join(groups, ["low", "high"]).select(
+        "doc_id", "text_id", "pos", "start", "end", "line",
+        F.col("first.doc_id").alias("of_doc"), F.col("first.pos").alias("of_pos"), F.col("first.line").alias("of_line"),
+        "copies", (~near).alias("removed"),
+    )
+    keys = ["doc_id", "text_id"]
+
+    def merge(batches):
+        last, held = None, []
+        fields = ["pos", "start", "end", "line", "of_doc", "of_pos", "of_line", "copies", "removed"]
+
+        def done():
+            return [[last[0]] * len(rows), *map(list, zip(*rows, strict=True))] if (rows := list(_stretches(held))) else None
+
+        for columns in batches:
+            owners = zip(columns["doc_id"].to_pylist(), columns["text_id"].to_pylist(), strict=True)
+            for owner, *place in zip(owners, *(columns[f].to_pylist() for f in fields), strict=True):
+                if owner != last:
+                    if out := done():
+                        yield out
+                    last, held = owner, []
+                held.append(tuple(place))
+        if out := done():
+            yield out
+
+    dealt = repeats.repartition(*keys).sortWithinPartitions(*keys, "pos")
+    schema = "doc_id long, paragraph int, start long, end long, first_doc long, first_paragraph int, copies long, removed boolean"
+    return map_rows(dealt, merge, schema)
+
+
+def repeated_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Repeated paragraphs, and the runs of words that repeat in what these leave."""
+    found = settle(repeated_passages(docs, id_col, text_col), "repeated")
+    return found.unionByName(shared_runs(docs, found, id_col, text_col))
+
+
 def remove_passages(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the lines that are ``removed``. Documents that lose none stay as they are."""
-    gone = found.filter("removed").groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set("paragraph").alias("_gone"))
-    lines = F.split(F.col(text_col), "\n")
-    kept = F.filter(
-        F.transform(lines, lambda line, i: F.when(~F.array_contains("_gone", i), line)), lambda line: line.isNotNull()
+    """``docs`` without what is ``removed``: lines that it covers whole, and its part of others. Other documents stay as they are."""
+    spans = found.filter("removed").groupBy(F.col("doc_id").alias("_doc")).agg(
+        F.array_sort(F.collect_set(F.array(F.col("start"), F.col("end")))).alias("_gone")
     )
-    text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
-    joined = docs.join(gone, F.col(id_col) == F.col("_doc"), "left")
-    return joined.withColumn(text_col, text).drop("_doc", "_gone")
+
+    def cut(text: str, gone: list) -> str:
+        kept, start = [], 0
+        for line in text.split("\n"):
+            end = start + len(line)
+            parts, last, touched = [], start, False
+            for a, b in gone:
+                if a < end and b > start:
+                    touched = True
+                    parts.append(text[last : max(last, min(a, end))])
+                    last = max(last, min(b, end))
+            rest = "".join([*parts, text[last:end]])
+            if not touched or rest.strip():
+                kept.append(rest)
+            start = end + 1
+        return "\n".join(kept)
+
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for texts, gone in batches:
+            yield pd.Series([t if g is None or t is None else cut(t, g) for t, g in zip(texts, gone, strict=True)], dtype=object)
+
+    joined = docs.join(spans, F.col(id_col) == F.col("_doc"), "left")
+    cleared = F.pandas_udf(run, "string")(F.col(text_col), F.col("_gone"))
+    return joined.withColumn(text_col, F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(cleared)).drop("_doc", "_gone")

@@ -29,7 +29,7 @@ def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return paragraphs.repeated_passages(_table(spark, folder, "documents"))
+    return paragraphs.repeated_text(_table(spark, folder, "documents"))
 
 
 def op4_neighbours(spark: SparkSession, folder: str) -> DataFrame:
