@@ -43,7 +43,7 @@ def _outline(word: str) -> str:
 
 def shape(word: str) -> str:
     """The outline with runs of one character made single."""
-    return _RUN.sub(r"\1", _outline(word)[:64])
+    return _RUN.sub(r"\1", _outline(word))
 
 
 def _outline_row(outline: str) -> tuple:
@@ -56,7 +56,7 @@ def _outline_row(outline: str) -> tuple:
         outline.count("!"),
         len(bare),
         outline[-1] in ".!?",
-        zlib.crc32(_RUN.sub(r"\1", outline[:64]).encode("utf-8", "replace")) % BUCKETS,
+        zlib.crc32(_RUN.sub(r"\1", outline).encode("utf-8", "replace")) % BUCKETS,
     )
 
 
@@ -105,8 +105,12 @@ class Reader:
         rows = self.table[kinds]
         letters, upper, symbols, bangs, length, ends = counts @ rows[:, :6]
         same = float((at[1:] == at[:-1]).mean()) if n > 1 else 0.0
-        window = np.sort(at[: n // 64 * 64].reshape(-1, 64) if n >= 64 else at[None, :], axis=1)
-        distinct = float((1 + (window[:, 1:] != window[:, :-1]).sum(axis=1)).mean() / window.shape[1])
+        # Windows of 64 words, the last one ending with the text and weighted by its words that no other holds.
+        cut = at[: n // 64 * 64].reshape(-1, 64) if n >= 64 else at[None, :]
+        rest = n % 64 if n > 64 else 0
+        window = np.sort(np.concatenate([cut, at[None, -64:]]) if rest else cut, axis=1)
+        each = (1 + (window[:, 1:] != window[:, :-1]).sum(axis=1)) / window.shape[1]
+        distinct = float(np.average(each, weights=[64] * len(cut) + [rest])) if rest else float(each.mean())
         stops = float((codes & 1).mean())
         stats = np.array([n, symbols / n, upper / max(letters, 1.0), bangs / n, same, distinct, ends / n, stops, length / n])
         # Each statistic also enters as a bucket of its own, in steps.
