@@ -97,10 +97,15 @@ def _numbered(texts: DataFrame, recipes: DataFrame, clashes: DataFrame, bits: in
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the copies: of equal texts, the row with the largest id stays. Rows with a null id stay."""
+    """``docs`` without the copies: of equal texts, one row with the largest id stays. Rows with a null id stay.
+
+    What goes is told by id and text, so an id that carries two texts can lose one and keep the other.
+    Rows that repeat an id and a text all stay or all go.
+    """
     found = exact_duplicates(docs, id_col, text_col)
-    dropped = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_dropped"))
-    return docs.join(dropped, F.col(id_col) == F.col("_dropped"), "left_anti")
+    dropped = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_dropped"), F.col("text_sha256").alias("_sha"))
+    sha = F.sha2(lower_ascii(F.coalesce(F.col(text_col), F.lit(""))), 256)
+    return docs.join(dropped, (F.col(id_col) == F.col("_dropped")) & (sha == F.col("_sha")), "left_anti")
 
 
 SQL = """with t as (select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
