@@ -17,6 +17,9 @@ MINMAX_COLUMNS = ["n_rooms", "new_mortgages", "debt_ratio", "interest_rates"]
 STANDARD_COLUMNS = ["living_area", "n_tax_households", "average_tax_income"]
 LABEL_COLUMNS = ["departement", "unique_city_id"]
 
+#: Distinct values of a column that become indicators at most.
+MAX_CATEGORIES = 1000
+
 # Indicator column of each outdoor class, in output order.
 OUTDOOR_INDICATORS = {
     "average_outdoor_space": "Average outdoor space",
@@ -79,9 +82,16 @@ def standard_scale(df: DataFrame, columns: list[str], fitted: dict | None = None
 def fit_categories(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
     """Sorted distinct non-NULL values of columns that become one indicator each, in one pass.
 
-    Each value is a column of the result, so the caller names columns of few values.
+    Each value is a column of the result. The values are a table first; a column of more than
+    ``MAX_CATEGORIES`` of them raises before any is collected.
     """
-    row = df.agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in columns]).first()
+    values = settle(df.groupingSets([[F.col(c)] for c in columns], *columns).agg(F.grouping_id().alias("_set")), "categories")
+    # A value is there once, in the set of its column; the other sets have NULL in its place.
+    counts = values.agg(*[F.count(c).alias(c) for c in columns]).first()
+    many = {c: counts[c] for c in columns if counts[c] > MAX_CATEGORIES}
+    if many:
+        raise ValueError(f"more than {MAX_CATEGORIES} categories: {many}")
+    row = values.agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in columns]).first()
     return {c: list(row[c]) for c in columns}
 
 
