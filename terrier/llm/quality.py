@@ -19,7 +19,8 @@ from terrier.llm.common import bounded_sample, portions
 BUCKETS = 1 << 13
 FIT_DOCS = 10_000
 MEMORY = 600_000
-#: Frequent words of the languages expected (fixed values); other languages abstain.
+#: Frequent words of the languages expected (fixed values). A text abstains where a tenth of its words or
+#: more hold letters that none of these languages has; other languages without such letters are not told apart.
 STOP_WORDS = frozenset(
     "the of and to in is that it was for on are with as his they be at this have from or by not "
     "le la les de des du et un une en que qui dans pour pas sur au avec est "
@@ -29,6 +30,7 @@ STOP_WORDS = frozenset(
 _SHAPES = {i: ("A" if chr(i).isupper() else "a" if chr(i).isalpha() else "9" if chr(i).isdigit() else chr(i)) for i in range(0x250)}
 _OTHER = re.compile("[^\x00-\u024f]")
 _RUN = re.compile(r"(.)\1+", re.S)
+_FOREIGN = re.compile("[^\\W\\d_a-zA-ZªºÀÁÂÄÆÇÈÉÊËÌÍÎÏÑÒÓÔÖÙÚÛÜŒßàáâäæçèéêëìíîïñòóôöùúûüÿœŸſ]")
 _SYMBOL = re.compile(r"[#&$%*|~^<>{}=\\_@]")
 
 LABELLERS = ["symbols", "shouting", "exclaiming", "repeating", "distinct", "sentences", "function words", "word length"]
@@ -67,7 +69,7 @@ class Reader:
         self.forget()
 
     def forget(self):
-        # A word's code is twice its outline's number, and one more for a function word.
+        # A word's code is four times its outline's number, two more with a foreign letter, and one more for a function word.
         self.codes: dict[str, int] = {}
         self.outlines: dict[str, int] = {}
         self.table = np.empty((0, 7))
@@ -88,7 +90,8 @@ class Reader:
                     number = self.outlines[outline] = len(self.outlines)
                     rows.append(_outline_row(outline))
                 stop = len(word) <= 8 and word.strip(".,;:!?\"'()").lower() in STOP_WORDS
-                self.codes[word] = 2 * number + stop
+                foreign = not word.isascii() and bool(_FOREIGN.search(word))
+                self.codes[word] = 4 * number + 2 * foreign + stop
             if rows:
                 self.table = np.concatenate([self.table, np.array(rows, float)])
             for words in split:
@@ -97,11 +100,11 @@ class Reader:
     def _one(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         n = len(words)
         if not n:
-            return np.zeros(9), np.array([0]), np.array([1.0])
+            return np.zeros(10), np.array([0]), np.array([1.0])
         codes = np.fromiter(map(self.codes.__getitem__, words), np.int64, n)
         # Equal words have equal hashes within a process, which is all that is asked of them here.
         at = np.fromiter(map(hash, words), np.int64, n)
-        kinds, counts = np.unique(codes >> 1, return_counts=True)
+        kinds, counts = np.unique(codes >> 2, return_counts=True)
         rows = self.table[kinds]
         letters, upper, symbols, bangs, length, ends = counts @ rows[:, :6]
         same = float((at[1:] == at[:-1]).mean()) if n > 1 else 0.0
@@ -111,10 +114,10 @@ class Reader:
         window = np.sort(np.concatenate([cut, at[None, -64:]]) if rest else cut, axis=1)
         each = (1 + (window[:, 1:] != window[:, :-1]).sum(axis=1)) / window.shape[1]
         distinct = float(np.average(each, weights=[64] * len(cut) + [rest])) if rest else float(each.mean())
-        stops = float((codes & 1).mean())
-        stats = np.array([n, symbols / n, upper / max(letters, 1.0), bangs / n, same, distinct, ends / n, stops, length / n])
-        # Each statistic also enters as a bucket of its own, in steps.
-        steps = [_step(i, int(10 * min(v, 3.0))) for i, v in enumerate(stats[1:].tolist())]
+        stops, foreign = float((codes & 1).mean()), float((codes >> 1 & 1).mean())
+        stats = np.array([n, symbols / n, upper / max(letters, 1.0), bangs / n, same, distinct, ends / n, stops, length / n, foreign])
+        # Each statistic but the share of foreign words also enters as a bucket of its own, in steps.
+        steps = [_step(i, int(10 * min(v, 3.0))) for i, v in enumerate(stats[1:9].tolist())]
         buckets = np.concatenate([rows[:, 6].astype(np.int64), steps])
         return stats, buckets, np.concatenate([counts / n, np.full(len(steps), 0.25)])
 
@@ -125,7 +128,7 @@ def _step(statistic: int, value: int) -> int:
 
 def vote(stats: np.ndarray) -> str:
     """One letter per labeller: g (good), b (bad), or a dot where it abstains. A text without words is bad to all."""
-    n, symbols, upper, bangs, same, distinct, ends, stops, length = stats
+    n, symbols, upper, bangs, same, distinct, ends, stops, length, foreign = stats
     if not n:
         return "b" * len(LABELLERS)
 
@@ -140,7 +143,7 @@ def vote(stats: np.ndarray) -> str:
             judge(same > 0.2, same < 0.05 and n >= 10),
             judge(distinct < 0.35 and n >= 30, distinct > 0.5 and n >= 10),
             judge(ends < 0.01 and n >= 60, 0.02 < ends < 0.5),
-            judge(stops < 0.02 and n >= 30, stops > 0.08),
+            judge(stops < 0.02 and n >= 30 and foreign < 0.1, stops > 0.08),
             judge(length > 15 or length < 1.5, 2.5 < length < 10),
         ]
     )
