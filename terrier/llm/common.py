@@ -160,6 +160,22 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     return roots.union(links.select(F.col("b").alias("node"), F.col("a").alias("component")))
 
 
+def look_up(
+    left: DataFrame, right: DataFrame, keys: list[str], by: list[str] | None = None, of: DataFrame | None = None, deal: int = 64
+) -> DataFrame:
+    """Left join of ``left`` with ``right``, whose ``keys`` are unique, without a task for all rows of a hot key.
+
+    Every key of ``left`` is dealt into ``deal`` parts by a hash of the columns ``by`` (all, unless stated), and
+    a row of ``right`` is copied only to the parts in use, so there are never more copies than rows of
+    ``left``. ``of`` may hold the same keys and columns as ``left`` where they are cheaper to read.
+    """
+    part = F.pmod(F.xxhash64(*(by or left.columns)), F.lit(deal))
+    source = (left if of is None else of).select(*keys, part.alias("_deal")).dropna(subset=keys)
+    used = source.groupBy(*keys).agg(F.collect_set("_deal").alias("_deals"))
+    copies = right.join(used, keys).withColumn("_deal", F.explode("_deals")).drop("_deals")
+    return left.withColumn("_deal", part).join(copies, [*keys, "_deal"], "left").drop("_deal")
+
+
 def bounded_sample(df: DataFrame, key: str, most: int) -> DataFrame:
     """At most ``most`` rows, those with the smallest hash of ``key``: the same ones however rows are dealt."""
     rows = df.count()
