@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrier.llm import bpe, chat, decontaminate, exact, jaccard, neighbours, packing, paragraphs, pii, prefixes, quality, toxicity
+from terrier.llm import (
+    bpe,
+    chat,
+    collocations,
+    decontaminate,
+    exact,
+    jaccard,
+    neighbours,
+    packing,
+    paragraphs,
+    pii,
+    prefixes,
+    quality,
+    toxicity,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -64,6 +78,10 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.digests(pii.detect(docs, pii.fit(docs)))
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(_table(spark, folder, "documents"))
+
+
 def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefixes.rebuilt_trie(_table(spark, folder, "conversations"))
 
@@ -84,6 +102,7 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_pii": op10_pii,
+    "op11_collocations": op11_collocations,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_decontaminate": op13_decontaminate,
 }
@@ -91,6 +110,7 @@ SQL = {
     "op1_chat_format": chat.SQL,
     "op5_jaccard_join": jaccard.SQL,
     "op9_exact_dedup": exact.SQL,
+    "op11_collocations": collocations.SQL,
     "op12_prefix_trie": prefixes.SQL,
     "op13_decontaminate": decontaminate.SQL,
 }
