@@ -270,24 +270,27 @@ def run_clean(t):
     )
 
 
+_PREPARED = {
+    "n_rooms": 5, "new_mortgages": 8, "debt_ratio": 5, "interest_rates": 5, "living_area": 4, "n_tax_households": 8,
+    "average_tax_income": 8, "month_sin": 8, "month_cos": 8, "log_price_per_m2": 8,
+}
+_WHOLE = ["building_type", *preprocessing.OUTDOOR_INDICATORS, "year_month_numeric", "departement", "unique_city_id"]
+
+
 @query(
     "run_preprocess",
-    """select part, count(*) as n, min(year_month_numeric) as first, max(year_month_numeric) as last from (
-      select *, case when r <= floor(cast(0.7 as double) * total) then 'train' else 'test' end as part
-      from (select *, row_number() over (order by year_month_numeric) as r, count(*) over () as total from merged))
-    group by part""",
-    "merged",
+    f"""select part, {", ".join(_WHOLE)}, {", ".join(f"round({c}::double, {n}) + 0 as {c}" for c, n in _PREPARED.items())}
+    from prepared""",
+    "prepared",
 )
 def run_preprocess(t):
+    """Every preprocessed row, with its part, its features and the target."""
     layout = _project(t)
     pipeline.run_clean(t.spark, layout)
     train, test = pipeline.run_preprocess(t.spark, layout)
     both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
-    return both.groupBy("part").agg(
-        F.count("*").alias("n"),
-        F.min("year_month_numeric").alias("first"),
-        F.max("year_month_numeric").alias("last"),
-    )
+    rounded = [(F.round(F.col(c).cast("double"), n) + 0).alias(c) for c, n in _PREPARED.items()]
+    return both.select("part", *_WHOLE, *rounded)
 
 
 def _prepared(t: Tables) -> pipeline.Layout:
@@ -326,18 +329,39 @@ def _formula_project(t: Tables) -> pipeline.Layout:
     return layout
 
 
-@query("run_evaluate")
+_PREDICTED = "0.25::double * n_rooms::double + 0.5::double * living_area::double + 8"
+
+
+@query(
+    "run_evaluate",
+    f"""select count(*) as row_count, round(avg(e * e), 6) as loss, round(sqrt(avg(e * e + 1e-8)), 6) as rmse,
+      round(avg(abs(e)), 6) as mae
+    from (select {_PREDICTED} - log_price_per_m2 as e from prepared where part = 'test' and isfinite(log_price_per_m2))""",
+    "prepared",
+)
 def run_evaluate(t):
     """Test metrics of a formula model that waits in the registry."""
-    return pipeline.run_evaluate(t.spark, _formula_project(t))
+    metrics = pipeline.run_evaluate(t.spark, _formula_project(t))
+    return metrics.select("row_count", *[F.round(m, 6).alias(m) for m in ("loss", "rmse", "mae")])
 
 
-@query("run_predict")
+@query(
+    "run_predict",
+    f"""select unique_city_id, year_month_numeric, building_type, round({_PREDICTED}, 5) as log_price,
+      round(exp({_PREDICTED}), 1) as price_per_sq_meter
+    from (select unique_city_id, year_month_numeric, case building_type when 1 then 'Maison' else 'Appartement' end as building_type,
+      n_rooms, living_area from prepared where part = 'test')""",
+    "prepared",
+)
 def run_predict(t):
     """Scores for every test row as a request table, by a formula model."""
     layout = _formula_project(t)
     requests = t.spark.read.parquet(layout.split).filter("part = 'test'").select(*SCORING_REQUEST.names)
-    return pipeline.run_predict(t.spark, layout, requests)
+    scored = pipeline.run_predict(t.spark, layout, requests)
+    return scored.select(
+        "unique_city_id", "year_month_numeric", "building_type",
+        F.round("log_price", 5).alias("log_price"), F.round("price_per_sq_meter", 1).alias("price_per_sq_meter"),
+    )
 
 
 @query("run_all", "select 1::bigint as scored, true as finite", "merged")

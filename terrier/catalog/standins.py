@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from terrier.schemas import MERGED
+
 _LAND = """case {part} % 12
     when 0 then '{{}}' when 1 then '{{120}}' when 2 then '{{80,45}}' when 3 then '{{200}}'
     when 4 then '{{200.5}}' when 5 then '{{1000}}' when 6 then '{{1001}}' when 7 then '{{abc}}'
@@ -246,6 +248,57 @@ CTES: dict[str, tuple[str, str]] = {
 }
 
 
+def tie_order(columns: dict[str, str]) -> str:
+    """SQL for the digest that orders rows of equal keys; ``columns`` in table order with their kinds."""
+    kinds = {
+        "number": """case when abs({c}::double) < 70368744177664 then floor({c}::double * 65536 + 0.5)::bigint::varchar
+          when {c} = 'Infinity'::double then 'Infinity' when {c} = '-Infinity'::double then '-Infinity'
+          else {c}::varchar end""",
+        "time": "strftime({c}, '%Y-%m-%d %H:%M:%S.%f')",
+        "whole": "{c}::varchar",
+        "text": r"replace(replace({c}, '\', '\\'), '|', '\|')",
+    }
+    texts = [f"coalesce({kinds[kind].format(c=name)}, '\\N')" for name, kind in columns.items()]
+    return f"substr(md5(concat_ws('|', {', '.join(texts)})), 1, 11)"
+
+
+MERGED_KINDS = {
+    f.name: {"double": "number", "float": "number", "int": "whole"}.get(f.dataType.simpleString(), "text") for f in MERGED
+}
+
+CTES["parts"] = (
+    "merged",
+    f"""select *, case when r <= floor(cast(0.7 as double) * total) then 'train' else 'test' end as part
+    from (select *, row_number() over (order by year_month_numeric, {tie_order(MERGED_KINDS)}) as r, count(*) over () as total
+      from (select {", ".join(MERGED_KINDS)} from merged where n_tax_households is not null and average_tax_income is not null))""",
+)
+
+
+def _minmax(name: str, kind: str) -> str:
+    low, high = f"(select min({name}::double) from train)", f"(select max({name}::double) from train)"
+    return f"cast(case when {high} = {low} then {name} * 0 else ({name}::double - {low}) / ({high} - {low}) end as {kind}) as {name}"
+
+
+def _standard(name: str, kind: str) -> str:
+    mean, spread = f"(select avg({name}::double) from train)", f"(select stddev_pop({name}::double) from train)"
+    return f"cast(case when {spread} = 0 then {name} * 0 else ({name}::double - {mean}) / {spread} end as {kind}) as {name}"
+
+
+CTES["train"] = ("parts", "select * from parts where part = 'train'")
+CTES["prepared"] = (
+    "train",
+    f"""select part, {_minmax("n_rooms", "float")}, {_minmax("new_mortgages", "double")}, {_minmax("debt_ratio", "float")},
+      {_minmax("interest_rates", "float")}, cast(building_type = 'Maison' as int) as building_type,
+      coalesce(cast(outdoor_area = 'Average outdoor space' as int), 0) as average_outdoor_space,
+      coalesce(cast(outdoor_area = 'Large outdoor space' as int), 0) as large_outdoor_space,
+      coalesce(cast(outdoor_area = 'No garden' as int), 0) as no_garden,
+      coalesce(cast(outdoor_area = 'Small outdoor space' as int), 0) as small_outdoor_space,
+      {_standard("living_area", "float")}, {_standard("n_tax_households", "double")}, {_standard("average_tax_income", "double")},
+      year_month_numeric, month_sin, month_cos, departement, unique_city_id, log_price_per_m2
+    from parts""",
+)
+
+
 def with_ctes(sql: str, names: list[str]) -> str:
     """Prefix a query with the stand-ins it names and everything they are built on."""
     ordered: list[str] = []

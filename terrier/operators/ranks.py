@@ -178,9 +178,36 @@ def exact_quantiles(df: DataFrame, value: Column | str, shares: list[float]) ->
     return {share: at(place) for share, place in places.items()}
 
 
-def row_hash(columns: list[str]) -> Column:
-    """Hash of a row in ``0 .. HASH_RANGE - 1``, the tie-break among equal keys."""
-    return F.shiftrightunsigned(F.xxhash64(*[F.col(f"`{c}`") for c in columns]), 64 - HASH_BITS)
+def canonical_text(column: Column, kind: T.DataType) -> Column:
+    """A value as text that any SQL engine can write alike; ``\\N`` for null, ``\\`` and ``|`` escaped in texts.
+
+    Fractions count in steps of 2^-16, so the last bits of a sum don't change the text; numbers of 2^46 and
+    more, and infinite ones, are written as Spark does.
+    """
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        x = column.cast("double")
+        text = F.when(F.abs(x) < 2.0**46, F.floor(x * 65536 + 0.5).cast("string")).otherwise(x.cast("string"))
+    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        text = F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    elif isinstance(kind, T.BinaryType):
+        text = F.hex(column)
+    elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        text = F.to_json(F.struct(column))
+    else:
+        text = column.cast("string")
+    if isinstance(kind, (T.StringType, T.ArrayType, T.MapType, T.StructType)):
+        text = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|"))
+    return F.coalesce(text, F.lit("\\N"))
+
+
+def row_hash(df: DataFrame) -> Column:
+    """Digest of a row in ``0 .. HASH_RANGE - 1``, the tie-break among equal keys.
+
+    The first 44 bits of the MD5 of the canonical texts of all columns, so that SQL elsewhere can state
+    which rows of a tie come first.
+    """
+    texts = [canonical_text(F.col(f"`{f.name}`"), f.dataType) for f in df.schema]
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *texts)), 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
 def sort_spread(df: DataFrame, order_by: str) -> DataFrame:
@@ -189,7 +216,7 @@ def sort_spread(df: DataFrame, order_by: str) -> DataFrame:
     Equal keys are ordered by row hash and copies by the partition they come from, so the range
     shuffle can cut through a hot key and through a hot group of copies.
     """
-    tied = df.withColumns({"_hash": row_hash(df.columns), "_from": F.spark_partition_id()})
+    tied = df.withColumns({"_hash": row_hash(df), "_from": F.spark_partition_id()})
     return tied.orderBy(order_by, "_hash", "_from").drop("_hash", "_from")
 
 
@@ -218,7 +245,7 @@ def label_by_position(
 
     places = sorted(cuts(seen.rows))
     key = F.col(order_by)
-    digest = row_hash(df.columns)
+    digest = row_hash(df)
     inner = [p for p in places if 0 < p < seen.rows]
     hits = locate_ranks(df, order_by, inner, seen)
 
@@ -247,6 +274,14 @@ def label_by_position(
                 hit = found[starts[value] + p - hits[p].below]
                 within[p] = Hit(hit.value - index[value] * HASH_RANGE, hit.below - starts[value], hit.count)
 
+    # The digest is computed once a row, and only where a tie has to be cut.
+    tie = "_tie"
+    while tie in df.columns:
+        tie += "_"
+    columns = df.columns
+    if split_keys:
+        df = df.withColumn(tie, F.when(key.isin(*[bound(v) for v in split_keys]), digest))
+    digest = F.col(tie)
     number = F.lit(0)
     ties: dict[tuple[float, float], list[tuple[int, int]]] = {}
     for i, place in enumerate(places):
@@ -259,21 +294,21 @@ def label_by_position(
         else:
             value = hits[place].value
             offset = place - hits[place].below
-            tie = within[place]
-            lower = (key < bound(value)) | ((key == bound(value)) & (digest < F.lit(int(tie.value))))
-            if offset > tie.below:
-                ties.setdefault((value, tie.value), []).append((i, offset - tie.below))
+            cut = within[place]
+            lower = (key < bound(value)) | ((key == bound(value)) & (digest < F.lit(int(cut.value))))
+            if offset > cut.below:
+                ties.setdefault((value, cut.value), []).append((i, offset - cut.below))
         number = number + F.when(lower, 0).otherwise(1)
 
     if not ties:
-        return df.withColumn(label, number)
+        return df.withColumn(label, number).drop(tie)
     rest = df
     divided = []
     for (value, tied), parts in ties.items():
         same = (key == bound(value)) & (digest == F.lit(int(tied)))
         rest = rest.filter(~same)
-        divided.append(_divide_copies(df.filter(same), parts, label))
-    labelled = rest.withColumn(label, number)
+        divided.append(_divide_copies(df.filter(same).select(*[F.col(f"`{c}`") for c in columns]), parts, label))
+    labelled = rest.withColumn(label, number).drop(tie)
     for piece in divided:
         labelled = labelled.unionByName(piece)
     return labelled

@@ -108,6 +108,6 @@ def sample_one(df: DataFrame, seed: int, by: list[str]) -> DataFrame:
     Rows that tie there are ordered by their hash and then by all columns, so only copies of a row tie.
     """
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(f"`{c}`").cast("string") for c in by]))
-    return df.orderBy(digest, *by, row_hash(df.columns), *[F.col(f"`{c}`") for c in df.columns]).limit(1)
+    return df.orderBy(digest, *by, row_hash(df), *[F.col(f"`{c}`") for c in df.columns]).limit(1)
 
 
