@@ -122,7 +122,7 @@ def train_gbt(t):
     """Facts about a fit with the library's parameters, and that it used no more than their rounds."""
     trained = _Trained(t)
     model = trained.gbt()
-    rounds = 1 <= model.stages[-1].getNumTrees <= modelling.GBT_PARAMS["maxIter"]
+    rounds = 1 <= model.rounds <= modelling.GBT_PARAMS["maxIter"]
     return _facts(trained, model).withColumn("rounds_in_limit", F.lit(rounds))
 
 

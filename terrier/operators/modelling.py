@@ -2,30 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, VectorAssembler
-from pyspark.ml.regression import FMRegressor, GBTRegressionModel, GBTRegressor
+from pyspark.ml.regression import FMRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrier.functions import exp_price, normal_city_id
+from terrier.operators.boosting import BoostedTrees, fit_trees
 from terrier.operators.cleaning import drop_non_finite
 from terrier.operators.preprocessing import FittedPreprocessor, apply_preprocessor, encode_labels
 from terrier.operators.splits import kfold_contiguous
 from terrier.schemas import NUMERIC_COLUMNS, SCORING_REQUEST, cast_schema
-from terrier.sources.scratch import scratch_root
 
 TARGET = "log_price_per_m2"
 
-# Training parameters of the boosted trees. A split penalty of 0.1 on the total squared
-# error has no counterpart: ``minInfoGain`` is per row, where that penalty is close to zero.
+# Training parameters of the boosted trees.
 GBT_PARAMS = {
     "maxIter": 100,
     "maxDepth": 8,
     "stepSize": 0.05,
     "subsamplingRate": 0.8,
     "featureSubsetStrategy": "0.8",
+    "gamma": 0.1,
+    "regLambda": 1.0,
+    "minChildWeight": 1.0,
     "seed": 42,
 }
 
@@ -37,18 +38,29 @@ RMSE_EPSILON = 1e-8
 
 
 def mean_r2_by_fold(folds: DataFrame, target: str, fold: str = "fold") -> DataFrame:
-    """R2 of predicting the mean of the other folds, per fold, from three sums per fold."""
+    """R2 of predicting the mean of the other folds, per fold, from its count, mean and variance.
+
+    Moments are centred, so targets that are large against their spread lose no digits.
+    """
     value = F.col(target).cast("double")
-    sums = folds.groupBy(fold).agg(
-        F.count(value).alias("n"), F.sum(value).alias("s"), F.sum(value * value).alias("ss")
+    known = folds.filter(value.isNotNull())
+    moments = known.groupBy(fold).agg(
+        F.count(value).alias("n"), F.avg(value).alias("mean"), F.var_pop(value).alias("variance")
     )
-    # One row per fold from here on, so a window over all of them is small.
+    # One row per fold from here on, so a window over all of them is small. The means of the others are
+    # taken as distances from this fold's own.
     whole = Window.partitionBy(F.lit(0))
-    guess = (F.sum("s").over(whole) - F.col("s")) / (F.sum("n").over(whole) - F.col("n"))
-    with_guess = sums.withColumn("guess", guess)
-    residual = F.col("ss") - 2 * F.col("guess") * F.col("s") + F.col("n") * F.col("guess") * F.col("guess")
-    spread = F.col("ss") - F.col("s") * F.col("s") / F.col("n")
-    return with_guess.select(fold, "n", "guess", (1 - F.try_divide(residual, spread)).alias("r2"))
+    others = F.collect_list(F.struct("n", "mean")).over(whole)
+    far = F.aggregate(
+        others, F.lit(0.0), lambda s, o: s + o["n"] * (o["mean"] - F.col("mean"))
+    ) / (F.sum("n").over(whole) - F.col("n"))
+    guessed = moments.withColumn("far", far)
+    return guessed.select(
+        fold,
+        "n",
+        (F.col("mean") + F.col("far")).alias("guess"),
+        (-F.try_divide(F.col("far") * F.col("far"), F.col("variance"))).alias("r2"),
+    )
 
 
 def baseline_mean(df: DataFrame, target: str, order_by: str, folds: int = 5) -> DataFrame:
@@ -61,61 +73,33 @@ def _trainable(df: DataFrame) -> DataFrame:
     return drop_non_finite(df, TARGET).na.drop("any", subset=NUMERIC_COLUMNS)
 
 
-def _use_shared_checkpoints(df: DataFrame) -> None:
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(scratch_root(df.sparkSession))
-
-
 def train_gbt(
     fit: DataFrame, departments: int, validation: DataFrame | None = None, patience: int = 5, **params
-) -> PipelineModel:
-    """Boosted trees on log price over encoded rows.
+) -> BoostedTrees:
+    """Boosted trees on log price over encoded rows; department and city are nominal.
 
-    The department code is nominal; a city code has tens of thousands of levels, more than the
-    histogram bins of a distributed tree, so it enters as an ordered number. Codes follow the
-    ``(dep,id)`` text, so a split on them separates neighbouring departments and communes.
-
-    With validation rows the model ends at the round with the lowest validation error before
-    ``patience`` rounds without improvement: the later trees are cut off, nothing is fitted twice.
+    Second-order leaf values with L2, ``gamma`` as a penalty on the total error of a split, rows and
+    columns drawn for each tree. With validation rows, fitting ends after ``patience`` rounds without a
+    lower error, and the rounds up to the lowest stay. ``departments`` is not needed: codes are sets.
     """
-    _use_shared_checkpoints(fit)
-    settings = {**GBT_PARAMS, **params}
-    rows = _tree_rows(fit).withMetadata(
-        "departement",
-        {"ml_attr": {"type": "nominal", "name": "departement", "vals": [str(i) for i in range(departments + 1)]}},
-    )
-    numeric = VectorAssembler(inputCols=[*NUMERIC_COLUMNS, "unique_city_id"], outputCol="numbers")
-    joined = VectorAssembler(inputCols=["numbers", "departement"], outputCol="features")
-    learner = GBTRegressor(
-        labelCol=TARGET,
-        featuresCol="features",
-        predictionCol="log_price",
-        maxBins=max(64, departments + 1),
-        checkpointInterval=10,
-        maxMemoryInMB=512,
-        **settings,
+    used = {**GBT_PARAMS, **params}
+    return fit_trees(
+        _tree_rows(fit),
+        TARGET,
+        NUMERIC_COLUMNS,
+        ["departement", "unique_city_id"],
+        None if validation is None else _tree_rows(validation),
+        patience,
+        rounds=used["maxIter"],
+        depth=used["maxDepth"],
+        rate=used["stepSize"],
+        row_share=used["subsamplingRate"],
+        column_share=float(used["featureSubsetStrategy"]),
+        l2=used["regLambda"],
+        gamma=used["gamma"],
+        least=used["minChildWeight"],
+        seed=used["seed"],
     )
-    model = Pipeline(stages=[numeric, joined, learner]).fit(rows)
-    if validation is not None:
-        best = best_round(_validation_losses(model, validation), patience)
-        if best < model.stages[-1].getNumTrees:
-            model = PipelineModel([*model.stages[:-1], _first_rounds(model.stages[-1], best)])
-    return model
-
-
-def _first_rounds(model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
-    """The same ensemble without the trees after ``rounds``."""
-    context = SparkContext._active_spark_context
-    whole, jvm = model._java_obj, context._jvm
-    trees = context._gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
-    weights = context._gateway.new_array(jvm.double, rounds)
-    for i in range(rounds):
-        trees[i], weights[i] = whole.trees()[i], whole.treeWeights()[i]
-    cut = jvm.org.apache.spark.ml.regression.GBTRegressionModel(whole.uid(), trees, weights, whole.numFeatures())
-    for name in ("featuresCol", "predictionCol", "labelCol"):
-        cut.set(cut.getParam(name), whole.getOrDefault(whole.getParam(name)))
-    return GBTRegressionModel(cut)
 
 
 def best_round(losses: list[float], patience: int) -> int:
@@ -133,17 +117,9 @@ def _tree_rows(encoded: DataFrame) -> DataFrame:
     return _trainable(encoded).withColumn("departement", F.col("departement").cast("double"))
 
 
-def _validation_losses(model: PipelineModel, validation: DataFrame) -> list[float]:
-    rows = _tree_rows(validation)
-    for stage in model.stages[:-1]:
-        rows = stage.transform(rows)
-    return [float(loss) for loss in model.stages[-1].evaluateEachIteration(rows, "squared")]
-
-
-def training_curve(model: PipelineModel, validation: DataFrame) -> DataFrame:
+def training_curve(model: BoostedTrees, validation: DataFrame) -> DataFrame:
     """RMSE on validation rows after each round of a boosted-tree model."""
-    table = [(i + 1, loss**0.5) for i, loss in enumerate(_validation_losses(model, validation))]
-    return validation.sparkSession.createDataFrame(table, "round int, rmse double")
+    return model.curve(_tree_rows(validation), TARGET).select("round", F.sqrt("loss").alias("rmse"))
 
 
 def train_embedding_model(
@@ -209,7 +185,7 @@ def evaluate_mae(df: DataFrame, prediction: str = "log_price", target: str = TAR
     return evaluate(df, prediction, target).select("mae")
 
 
-def predict(encoded: DataFrame, model: PipelineModel) -> DataFrame:
+def predict(encoded: DataFrame, model: PipelineModel | BoostedTrees) -> DataFrame:
     """Encoded rows with log price and euros per square metre."""
     numbers = {c: F.col(c).cast("double") for c in ("departement", "unique_city_id")}
     scored = model.transform(encoded.withColumns(numbers))

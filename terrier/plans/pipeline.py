@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -10,7 +11,6 @@ from pyspark.sql import functions as F
 
 from terrier.operators import cleaning, modelling, preprocessing, splits
 from terrier.operators.enrich import merge_features, rename_features, stateless_features
-from terrier.operators.profiling import min_metric
 from terrier.operators.series import combined_temporal_features
 from terrier.schemas import CITY_MAPPING, MERGED, STATELESS, TAX_BY_CITY, TEMPORAL, TRANSACTIONS_RAW
 from terrier.sources.files import has_mark, is_complete
@@ -148,26 +148,29 @@ def run_train(spark: SparkSession, layout: Layout, model_type: str = "gbt", **pa
     """Fit on the first 80 % of train, validate on the rest; save the model and log the run."""
     if model_type not in ("gbt", "embedding"):
         raise ValueError(f"model_type must be gbt or embedding, not {model_type}")
-    rows, fitted = _encoded(spark, layout, "train")
-    # Written once: every boosting round and both parts read it.
+    rows = require_stage(spark, layout.preprocessed("train"), "run_preprocess first")
+    fitted = preprocessing.load_preprocessor(spark, layout.preprocessor)
+    # Split on the stored rows, then encoded once: both parts are read several times.
     parts = materialize(
         spark,
         layout.preprocessed("fit_validation"),
-        lambda: splits.validation_split(cleaning.drop_non_finite(rows, TARGET)),
+        lambda: preprocessing.encode_labels(splits.validation_split(cleaning.drop_non_finite(rows, TARGET)), fitted),
         partition_by=["part"],
     )
     fit, validation = (parts.filter(F.col("part") == p).drop("part") for p in ("fit", "validation"))
     departments = fitted.labels["departement"].count()
     if model_type == "gbt":
         model = modelling.train_gbt(fit, departments, validation, **params)
-        rmse = min_metric(modelling.training_curve(model, validation)).first()["rmse"]
+        rmse = math.sqrt(min(model.losses))
+        metrics = {"rmse": rmse, "rounds": model.rounds}
     else:
         cities = fitted.labels["unique_city_id"].count()
         model = modelling.train_embedding_model(fit, departments, cities, **params)
         rmse = modelling.evaluate(modelling.predict(validation, model)).first()["rmse"]
+        metrics = {"rmse": rmse}
     # The whole set, defaults included, so that the run can be repeated from its record.
     used = {**(modelling.GBT_PARAMS if model_type == "gbt" else modelling.EMBEDDING_PARAMS), **params}
-    log_run(spark, layout.artifacts, model_type, "train", fit.count(), used, {"rmse": rmse})
+    log_run(spark, layout.artifacts, model_type, "train", fit.count(), used, metrics)
     save_model(model, layout.artifacts, model_type)
     return rmse
 
