@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 from terrier.operators import cleaning, modelling, preprocessing, splits
 from terrier.operators.enrich import merge_features, rename_features, stateless_features
 from terrier.operators.series import combined_temporal_features
-from terrier.schemas import CITY_MAPPING, MERGED, STATELESS, TAX_BY_CITY, TEMPORAL, TRANSACTIONS_RAW
-from terrier.sources.files import has_mark, is_complete
+from terrier.schemas import CITY_MAPPING, MERGED, STATELESS, TAX_BY_CITY, TEMPORAL, TRANSACTIONS_RAW, cast_schema
+from terrier.sources.archive import read_archive
+from terrier.sources.files import has_mark, is_complete, list_names
 from terrier.sources.registry import load_latest_model, log_run, save_model
 from terrier.sources.stages import expect_row_count, materialize, read_stage, require_stage
-from terrier.sources.tables import ingest_chunks, load_tables, write_parquet
+from terrier.sources.tables import SKIPPED_RAW_ENTRIES, csv_to_parquet, ingest_chunks, load_tables, write_parquet
 
 TARGET = modelling.TARGET
 
@@ -35,6 +36,10 @@ class Layout:
     def chunks(self) -> str:
         return f"{self.raw}/raw_dataset_chunks"
 
+    @property
+    def archive(self) -> str:
+        return f"{self.raw}/transactions.npz"
+
     @property
     def transactions(self) -> str:
         return f"{self.raw}/raw_dataset_full/transactions.parquet"
@@ -67,8 +72,22 @@ class Layout:
 
 
 def run_extract(spark: SparkSession, layout: Layout) -> DataFrame:
-    """Chunk files to one raw Parquet dataset."""
-    return ingest_chunks(spark, layout.chunks, layout.transactions, TRANSACTIONS_RAW)
+    """The archive, or chunk files where there is none, to one raw Parquet dataset; economic CSV to Parquet.
+
+    Missing numbers of the archive (NaN) become NULL. A table that is there as Parquet is not converted.
+    """
+    there = set(list_names(spark, layout.raw))
+    fresh = {n.removesuffix(".csv") for n in there if n.endswith(".csv") and n not in SKIPPED_RAW_ENTRIES}
+    fresh = {n for n in fresh if f"{n}.parquet" not in there}
+    if fresh:
+        csv_to_parquet(spark, layout.raw, only=fresh)
+    if "transactions.npz" not in there:
+        return ingest_chunks(spark, layout.chunks, layout.transactions, TRANSACTIONS_RAW)
+    rows = cast_schema(read_archive(spark, layout.archive), TRANSACTIONS_RAW)
+    numbers = [f.name for f in TRANSACTIONS_RAW if f.dataType.simpleString() in ("double", "float")]
+    rows = rows.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in numbers})
+    write_parquet(rows, layout.transactions)
+    return read_stage(spark, layout.transactions, TRANSACTIONS_RAW)
 
 
 def run_clean(spark: SparkSession, layout: Layout, rows: tuple[int, int] | None = None) -> DataFrame:

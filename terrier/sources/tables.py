@@ -39,8 +39,10 @@ def load_tables(spark: SparkSession, folder: str, schemas: dict[str, T.StructTyp
     return tables
 
 
-def load_csv_tables(spark: SparkSession, folder: str, schemas: dict[str, T.StructType] | None = None) -> dict[str, DataFrame]:
-    """Every ``<name>.csv`` of a folder as ``{<name>_df: DataFrame}``.
+def load_csv_tables(
+    spark: SparkSession, folder: str, schemas: dict[str, T.StructType] | None = None, only: set[str] | None = None
+) -> dict[str, DataFrame]:
+    """Every ``<name>.csv`` of a folder (of those named, if any) as ``{<name>_df: DataFrame}``.
 
     Known tables are read with their schema, by column name; only unknown ones pay for inference.
     """
@@ -49,6 +51,8 @@ def load_csv_tables(spark: SparkSession, folder: str, schemas: dict[str, T.Struc
     for entry in list_names(spark, folder):
         if entry.endswith(".csv") and entry not in SKIPPED_RAW_ENTRIES:
             name = entry.removesuffix(".csv")
+            if only is not None and name not in only:
+                continue
             tables[f"{name}_df"] = _read_csv_by_name(spark, f"{folder}/{entry}", schemas.get(name))
     return tables
 
@@ -72,10 +76,12 @@ def _typed(field: T.StructField) -> Column:
     return value.try_cast(field.dataType).alias(field.name)
 
 
-def csv_to_parquet(spark: SparkSession, folder: str, schemas: dict[str, T.StructType] | None = None) -> dict[str, DataFrame]:
-    """Write each raw CSV of a folder as a sibling Parquet table; return the Parquet tables."""
+def csv_to_parquet(
+    spark: SparkSession, folder: str, schemas: dict[str, T.StructType] | None = None, only: set[str] | None = None
+) -> dict[str, DataFrame]:
+    """Write each raw CSV of a folder (of those named, if any) as a sibling Parquet table; return the Parquet tables."""
     converted = {}
-    for key, df in load_csv_tables(spark, folder, schemas).items():
+    for key, df in load_csv_tables(spark, folder, schemas, only).items():
         path = f"{folder}/{key.removesuffix('_df')}.parquet"
         write_parquet(df, path)
         converted[key] = spark.read.schema(df.schema).parquet(path)
