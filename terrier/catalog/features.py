@@ -77,10 +77,11 @@ _APPLIED = f"""select round((n_rooms - r0) / (r1 - r0), 5) as n_rooms,
   cast(coalesce(outdoor_area = 'No garden', false) as int) as no_garden,
   cast(coalesce(outdoor_area = 'Small outdoor space', false) as int) as small_outdoor_space,
   round((living_area - a0) / a1, 4) as living_area, round((n_tax_households - t0) / t1, 5) as n_tax_households,
-  round((average_tax_income - v0) / v1, 5) as average_tax_income, year_month_numeric, departement, unique_city_id
+  round((average_tax_income - v0) / v1, 5) as average_tax_income, year_month_numeric,
+  round(month_sin, 8) + 0 as month_sin, round(month_cos, 8) + 0 as month_cos, departement, unique_city_id
   from merged cross join {_FITTED}"""
 
-_DIGITS = {"n_rooms": 5, "new_mortgages": 5, "debt_ratio": 4, "interest_rates": 4, "living_area": 4, "n_tax_households": 5, "average_tax_income": 5}
+_DIGITS = {"n_rooms": 5, "new_mortgages": 5, "debt_ratio": 4, "interest_rates": 4, "living_area": 4, "n_tax_households": 5, "average_tax_income": 5, "month_sin": 8, "month_cos": 8}
 
 
 def _rounded(df):
@@ -92,7 +93,7 @@ def apply_preprocessor(t):
     """Fitted on all merged rows and applied to them; name_transformed fixes the output names."""
     merged = t.merged_stage
     fitted = preprocessing.fit_preprocessor(merged, with_labels=False)
-    return _rounded(preprocessing.apply_preprocessor(merged, fitted)).drop("month_sin", "month_cos")
+    return _rounded(preprocessing.apply_preprocessor(merged, fitted))
 
 
 _NAMES_SQL = " union all ".join(f"select '{f.name}' as name, {i} as place" for i, f in enumerate(PREPROCESSED))
@@ -175,16 +176,13 @@ def load_preprocessor(t):
     path, merged = t.scratch("preprocessor"), t.merged_stage
     preprocessing.save_preprocessor(t.spark, preprocessing.fit_preprocessor(merged), path)
     fitted = preprocessing.load_preprocessor(t.spark, path)
-    return _rounded(preprocessing.apply_preprocessor(merged, fitted)).drop("month_sin", "month_cos")
+    return _rounded(preprocessing.apply_preprocessor(merged, fitted))
 
 
-_MATRIX = [c for c in NUMERIC_COLUMNS if c not in ("month_sin", "month_cos")]
-
-
-@query("numeric_matrix", f"select unique_city_id, {', '.join(f'cast({c} as double) as {c}' for c in _MATRIX)} from ({_APPLIED})", "merged")
+@query("numeric_matrix", f"select unique_city_id, {', '.join(f'cast({c} as double) as {c}' for c in NUMERIC_COLUMNS)} from ({_APPLIED})", "merged")
 def numeric_matrix(t):
     """The vector column taken apart again."""
     merged = t.merged_stage
     done = preprocessing.apply_preprocessor(merged, preprocessing.fit_preprocessor(merged, with_labels=False))
-    vector = preprocessing.numeric_matrix(done, _MATRIX).select("unique_city_id", vector_to_array("features").alias("x"))
-    return _rounded(vector.select("unique_city_id", *[F.col("x")[i].alias(c) for i, c in enumerate(_MATRIX)]))
+    vector = preprocessing.numeric_matrix(done).select("unique_city_id", vector_to_array("features").alias("x"))
+    return _rounded(vector.select("unique_city_id", *[F.col("x")[i].alias(c) for i, c in enumerate(NUMERIC_COLUMNS)]))

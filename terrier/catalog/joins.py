@@ -130,4 +130,4 @@ def _rent_columns(year: int) -> str:
 )
 def pivot_rents(t):
     rents = cleaning.rents_by_month(t.rents_raw, t.mapping)
-    return cleaning.pivot_rents(rents, [y * 12 + 1 for y in range(2018, 2022)])
+    return cleaning.pivot_rents(rents)

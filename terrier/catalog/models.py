@@ -17,7 +17,7 @@ from terrier.catalog.registry import Tables, query
 from terrier.functions import normal_city_id
 from terrier.operators import modelling, preprocessing, splits
 from terrier.plans import pipeline
-from terrier.schemas import SCORING_REQUEST, TRANSACTIONS_RAW
+from terrier.schemas import SCORING_REQUEST, STATELESS, TRANSACTIONS_RAW
 from terrier.sources import registry, scratch, tables
 
 _FOLDS = """select (case when r <= (total % 5) * (total // 5 + 1) then (r - 1) // (total // 5 + 1)
@@ -245,29 +245,30 @@ def _project(t: Tables) -> pipeline.Layout:
     return layout
 
 
-@query("run_extract", "select type_batiment, count(*) as n, sum(prix) as prix from raw group by type_batiment", "raw")
+@query("run_extract", f"select {', '.join(TRANSACTIONS_RAW.names)} from raw", "raw")
 def run_extract(t):
+    """Every column of every raw sale, out of chunk files."""
     layout = pipeline.Layout(t.scratch("project"))
     raw = t.raw.select(*TRANSACTIONS_RAW.names)
     for i, kind in enumerate(("Maison", "Appartement")):
         tables.write_csv(raw.filter(F.col("type_batiment") == kind), f"{layout.chunks}/transactions_chunk_{i}.csv")
-    whole = pipeline.run_extract(t.spark, layout)
-    return whole.groupBy("type_batiment").agg(F.count("*").alias("n"), F.sum("prix").alias("prix"))
+    return pipeline.run_extract(t.spark, layout)
+
+
+_STATELESS_DIGITS = {"month_sin": 8, "month_cos": 8, "log_price_per_m2": 8}
+_STATELESS_WHOLE = [f.name for f in STATELESS if f.name not in _STATELESS_DIGITS]
 
 
 @query(
     "run_clean",
-    """select year_month_numeric, count(*) as n, count(log_price_per_m2) as priced, count(surface_terrains_sols) as labelled
-    from stateless group by year_month_numeric""",
+    f"""select {", ".join(_STATELESS_WHOLE)}, {", ".join(f"round({c}, {n}) + 0 as {c}" for c, n in _STATELESS_DIGITS.items())}
+    from stateless""",
     "stateless",
 )
 def run_clean(t):
+    """Every cleaned sale with its stateless features."""
     sales = pipeline.run_clean(t.spark, _project(t))
-    return sales.groupBy("year_month_numeric").agg(
-        F.count("*").alias("n"),
-        F.count("log_price_per_m2").alias("priced"),
-        F.count("surface_terrains_sols").alias("labelled"),
-    )
+    return sales.select(*_STATELESS_WHOLE, *[(F.round(c, n) + 0).alias(c) for c, n in _STATELESS_DIGITS.items()])
 
 
 _PREPARED = {

@@ -79,20 +79,23 @@ def standard_scale(df: DataFrame, columns: list[str], fitted: dict | None = None
     return df.withColumns({c: scale_standard(f"`{c}`", *fitted[c]) for c in columns})
 
 
-def fit_categories(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
+def fit_categories(df: DataFrame, columns: list[str], most: int = MAX_CATEGORIES) -> dict[str, list[str]]:
     """Sorted distinct non-NULL values of columns that become one indicator each, in one pass.
 
-    Each value is a column of the result. The values are a table first; a column of more than
-    ``MAX_CATEGORIES`` of them raises before any is collected.
+    Each value is a column of the result, so more than ``most`` of a column raise; no more rows than
+    that reach the driver.
     """
-    values = settle(df.groupingSets([[F.col(c)] for c in columns], *columns).agg(F.grouping_id().alias("_set")), "categories")
-    # A value is there once, in the set of its column; the other sets have NULL in its place.
-    counts = values.agg(*[F.count(c).alias(c) for c in columns]).first()
-    many = {c: counts[c] for c in columns if counts[c] > MAX_CATEGORIES}
+    values = df.groupingSets([[F.col(c)] for c in columns], *columns).agg(F.grouping_id().alias("_set"))
+    found: dict[str, list] = {c: [] for c in columns}
+    # With more rows than this, some column has more than ``most`` values among them, NULL left out.
+    for row in values.limit(len(columns) * (most + 2)).collect():
+        for c in columns:
+            if row[c] is not None:
+                found[c].append(row[c])
+    many = {c: len(values) for c, values in found.items() if len(values) > most}
     if many:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories: {many}")
-    row = values.agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in columns]).first()
-    return {c: list(row[c]) for c in columns}
+        raise ValueError(f"more than {most} categories: {many}")
+    return {c: sorted(values) for c, values in found.items()}
 
 
 def one_hot(df: DataFrame, column: str, categories: list[str], prefix: str | None = None) -> DataFrame:
