@@ -7,6 +7,8 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,8 +21,10 @@ LEAST = 100
 TOP = 2000
 #: A container of more entries becomes a node of the trie. Entries and words a task holds before it spills.
 BURST = 2048
-HELD = 600_000
-WORDS = 400_000
+HELD = 400_000
+WORDS = 200_000
+#: Prefix partitions that runs are dealt into; rows of the shuffle hold a run's phrases of one of them.
+PREFIXES = 4096
 #: Bits of the filters of frequent words and pairs: 16 MB, whatever the corpus.
 FILTER_BITS = 1 << 27
 
@@ -46,33 +50,34 @@ class HatTrie:
         self.burst, self.root, self.sizes, self.size = burst, {}, Counter(), 0
 
     def add(self, key: bytes, count: int) -> None:
-        node, at, subtree = self.root, 0, key[:4]
-        while True:
-            head = key[at : at + 4]
-            at += 4
-            if not head:  # the phrase ends at a node
-                if head not in node:
-                    self._grown(subtree)
-                node[head] = node.get(head, 0) + count
-                return
-            child = node.get(head)
-            if child is None:
-                child = node[head] = self.Container()
-            if type(child) is self.Container:
-                rest = key[at:]
-                if rest in child:
-                    child[rest] += count
-                    return
-                child[rest] = count
-                self._grown(subtree)
-                if len(child) > self.burst and len(rest) > 4:
-                    node[head] = self._burst(child)
-                return
-            node = child
-
-    def _grown(self, subtree: bytes) -> None:
-        self.sizes[subtree] += 1
-        self.size += 1
+        self.add_all(key[:4], [key[4:]], [count])
+
+    def add_all(self, head: bytes, rests: list[bytes], counts: list[int]) -> None:
+        """Add phrases that begin with the word ``head`` and go on with ``rests``."""
+        grown = self._into(self.root, head, zip(rests, counts))
+        self.sizes[head] += grown
+        self.size += grown
+
+    def _into(self, node: dict, head: bytes, items) -> int:
+        child = node.get(head)
+        if child is None:
+            child = node[head] = self.Container()
+        grown = 0
+        if type(child) is self.Container:
+            before, known = len(child), child.get
+            for rest, count in items:
+                child[rest] = known(rest, 0) + count
+            grown = len(child) - before
+            if len(child) > self.burst and any(len(rest) > 4 for rest in child):
+                node[head] = self._burst(child)
+            return grown
+        for rest, count in items:
+            if rest:
+                grown += self._into(child, rest[:4], ((rest[4:], count),))
+            else:  # the phrase ends at a node
+                grown += rest not in child
+                child[rest] = child.get(rest, 0) + count
+        return grown
 
     def _burst(self, container: Container) -> dict:
         node: dict = {}
@@ -162,32 +167,47 @@ class Counting:
             if size not in self.sizes or not chain.any():
                 continue
             at = np.flatnonzero(chain)
-            keys = np.ascontiguousarray(np.stack([ids[at + j] for j in range(size)], axis=1).astype(">u4"))
-            for key, count in Counter(keys.view(f"V{4 * size}").ravel().tolist()).items():
-                trie.add(key, count)
+            if size == 2:
+                pairs, counts = np.unique((ids[at] << 32) + ids[at + 1], return_counts=True)
+                keys = np.stack([pairs >> 32, pairs & 0xFFFFFFFF], axis=1).astype(">u4")
+            else:
+                whole = np.ascontiguousarray(np.stack([ids[at + j] for j in range(size)], axis=1).astype(">u4"))
+                found = sorted(Counter(whole.view(f"V{4 * size}").ravel().tolist()).items())
+                counts = np.array([n for _, n in found])
+                keys = np.frombuffer(b"".join(k for k, _ in found), ">u4").reshape(-1, size)
+            heads = np.flatnonzero(np.append(True, keys[1:, 0] != keys[:-1, 0]))
+            names = np.ascontiguousarray(keys[heads, :1]).view("V4").ravel().tolist()
+            rests = np.ascontiguousarray(keys[:, 1:]).view(f"V{4 * (size - 1)}").ravel().tolist()
+            counts, heads = counts.tolist(), [*heads.tolist(), len(keys)]
+            for name, start, end in zip(names, heads, heads[1:], strict=False):
+                trie.add_all(name, rests[start:end], counts[start:end])
 
     def full(self) -> bool:
         return len(self.ids) > self.most or sum(t.size for t in self.tries.values()) > self.held
 
-    def spill(self, everything: bool = False) -> Iterator[tuple[list, list, list, list]]:
-        """Runs of (lang, prefix, phrase, n), each a whole subtree, sorted by phrase, some in a batch."""
+    def spill(self, everything: bool = False) -> Iterator[tuple[str, pa.Array, pa.Array, pa.Array]]:
+        """Runs of whole subtrees: lang, and for each prefix partition its phrases, sorted, and their counts."""
         everything = everything or len(self.ids) > self.most
-        out: tuple[list, list, list, list] = ([], [], [], [])
+        words, sums = pa.array(self.names, pa.binary()), np.array(self.sums, np.int64)
         for lang, trie in self.tries.items():
+            taken: dict[int, tuple[list, list]] = {}
             for subtree in trie.largest(0 if everything else self.held // (2 * len(self.tries))):
-                run = []
                 for key, count in trie.take(subtree):
-                    words = [self.names[i] for i in np.frombuffer(key, ">u4").tolist()]
-                    run.append((b" ".join(words), b" ".join(words[:2]), count))
-                run.sort()
-                phrases, prefixes, counts = zip(*run, strict=True)
-                for column, more in zip(out, ([lang] * len(run), prefixes, phrases, counts), strict=True):
-                    column += more
-                if len(out[0]) >= 20_000:
-                    yield out
-                    out = ([], [], [], [])
-        if out[0]:
-            yield out
+                    keys, counts = taken.setdefault(len(key) // 4, ([], []))
+                    keys.append(key)
+                    counts.append(count)
+            for size, (keys, counts) in taken.items():
+                ids = np.frombuffer(b"".join(keys), ">u4").reshape(-1, size).astype(np.int64)
+                phrases = pc.binary_join_element_wise(*[words.take(pa.array(ids[:, j])) for j in range(size)], b" ")
+                prefix = pa.array((sums[ids[:, 0]] * _PAIR + sums[ids[:, 1]]) % PREFIXES)
+                run = pa.table({"prefix": prefix, "phrase": phrases, "n": pa.array(counts, pa.int32())})
+                run = run.sort_by([("prefix", "ascending"), ("phrase", "ascending")]).combine_chunks()
+                held = run["prefix"].to_numpy()
+                starts = np.flatnonzero(np.append(True, held[1:] != held[:-1]))
+                ends = pa.array([*starts.tolist(), len(held)], pa.int32())
+                listed = pa.ListArray.from_arrays(ends, run["phrase"].combine_chunks())
+                numbers = pa.ListArray.from_arrays(ends, run["n"].combine_chunks())
+                yield lang, pa.array(held[starts], pa.int32()), pc.binary_join(listed, b"\n"), numbers
         if everything:
             self._forget()
 
@@ -199,7 +219,7 @@ def _texts(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
     )
 
 
-def _by_language(batch: dict, letters: int = 1 << 19) -> Iterator[tuple[str, list[bytes]]]:
+def _by_language(batch: dict, letters: int = 1 << 20) -> Iterator[tuple[str, list[bytes]]]:
     held: dict[str, list[bytes]] = {}
     for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist(), strict=True):
         held.setdefault(lang, []).append(text)
@@ -250,24 +270,34 @@ def phrase_counts(
 ) -> DataFrame:
     """lang, phrase, f of the phrases of ``sizes`` words with f >= ``least``.
 
-    Each task counts in HAT-tries of bounded size and spills whole subtrees as sorted runs. Runs are dealt
-    by language and the first two words and merged there.
+    Each task counts in HAT-tries of bounded size and spills whole subtrees as sorted runs, cut into one row
+    for each prefix partition. A partition is a hash of the first two words, so a frequent first word is in
+    many; its runs are merged where they meet.
     """
     spark = texts.sparkSession
     sent = spark.sparkContext.broadcast((words, pairs))
 
-    def rows(batches):
+    def runs(batches):
+        def written(spilled):
+            for lang, prefix, phrases, numbers in spilled:
+                langs = pa.array([lang] * len(prefix))
+                yield pa.RecordBatch.from_arrays(
+                    [langs, prefix, phrases.cast(pa.string()), numbers], names=["lang", "prefix", "phrases", "counts"]
+                )
+
         counting = Counting(sizes, *sent.value, held=held, most=most, burst=burst)
         for batch in batches:
-            for lang, some in _by_language(batch):
+            for lang, some in _by_language({n: batch.column(i) for i, n in enumerate(("lang", "text"))}):
                 counting.add(lang, some)
                 if counting.full():
-                    yield from counting.spill()
-        yield from counting.spill(everything=True)
-
-    runs = map_rows(texts, rows, "lang string, prefix binary, phrase binary, n long").repartition("lang", "prefix")
-    merged = runs.groupBy("lang", "prefix", "phrase").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
-    return merged.select("lang", F.col("phrase").cast("string").alias("phrase"), "f")
+                    yield from written(counting.spill())
+        yield from written(counting.spill(everything=True))
+
+    dealt = texts.mapInArrow(runs, "lang string, prefix int, phrases string, counts array<int>").repartition("lang", "prefix")
+    # A line end parts pieces, so no phrase holds one.
+    found = dealt.select("lang", "prefix", F.inline(F.arrays_zip(F.split("phrases", "\n").alias("phrase"), F.col("counts").alias("n"))))
+    merged = found.groupBy("lang", "prefix", "phrase").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
+    return merged.select("lang", "phrase", "f")
 
 
 def frequent_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", least: int = LEAST, longest: int = LONGEST, **how):

@@ -96,16 +96,20 @@ def test_a_task_holds_a_bounded_number_of_entries():
     every = b"\xff" * (collocations.FILTER_BITS // 8)
     counting = Counting(range(3, 6), every, every, held=200, burst=8)
     rows, rng = Counter(), random.Random(6)
+
+    def taken(spilled):
+        for _, prefixes, phrases, counts in spilled:
+            assert len(set(prefixes.to_pylist())) == len(prefixes)
+            for run, numbers in zip(phrases.to_pylist(), counts.to_pylist(), strict=True):
+                assert sorted(run.split(b"\n")) == run.split(b"\n")
+                rows.update(dict(zip(run.split(b"\n"), numbers, strict=True)))
+
     for _ in range(50):
         counting.add("en", [" ".join(str(rng.randrange(12)) for _ in range(30)).encode()])
         if counting.full():
-            for _, _, phrases, counts in counting.spill():
-                for p, c in zip(phrases, counts, strict=True):
-                    rows[p] += c
+            taken(counting.spill())
             assert sum(t.size for t in counting.tries.values()) <= 200
-    for _, _, phrases, counts in counting.spill(everything=True):
-        for p, c in zip(phrases, counts, strict=True):
-            rows[p] += c
+    taken(counting.spill(everything=True))
     assert sum(rows.values()) == 50 * (28 + 27 + 26)
 
 
