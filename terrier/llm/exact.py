@@ -100,12 +100,21 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """``docs`` without the copies: of equal texts, one row with the largest id stays. Rows with a null id stay.
 
     What goes is told by id and text, so an id that carries two texts can lose one and keep the other.
-    Rows that repeat an id and a text all stay or all go.
+    Of rows that repeat an id and a text (A-Z lower-cased), the smallest by all columns stays.
+    Only ids and digests are looked up, in written tables whose size Catalyst knows.
     """
-    found = exact_duplicates(docs, id_col, text_col)
-    dropped = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_dropped"), F.col("text_sha256").alias("_sha"))
-    sha = F.sha2(lower_ascii(F.coalesce(F.col(text_col), F.lit(""))), 256)
-    return docs.join(dropped, (F.col(id_col) == F.col("_dropped")) & (sha == F.col("_sha")), "left_anti")
+    found = exact_duplicates(docs, id_col, text_col).filter("doc_id is not null")
+    known = found.select(F.col("doc_id").alias("_id"), F.unhex("text_sha256").alias("_sha"), "kept")
+    marked = settle(known.groupBy("_id", "_sha", "kept").count().filter("not kept or count > 1"), "marked")
+    sha = F.unhex(F.sha2(lower_ascii(F.coalesce(F.col(text_col), F.lit(""))), 256))
+    same = (F.col(id_col) == F.col("_id")) & (sha == F.col("_sha"))
+    once = docs.join(marked, same, "left_anti")
+    again = settle(marked.filter("kept"), "repeated")
+    if again.isEmpty():
+        return once
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    least = docs.join(again, same).groupBy("_id", "_sha").agg(F.min(row).alias("row"))
+    return once.unionByName(least.select("row.*"))
 
 
 SQL = """with t as (select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',

@@ -279,9 +279,24 @@ def jaccard_components(
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each component, the one with the smallest id. Rows with a null id stay."""
-    found = jaccard_components(docs, id_col, text_col).filter("doc_id <> component_id")
-    return docs.join(found.select(F.col("doc_id").alias("_dropped")), F.col(id_col) == F.col("_dropped"), "left_anti")
+    """``docs`` with one row of each component, the one with the smallest id. Rows with a null id stay.
+
+    Rows are linked, not ids: a text that resembles nothing stays, whatever else carries its id. Of rows
+    of one component that share the smallest id, the smallest by its text's digest stays.
+    """
+    mark = "_row"
+    while mark in docs.columns:
+        mark += "_"
+    rows = settle(docs.withColumn(mark, F.monotonically_increasing_id()), "rows")
+    linked = jaccard_components(rows.filter(F.col(id_col).isNotNull()), mark, text_col).select("doc_id", "component_id")
+    linked = settle(linked, "linked")
+    several = linked.groupBy("component_id").count().filter("count > 1").select("component_id")
+    members = linked.join(several, "component_id")
+    digest = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
+    ranks = rows.select(F.col(mark).alias("doc_id"), F.struct(F.col(id_col).alias("id"), digest.alias("sha"), F.col(mark).alias("row")).alias("rank"))
+    stays = members.join(ranks, "doc_id").groupBy("component_id").agg(F.min("rank").alias("rank")).select(F.col("rank.row").alias("doc_id"))
+    dropped = settle(members.join(stays, "doc_id", "left_anti").select(F.col("doc_id").alias("_dropped")), "dropped")
+    return rows.join(dropped, F.col(mark) == F.col("_dropped"), "left_anti").drop(mark)
 
 
 SQL = r"""with recursive w as materialized (select doc_id, [x for x in regexp_split_to_array(translate(coalesce(text, ''),

@@ -84,3 +84,10 @@ def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7)]
     found = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())
     assert set(found.values()) == {0, 100} and found[40] == 0 and found[159] == 100
+
+
+def test_keep_one_tells_rows_from_ids(spark):
+    a = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, a), (5, a + " more"), (5, "nothing like it, all by itself here"), (None, a), (7, "x"), (7, "x"), (8, None)]
+    kept = sorted(((r.doc_id, r.text) for r in jaccard.keep_one(frame(spark, rows)).collect()), key=str)
+    assert kept == sorted([(1, a), (5, rows[2][1]), (None, a), (7, "x"), (8, None)], key=str)
