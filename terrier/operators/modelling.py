@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, VectorAssembler
-from pyspark.ml.regression import FMRegressor
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrier.functions import exp_price, normal_city_id
 from terrier.operators.boosting import BoostedTrees, fit_trees
 from terrier.operators.cleaning import drop_non_finite
+from terrier.operators.factors import FactorModel, fit_factors
 from terrier.operators.preprocessing import FittedPreprocessor, apply_preprocessor, encode_labels
 from terrier.operators.splits import kfold_contiguous
 from terrier.schemas import NUMERIC_COLUMNS, SCORING_REQUEST, cast_schema
@@ -31,12 +30,16 @@ GBT_PARAMS = {
 }
 
 # Defaults of the factor model.
-EMBEDDING_PARAMS = {"factor_size": 8, "max_iter": 100, "seed": 42}
+EMBEDDING_PARAMS = {"factor_size": 8, "city_factor_size": 32, "max_iter": 100, "ridge": 1.0, "seed": 42}
 
 # Fixed value: added to each squared error inside the root.
 RMSE_EPSILON = 1e-8
 
 
+#: Whatever ``transform`` s encoded rows into rows with ``log_price``.
+Model = PipelineModel | BoostedTrees | FactorModel
+
+
 def mean_r2_by_fold(folds: DataFrame, target: str, fold: str = "fold") -> DataFrame:
     """R2 of predicting the mean of the other folds, per fold, from its count, mean and variance.
 
@@ -123,43 +126,37 @@ def training_curve(model: BoostedTrees, validation: DataFrame) -> DataFrame:
 
 
 def train_embedding_model(
-    train: DataFrame, departments: int, cities: int, factor_size: int = 8, max_iter: int = 100, seed: int = 42
-) -> PipelineModel:
-    """Factorisation machine over one-hot department and city plus the numeric columns.
-
-    It learns one factor vector per department and city, distributed, in sparse form. Rows are
-    encoded with the reserved code for unseen labels, so the vector sizes are fixed by the fit. The
-    numeric columns are standardised and the target is centred, which gradient steps need.
+    train: DataFrame,
+    departments: int,
+    cities: int,
+    factor_size: int = 8,
+    max_iter: int = 100,
+    seed: int = 42,
+    city_factor_size: int = 32,
+    ridge: float = 1.0,
+    validation: DataFrame | None = None,
+    patience: int = 5,
+) -> FactorModel:
+    """Learned factors of departments and cities that shape the coefficients of the numeric columns.
+
+    With validation rows, fitting ends after ``patience`` rounds without a lower error and keeps the best.
+    The codes of unseen labels (``departments``, ``cities``) have no factor and no effect.
     """
-    sizes = {"departement": departments + 1, "unique_city_id": cities + 1}
-    rows = _trainable(train).withColumns({c: F.col(c).cast("double") for c in sizes})
-    mean = rows.agg(F.avg(TARGET)).first()[0]
-    encoders = []
-    for column, levels in sizes.items():
-        # Fit the encoder on the known number of levels, not on a pass over the data.
-        levels_table = train.sparkSession.range(levels).select(F.col("id").cast("double").alias(column))
-        encoder = OneHotEncoder(inputCol=column, outputCol=f"{column}_vec", dropLast=False, handleInvalid="keep")
-        encoders.append(encoder.fit(levels_table))
-    learner = FMRegressor(
-        labelCol="centred",
-        featuresCol="features",
-        predictionCol="deviation",
-        factorSize=factor_size,
-        maxIter=max_iter,
-        stepSize=0.05,
-        miniBatchFraction=1.0,
+    known = (F.col("departement") < departments) & (F.col("unique_city_id") < cities)
+    return fit_factors(
+        _trainable(train).filter(known),
+        TARGET,
+        NUMERIC_COLUMNS,
+        "departement",
+        "unique_city_id",
+        None if validation is None else _trainable(validation),
+        patience,
+        factor_size,
+        city_factor_size,
+        max_iter,
+        ridge,
         seed=seed,
     )
-    return Pipeline(
-        stages=[
-            *encoders,
-            VectorAssembler(inputCols=NUMERIC_COLUMNS, outputCol="numbers"),
-            StandardScaler(inputCol="numbers", outputCol="scaled", withMean=True, withStd=True),
-            VectorAssembler(inputCols=["scaled", *[f"{c}_vec" for c in sizes]], outputCol="features"),
-            learner,
-            SQLTransformer(statement=f"SELECT *, deviation + {mean!r}D AS log_price FROM __THIS__"),
-        ]
-    ).fit(rows.withColumn("centred", F.col(TARGET) - F.lit(mean)))
 
 
 def squared_error(prediction: str, target: str) -> Column:
@@ -185,14 +182,14 @@ def evaluate_mae(df: DataFrame, prediction: str = "log_price", target: str = TAR
     return evaluate(df, prediction, target).select("mae")
 
 
-def predict(encoded: DataFrame, model: PipelineModel | BoostedTrees) -> DataFrame:
+def predict(encoded: DataFrame, model: Model) -> DataFrame:
     """Encoded rows with log price and euros per square metre."""
     numbers = {c: F.col(c).cast("double") for c in ("departement", "unique_city_id")}
     scored = model.transform(encoded.withColumns(numbers))
     return scored.withColumn("price_per_sq_meter", exp_price("log_price"))
 
 
-def score_batch(merged: DataFrame, fitted: FittedPreprocessor, model: PipelineModel, keep: list[str] | None = None) -> DataFrame:
+def score_batch(merged: DataFrame, fitted: FittedPreprocessor, model: Model, keep: list[str] | None = None) -> DataFrame:
     """Predictions for merged rows; ``keep`` names input columns to carry along."""
     keep = keep or []
     renamed = {c: f"in_{c}" for c in keep}
@@ -202,7 +199,7 @@ def score_batch(merged: DataFrame, fitted: FittedPreprocessor, model: PipelineMo
     return scored.withColumnsRenamed({new: old for old, new in renamed.items()})
 
 
-def score_requests(requests: DataFrame, fitted: FittedPreprocessor, model: PipelineModel, keep: list[str] | None = None) -> DataFrame:
+def score_requests(requests: DataFrame, fitted: FittedPreprocessor, model: Model, keep: list[str] | None = None) -> DataFrame:
     """Predictions for a table of 14-field requests, under their proper names."""
     keep = [c for c in (keep or []) if c not in SCORING_REQUEST.names]
     typed = cast_schema(requests, SCORING_REQUEST) if not keep else requests

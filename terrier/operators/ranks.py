@@ -100,6 +100,54 @@ def locate_ranks(df: DataFrame, value: Column | str, ranks: list[int], known: Ex
     return hits
 
 
+def whole_extent(df: DataFrame, name: str) -> Extent:
+    """``extent`` of a column of whole numbers, with its ends as they are: a double would round them."""
+    key = F.col(f"`{name}`").cast("long")
+    low, high, known, rows = df.agg(F.min(key), F.max(key), F.count(key), F.count("*")).first()
+    return Extent(low, high, known, 0, 0, rows - known)
+
+
+def locate_whole_ranks(df: DataFrame, name: str, ranks: list[int], seen: Extent) -> dict[int, Hit]:
+    """The hit for each rank of a column of whole numbers, exact over all 64 bits.
+
+    A radix count: rows are counted by their leading bits, then, inside the prefixes that hold a wanted
+    rank, by some bits more. A prefix is an arithmetic shift, which keeps the order of signed numbers. One
+    rank takes at most five passes, since each adds as many bits as HISTOGRAM_ROWS has.
+    """
+    for rank in ranks:
+        if not 0 <= rank < seen.finite:
+            raise ValueError(f"rank {rank} outside 0..{seen.finite - 1}")
+    if not ranks:
+        return {}
+    key = F.col(f"`{name}`").cast("long")
+    shift = 0
+    while (seen.high >> shift) - (seen.low >> shift) >= HISTOGRAM_ROWS:
+        shift += 1
+    rows = df.filter(key.isNotNull())
+    open_prefixes: dict[int, tuple[int, list[int]]] | None = None  # prefix: rows below it, ranks inside
+    above = 64
+    while True:
+        counted = rows
+        if open_prefixes is not None:
+            counted = rows.filter(F.shiftright(key, above).isin(*open_prefixes))
+        sizes = sorted(counted.groupBy(F.shiftright(key, shift).alias("slot")).agg(F.count("*").alias("n")).collect())
+        starts = {None: 0} if open_prefixes is None else {p: below for p, (below, _) in open_prefixes.items()}
+        wanted = {None: sorted(set(ranks))} if open_prefixes is None else {p: held for p, (_, held) in open_prefixes.items()}
+        found: dict[int, tuple[int, int, list[int]]] = {}
+        for slot, n in sizes:
+            prefix = None if open_prefixes is None else slot >> (above - shift)
+            below = starts[prefix]
+            held = [r for r in wanted[prefix] if below <= r < below + n]
+            if held:
+                found[slot] = (below, n, held)
+            starts[prefix] = below + n
+        if not shift:
+            return {r: Hit(slot, below, n) for slot, (below, n, held) in found.items() for r in held}
+        open_prefixes = {slot: (below, held) for slot, (below, _, held) in found.items()}
+        above, step = shift, max(1, (HISTOGRAM_ROWS // len(open_prefixes)).bit_length() - 1)
+        shift = max(0, shift - step)
+
+
 def _spans_scales(low: float, high: float) -> bool:
     """Whether equal widths would leave a bucket that spans many powers of two."""
     small, large = sorted((abs(low), abs(high)))
@@ -164,16 +212,17 @@ def _bracket_of(value: Column, highs: list[float], first: int, last: int) -> Col
 
 def exact_quantiles(df: DataFrame, value: Column | str, shares: list[float]) -> dict[float, float | None]:
     """Quantiles with linear interpolation between neighbouring ranks."""
-    seen = extent(df, value)
+    whole = isinstance(value, str) and isinstance(df.schema[value].dataType, T.IntegralType)
+    seen = whole_extent(df, value) if whole else extent(df, value)
     if seen.rows == 0:
         return {share: None for share in shares}
     places = {share: share * (seen.rows - 1) for share in shares}
     ranks = {r for place in places.values() for r in (math.floor(place), math.ceil(place))}
-    hits = locate_ranks(df, value, sorted(ranks), seen)
+    hits = (locate_whole_ranks if whole else locate_ranks)(df, value, sorted(ranks), seen)
 
     def at(place: float) -> float:
         low, high = hits[math.floor(place)].value, hits[math.ceil(place)].value
-        return low if low == high else low + (high - low) * (place - math.floor(place))
+        return float(low) if low == high else low + (high - low) * (place - math.floor(place))
 
     return {share: at(place) for share, place in places.items()}
 
@@ -229,15 +278,13 @@ def label_by_position(
     looking into: everything before or after it is settled by a comparison with a constant, so the
     big table is neither sorted nor shuffled, and a filter on the label pushes down to the key.
     Copies of one row at a cut are counted, divided, and written out again in bounded pieces.
-    ``order_by`` must be numeric without missing values; whole numbers up to 2**53. ``df`` is read
+    ``order_by`` must be numeric without missing values; whole numbers count with all 64 bits. ``df`` is read
     several times, so pass a table that is cheap to read and the same each time, such as a stage.
     """
-    seen = extent(df, order_by)
+    whole = isinstance(df.schema[order_by].dataType, T.IntegralType)
+    seen = whole_extent(df, order_by) if whole else extent(df, order_by)
     if seen.missing:
         raise ValueError(f"{seen.missing} rows have no {order_by}")
-    whole = isinstance(df.schema[order_by].dataType, T.IntegralType)
-    if whole and seen.finite and max(abs(seen.low), abs(seen.high)) > 2**53:
-        raise ValueError(f"{order_by} holds whole numbers beyond 2**53")
 
     def bound(value: float) -> Column:
         # A literal of the key's own type keeps the comparison free of casts, so it pushes down.
@@ -247,7 +294,7 @@ def label_by_position(
     key = F.col(order_by)
     digest = row_hash(df)
     inner = [p for p in places if 0 < p < seen.rows]
-    hits = locate_ranks(df, order_by, inner, seen)
+    hits = (locate_whole_ranks if whole else locate_ranks)(df, order_by, inner, seen)
 
     # A cut that falls inside the rows of one key continues on their hashes. All such keys are
     # looked into together: key number times the hash range plus hash, still exact as a double.

@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -184,9 +183,9 @@ def run_train(spark: SparkSession, layout: Layout, model_type: str = "gbt", **pa
         metrics = {"rmse": rmse, "rounds": model.rounds}
     else:
         cities = fitted.labels["unique_city_id"].count()
-        model = modelling.train_embedding_model(fit, departments, cities, **params)
-        rmse = modelling.evaluate(modelling.predict(validation, model)).first()["rmse"]
-        metrics = {"rmse": rmse}
+        model = modelling.train_embedding_model(fit, departments, cities, validation=validation, **params)
+        rmse = math.sqrt(min(model.losses))
+        metrics = {"rmse": rmse, "rounds": len(model.losses) - 1}
     # The whole set, defaults included, so that the run can be repeated from its record.
     used = {**(modelling.GBT_PARAMS if model_type == "gbt" else modelling.EMBEDDING_PARAMS), **params}
     log_run(spark, layout.artifacts, model_type, "train", fit.count(), used, metrics)
@@ -194,7 +193,7 @@ def run_train(spark: SparkSession, layout: Layout, model_type: str = "gbt", **pa
     return rmse
 
 
-def _model(spark: SparkSession, layout: Layout, model_type: str) -> PipelineModel:
+def _model(spark: SparkSession, layout: Layout, model_type: str) -> modelling.Model:
     model = load_latest_model(spark, layout.artifacts, model_type)
     if model is None:
         raise FileNotFoundError(f"no saved {model_type} model: run_train first")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrier.operators.boosting import BoostedTrees
+from terrier.operators.factors import FactorModel
 from terrier.sources.files import has_mark, list_names, path_exists, set_mark
 
 RUNS = T.StructType(
@@ -32,14 +33,14 @@ def model_path(root: str, model_type: str, ts: str) -> str:
     return f"{root}/models/{model_type}/{ts}"
 
 
-def save_model(model: PipelineModel | BoostedTrees, root: str, model_type: str, ts: str | None = None) -> str:
+def save_model(model: PipelineModel | BoostedTrees | FactorModel, root: str, model_type: str, ts: str | None = None) -> str:
     """Save under a timestamped name; any path scheme Spark can write works.
 
     The mark comes last, so a model whose saving was cut short is never taken as the latest.
     """
     path = model_path(root, model_type, ts or timestamp())
     spark = SparkSession.active()
-    if isinstance(model, BoostedTrees):
+    if isinstance(model, (BoostedTrees, FactorModel)):
         model.save(spark, path)
     else:
         model.write().overwrite().save(path)
@@ -47,14 +48,17 @@ def save_model(model: PipelineModel | BoostedTrees, root: str, model_type: str,
     return path
 
 
-def load_latest_model(spark: SparkSession, root: str, model_type: str) -> PipelineModel | BoostedTrees | None:
+def load_latest_model(spark: SparkSession, root: str, model_type: str) -> PipelineModel | BoostedTrees | FactorModel | None:
     """The saved model with the greatest name, or None when there is none."""
     names = list_names(spark, f"{root}/models/{model_type}")
     names = [n for n in names if has_mark(spark, model_path(root, model_type, n))]
     if not names:
         return None
     path = model_path(root, model_type, names[-1])
-    return BoostedTrees.load(spark, path) if path_exists(spark, f"{path}/head") else PipelineModel.load(path)
+    for kind, part in ((BoostedTrees, "nodes"), (FactorModel, "factors")):
+        if path_exists(spark, f"{path}/{part}"):
+            return kind.load(spark, path)
+    return PipelineModel.load(path)
 
 
 def log_run(

@@ -170,3 +170,44 @@ def test_passes_have_a_bound_for_any_distribution(spark, monkeypatch):
         expected = low + (own[int(place) + 1] - low) * (place - int(place)) if own[int(place) + 1] != low else low
         assert ranks.exact_quantiles(table, "v", [0.3])[0.3] == expected
         assert len(passes) <= 6, passes
+
+
+def test_keys_of_64_bits_split_exactly(spark, monkeypatch):
+    rng = random.Random(7)
+    keys = [2**60 + rng.randrange(50) for _ in range(300)] + [-(2**63), 2**63 - 1, 2**63 - 1, -1, 0]
+    keys += [rng.randrange(-(2**63), 2**63) for _ in range(200)] + [2**53 + 1] * 40
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k long, x int").repartition(3)
+    ordered = sorted(keys)
+    wanted = [0, 1, 150, 280, 281, 400, len(keys) - 2, len(keys) - 1]
+    scans = []
+    plain = ranks.F.shiftright
+    monkeypatch.setattr(ranks.F, "shiftright", lambda c, n: scans.append(n) or plain(c, n))
+    for rank in wanted:
+        scans.clear()
+        hit = ranks.locate_whole_ranks(df, "k", [rank], ranks.whole_extent(df, "k"))[rank]
+        assert (hit.value, hit.below, hit.count) == (ordered[rank], ordered.index(ordered[rank]), ordered.count(ordered[rank]))
+        assert len(scans) <= 2 * 5 - 1  # each scan but the first shifts twice
+    hits = ranks.locate_whole_ranks(df, "k", wanted, ranks.whole_extent(df, "k"))
+    assert [hits[r].value for r in wanted] == [ordered[r] for r in wanted]
+    parts = splits.positional_split_80(df, "k").collect()
+    train = sorted(r.k for r in parts if r.part == "train")
+    assert train == ordered[: int(0.8 * len(keys))] and len(parts) == len(keys)
+    assert [r.k for r in splits.row_at(df, 280, "k").collect()] == [ordered[280]]
+    folds = splits.kfold_contiguous(df, "k").collect()
+    assert [sorted(r.k for r in folds if r.fold == 2)] == [ordered[109:218]]
+
+
+def test_ties_follow_a_digest_that_sql_can_state(spark):
+    import hashlib
+
+    rows = [(1, f"a|{i}", 0.1 * i, None if i % 3 else "\\") for i in range(60)]
+    df = spark.createDataFrame(rows, "k int, s string, d double, n string").repartition(4)
+
+    def digest(r):
+        escaped = [None if t is None else t.replace("\\", "\\\\").replace("|", "\\|") for t in (r[1], r[3])]
+        texts = [str(r[0]), escaped[0], str(math.floor(r[2] * 65536 + 0.5)), escaped[1]]
+        return hashlib.md5("|".join("\\N" if t is None else t for t in texts).encode()).hexdigest()[:11]
+
+    first = sorted(rows, key=digest)[:42]
+    got = splits.temporal_split(df, "k").filter("part = 'train'").drop("part").collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, first))
