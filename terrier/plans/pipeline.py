@@ -15,7 +15,7 @@ from terrier.schemas import CITY_MAPPING, MERGED, STATELESS, TAX_BY_CITY, TEMPOR
 from terrier.sources.archive import read_archive
 from terrier.sources.files import has_mark, is_complete, list_names
 from terrier.sources.registry import load_latest_model, log_run, save_model
-from terrier.sources.stages import expect_row_count, materialize, read_stage, require_stage
+from terrier.sources.stages import expect_row_count, is_current, materialize, note_inputs, read_stage, require_stage
 from terrier.sources.tables import SKIPPED_RAW_ENTRIES, csv_to_parquet, ingest_chunks, load_tables, write_parquet
 
 TARGET = modelling.TARGET
@@ -92,22 +92,25 @@ def run_extract(spark: SparkSession, layout: Layout) -> DataFrame:
 def run_clean(spark: SparkSession, layout: Layout, rows: tuple[int, int] | None = None) -> DataFrame:
     """Cleaned sales with stateless features, city mapping, and the four economic tables.
 
-    A finished cleaned stage is reused; with ``rows`` (low, high) its row count has to lie between them.
-    An empty one is computed again, from the raw table on.
+    A finished cleaned stage is reused while the raw table is the one it was made from; with ``rows``
+    (low, high) its row count has to lie between them. An empty one is computed again, from the raw table on.
     """
     target = layout.cleaned("transactions_df")
-    if is_complete(spark, target) and not (stage := read_stage(spark, target, STATELESS)).isEmpty():
+    source = [layout.transactions]
+    if is_complete(spark, target) and is_current(spark, target, source) and not (stage := read_stage(spark, target, STATELESS)).isEmpty():
         if rows is not None:
             expect_row_count(stage, *rows)
     else:
         raw = require_stage(spark, layout.transactions, "run_extract first", TRANSACTIONS_RAW)
         # The de-duplicated sales feed two outputs: written once, then both read narrow columns of it.
-        sales = materialize(spark, layout.cleaned("sales_df"), lambda: cleaning.clean_transactions(raw), require_rows=True)
+        sales = materialize(spark, layout.cleaned("sales_df"), lambda: cleaning.clean_transactions(raw), require_rows=True, inputs=source)
         write_parquet(cleaning.city_mapping(sales), layout.city_mapping)
         write_parquet(stateless_features(sales), target)
+        note_inputs(spark, target, source)
     mapping = require_stage(spark, layout.city_mapping, "run_clean again", CITY_MAPPING)
+    used = [f"{layout.raw}/{n}" for n in list_names(spark, layout.raw) if n.endswith(".parquet")] + [layout.city_mapping]
     for name, table in cleaning.clean_secondary(load_tables(spark, layout.raw), mapping).items():
-        write_parquet(table, layout.cleaned(name))
+        materialize(spark, layout.cleaned(name), lambda table=table: table, inputs=used)
     return read_stage(spark, target, STATELESS)
 
 
@@ -123,10 +126,17 @@ def temporal_table(spark: SparkSession, layout: Layout) -> DataFrame:
 def run_merge(spark: SparkSession, layout: Layout) -> DataFrame:
     """Sales enriched with both lookups. Both are read from written stages, so their size is known."""
     sales = require_stage(spark, layout.cleaned("transactions_df"), "run_clean first", STATELESS)
-    temporal = materialize(spark, layout.cleaned("temporal_features_df"), lambda: temporal_table(spark, layout), TEMPORAL)
+    series = [layout.cleaned(f"{n}_df") for n in ("flux_nouveaux_emprunts", "taux_interet", "taux_endettement")]
+    lookup = layout.cleaned("temporal_features_df")
+    temporal = materialize(spark, lookup, lambda: temporal_table(spark, layout), TEMPORAL, inputs=series)
     tax = require_stage(spark, layout.cleaned("foyers_fiscaux_df"), "run_clean first", TAX_BY_CITY)
     return materialize(
-        spark, layout.merged, lambda: rename_features(merge_features(sales, temporal, tax)), MERGED, require_rows=True
+        spark,
+        layout.merged,
+        lambda: rename_features(merge_features(sales, temporal, tax)),
+        MERGED,
+        require_rows=True,
+        inputs=[layout.cleaned("transactions_df"), lookup, layout.cleaned("foyers_fiscaux_df")],
     )
 
 
@@ -138,18 +148,20 @@ def run_preprocess(spark: SparkSession, layout: Layout) -> tuple[DataFrame, Data
         complete = cleaning.drop_missing_subset(merged, ["n_tax_households", "average_tax_income"])
         return splits.temporal_split(complete)
 
-    parts = materialize(spark, layout.split, split, partition_by=["part"])
+    parts = materialize(spark, layout.split, split, partition_by=["part"], inputs=[layout.merged])
     train = parts.filter(F.col("part") == "train").drop("part")
     test = parts.filter(F.col("part") == "test").drop("part")
-    if not has_mark(spark, layout.preprocessor):
+    if not (has_mark(spark, layout.preprocessor) and is_current(spark, layout.preprocessor, [layout.split])):
         fitted = preprocessing.fit_preprocessor(train)
         preprocessing.save_preprocessor(spark, fitted, layout.preprocessor)
+        note_inputs(spark, layout.preprocessor, [layout.split])
     fitted = preprocessing.load_preprocessor(spark, layout.preprocessor)
     done = {
         part: materialize(
             spark,
             layout.preprocessed(part),
             lambda rows=rows: preprocessing.apply_preprocessor(rows, fitted, keep=[TARGET]),
+            inputs=[layout.split, layout.preprocessor],
         )
         for part, rows in (("train", train), ("test", test))
     }
@@ -174,6 +186,7 @@ def run_train(spark: SparkSession, layout: Layout, model_type: str = "gbt", **pa
         layout.preprocessed("fit_validation"),
         lambda: preprocessing.encode_labels(splits.validation_split(cleaning.drop_non_finite(rows, TARGET)), fitted),
         partition_by=["part"],
+        inputs=[layout.preprocessed("train"), layout.preprocessor],
     )
     fit, validation = (parts.filter(F.col("part") == p).drop("part") for p in ("fit", "validation"))
     departments = fitted.labels["departement"].count()

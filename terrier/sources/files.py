@@ -42,6 +42,32 @@ def has_mark(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path.rstrip('/')}/_COMPLETE")
 
 
+def fingerprint(spark: SparkSession, path: str) -> str:
+    """What is under a path, in a few calls whatever its size: bytes, files, and times of change.
+
+    Of a folder, the times are its own and that of its finishing mark, which every rewrite renews.
+    """
+    target, fs = _handle(spark, path)
+    if not fs.exists(target):
+        return "missing"
+    whole = fs.getContentSummary(target)
+    times = [fs.getFileStatus(target).getModificationTime()]
+    for mark in ("_SUCCESS", "_COMPLETE"):
+        at, _ = _handle(spark, f"{path.rstrip('/')}/{mark}")
+        if fs.exists(at):
+            times.append(fs.getFileStatus(at).getModificationTime())
+    return f"{whole.getLength()} bytes, {whole.getFileCount()} files, {times}"
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    target, fs = _handle(spark, path)
+    stream = fs.create(target, True)
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+
+
 def first_line(spark: SparkSession, path: str) -> str:
     """The first line of a text file; empty when there is none."""
     target, fs = _handle(spark, path)

@@ -7,6 +7,7 @@ from terrier.catalog.models import _project
 from terrier.catalog.registry import Tables
 from terrier.plans import pipeline
 from terrier.sources import registry
+from terrier.sources.files import first_line
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -50,3 +51,27 @@ def test_clean_to_predict(spark, layout):
     assert one.count() == 1
     assert one.first()["price_per_sq_meter"] > 0
     assert sorted(r["context"] for r in registry.read_runs(spark, layout.artifacts).collect()) == ["evaluate", "train"]
+
+
+def test_a_new_raw_table_renews_the_stages_made_from_it(spark, tmp_path):
+    own = _project(Tables(spark, FOLDER))
+    pipeline.run_clean(spark, own)
+    pipeline.run_preprocess(spark, own)
+    made = [own.merged, own.split, own.preprocessor, own.preprocessed("train")]
+
+    def notes():
+        return [first_line(spark, f"{p}/_MANIFEST") for p in made]
+
+    before = notes()
+    pipeline.run_clean(spark, own)
+    pipeline.run_preprocess(spark, own)
+    assert notes() == before
+
+    raw = spark.read.parquet(own.transactions)
+    smaller = raw.filter("n_pieces <= 3").toPandas()
+    spark.createDataFrame(smaller, raw.schema).write.mode("overwrite").parquet(own.transactions)
+    cleaned = pipeline.run_clean(spark, own)
+    assert cleaned.filter("n_pieces > 3").isEmpty()
+    train, test = pipeline.run_preprocess(spark, own)
+    assert all(a != b for a, b in zip(notes(), before))
+    assert train.count() + test.count() == spark.read.parquet(own.merged).count()
