@@ -20,6 +20,7 @@ from terrier.functions import (
     unique_city_id,
     upper_name,
 )
+from terrier.operators.fanout import balanced_join
 from terrier.operators.ranks import sort_spread
 from terrier.operators.series import align_to_spine, interpolate_linear, month_spine
 from terrier.schemas import CITY_MAPPING, CLEANED, TAX_BY_CITY, UNUSED_RAW_COLUMNS, cast_schema
@@ -148,10 +149,11 @@ def join_city_names(table: DataFrame, mapping: DataFrame, match_department: bool
     """Give each row of an economic table the city keys of its commune name.
 
     The name alone decides, so homonymous communes of several departments each get all rows of the
-    name. ``match_department`` also compares the department.
+    name. ``match_department`` also compares the department. A name with many rows on both sides is dealt
+    into cells of bounded output.
     """
     named = table.withColumn("ville", upper_name("ville"))
-    joined = named.join(mapping, "ville", "inner")
+    joined = balanced_join(named, mapping, ["ville"])
     if match_department:
         own = F.regexp_extract("unique_city_id", r"^\(([^,]+),", 1)
         joined = joined.filter(parse_integer("departement") == parse_integer(own))
