@@ -18,7 +18,7 @@ from terrier.llm.common import bounded_sample, portions
 #: remembers at most.
 BUCKETS = 1 << 13
 FIT_DOCS = 10_000
-MEMORY = 150_000
+MEMORY = 600_000
 #: Frequent words of the languages expected (fixed values). A text abstains where a tenth of its words or
 #: more hold letters that none of these languages has; other languages without such letters are not told apart.
 STOP_WORDS = frozenset(
