@@ -8,6 +8,8 @@ value by value, with a formula model in the registry.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame
@@ -82,23 +84,27 @@ class _Trained:
         done = preprocessing.apply_preprocessor(rows, self.fitted, keep=[modelling.TARGET])
         return preprocessing.encode_labels(done, self.fitted)
 
-    def scored_test(self, model: PipelineModel) -> DataFrame:
+    def scored_test(self, model: modelling.Model) -> DataFrame:
         return modelling.predict(modelling.drop_non_finite(self.encoded(self.test), modelling.TARGET), model)
 
+    @cached_property
+    def parts(self) -> tuple[DataFrame, DataFrame]:
+        """Encoded rows to fit on and rows to stop by."""
+        rows = splits.validation_split(modelling.drop_non_finite(self.train, modelling.TARGET))
+        done = preprocessing.apply_preprocessor(rows, self.fitted, keep=[modelling.TARGET, "part"])
+        parts = scratch.settle(preprocessing.encode_labels(done, self.fitted), "fit_validation")
+        return parts.filter("part = 'fit'").drop("part"), parts.filter("part = 'validation'").drop("part")
+
     def gbt(self):
-        rows = modelling.drop_non_finite(self.encoded(self.train), modelling.TARGET)
-        parts = scratch.settle(splits.validation_split(rows), "fit_validation")
-        return modelling.train_gbt(
-            parts.filter("part = 'fit'"), self.departments, parts.filter("part = 'validation'")
-        )
+        fit, validation = self.parts
+        return modelling.train_gbt(fit, self.departments, validation)
 
     def embedding(self):
-        return modelling.train_embedding_model(
-            scratch.settle(self.encoded(self.train), "encoded"), self.departments, self.cities
-        )
+        fit, validation = self.parts
+        return modelling.train_embedding_model(fit, self.departments, self.cities, validation=validation)
 
 
-def _facts(trained: _Trained, model: PipelineModel) -> DataFrame:
+def _facts(trained: _Trained, model: modelling.Model) -> DataFrame:
     """What any sound fit has to show: scored test rows, and an error on its own rows below that of their mean.
 
     The stand-ins' prices are drawn without regard to the features, so there is nothing to predict on other rows.

@@ -370,17 +370,40 @@ def _level(rows, pending, tree, open_nodes, used, count, categorical, rate, numb
                 [pa.array([-1], pa.int32())] * 3 + [pa.array([error[0]]), pa.array([error[1]])], names=["node", "feature", "bin", "g", "h"]
             )
 
-    def find(key: tuple, table: pd.DataFrame) -> pd.DataFrame:
-        node, feature = int(key[0]), int(key[1])
-        if node < 0:
-            found = (node, feature, 0.0, 0, None, 0.0, 0.0, float(table["g"].sum()), float(table["h"].sum()))
-        else:
-            found = best_split(node, feature, table["bin"], table["g"], table["h"], feature in categorical, l2, least)
-        return pd.DataFrame([found], columns=["node", "feature", "gain", "cut", "chosen", "left_g", "left_h", "g", "h"])
-
+    def find(batches):
+        def splits(columns):
+            node, feature, bins, g, h = columns
+            edges = np.flatnonzero(np.append(True, (node[1:] != node[:-1]) | (feature[1:] != feature[:-1])))
+            found = []
+            for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(node)], strict=True):
+                n, f = int(node[a]), int(feature[a])
+                if n < 0:
+                    found.append((n, f, 0.0, 0, None, 0.0, 0.0, float(g[a:b].sum()), float(h[a:b].sum())))
+                else:
+                    found.append(best_split(n, f, bins[a:b], g[a:b], h[a:b], f in categorical, l2, least))
+            return pd.DataFrame(found, columns=["node", "feature", "gain", "cut", "chosen", "left_g", "left_h", "g", "h"])
+
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
+            if held is not None:
+                columns = [np.concatenate(c) for c in zip(held, columns, strict=True)]
+            node, feature = columns[:2]
+            last = int(np.flatnonzero((node != node[-1]) | (feature != feature[-1]))[-1]) + 1 if (node[0], feature[0]) != (node[-1], feature[-1]) else 0
+            if last:  # the last histogram may go on in the next batch
+                yield pa.RecordBatch.from_pandas(splits([c[:last] for c in columns]), schema=kind, preserve_index=False)
+            held = [c[last:] for c in columns]
+        if held is not None:
+            yield pa.RecordBatch.from_pandas(splits(held), schema=kind, preserve_index=False)
+
+    whole, number_type, real = pa.int32(), pa.binary(), pa.float64()
+    kinds = [whole, whole, real, whole, number_type, real, real, real, real]
+    kind = pa.schema(list(zip(["node", "feature", "gain", "cut", "chosen", "left_g", "left_h", "g", "h"], kinds, strict=True)))
     sums = rows.mapInArrow(partial, _HISTOGRAM).repartition("node", "feature")
     sums = sums.groupBy("node", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
-    found = sums.groupBy("node", "feature").applyInPandas(find, _SPLIT).collect()
+    found = sums.sortWithinPartitions("node", "feature").mapInArrow(find, _SPLIT).collect()
     loss = next((r["g"] / r["h"] if r["h"] else float("inf") for r in found if r["node"] < 0), None)
     return loss, [r for r in found if r["node"] >= 0]
 

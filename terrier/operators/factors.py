@@ -282,15 +282,15 @@ def fit_factors(
     city_size: int = 32,
     rounds: int = 100,
     ridge: float = 1.0,
-    tolerance: float = 1e-5,
+    tolerance: float = 1e-3,
     seed: int = 42,
     prediction: str = "log_price",
 ) -> FactorModel:
     """Alternating ridge regressions: cities, departments, shared matrices.
 
-    Fitting ends after ``patience`` rounds without a lower error on validation rows, and the state of
-    the lowest is kept; without them, when the error on the fitted rows falls by less than ``tolerance`` of
-    itself. Columns must be complete. Cities and departments are whole-number codes.
+    Fitting ends after ``patience`` rounds in which the error on validation rows didn't fall by ``tolerance`` of
+    itself, and the state of the lowest is kept; without them, when the error on the fitted rows falls by
+    less than that in a round. Columns must be complete. Cities and departments are whole-number codes.
     """
     moments = fit.agg(F.avg(target), *[f(F.col(f"`{c}`").cast("double")) for c in numeric for f in (F.avg, F.stddev_pop)]).first()
     if moments[0] is None:
@@ -312,14 +312,17 @@ def fit_factors(
     matrix = np.concatenate([np.zeros((size, 1)), draw.normal(0, 1 / np.sqrt(size), (size, city_size + department_size))], axis=1)
     shared = Shared(matrix, city_size, {}, ridge)
     losses: list[float] = []
-    best, kept, before = 0, None, np.inf
+    best, mark, kept, before = 0, 0, None, np.inf
     for number in range(rounds + 1):
         step, fitted, held = _department_step(stats, shared)
         loss = held if validation is not None else fitted
         losses.append(float(loss))
         if kept is None or loss < losses[best]:
+            # Alternating steps gain a little for a long time: patience starts anew for a gain that counts.
+            if loss < losses[mark] * (1 - tolerance):
+                mark = number
             best, kept = number, Shared(shared.matrix, city_size, shared.departments, ridge)
-        stalled = number - best >= patience if validation is not None else before - fitted < tolerance * fitted
+        stalled = number - mark >= patience if validation is not None else before - fitted < tolerance * fitted
         if number == rounds or (stalled and number > 1):
             break
         before = fitted
