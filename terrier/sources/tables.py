@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from terrier.schemas import ECONOMIC_RAW, TRANSACTIONS_RAW
 from terrier.sources.files import first_line, list_names
+from terrier.sources.records import read_records
 
 # Entries of the raw folder that are not tables of their own.
 SKIPPED_RAW_ENTRIES = [
@@ -44,7 +45,8 @@ def load_csv_tables(
 ) -> dict[str, DataFrame]:
     """Every ``<name>.csv`` of a folder (of those named, if any) as ``{<name>_df: DataFrame}``.
 
-    Known tables are read with their schema, by column name; only unknown ones pay for inference.
+    Known tables are read with their schema, by column name, in a task for each file block; only unknown
+    ones pay for inference, and are one task a file.
     """
     schemas = {**ECONOMIC_RAW, **(schemas or {})}
     tables = {}
@@ -61,11 +63,12 @@ def _read_csv_by_name(spark: SparkSession, path: str, schema: T.StructType | Non
     """Read a CSV whose header may hold more columns, in another order, than the schema."""
     if schema is None:
         return spark.read.csv(path, header=True, inferSchema=True, escape='"', multiLine=True)
-    text = spark.read.csv(path, header=True, escape='"', multiLine=True)
-    known = [f for f in schema if f.name in text.columns]
-    if len(known) < len(schema):
+    # The header's names, as Spark's reader makes them unique; only the first record is read for them.
+    names = spark.read.csv(path, header=True, escape='"', multiLine=True).columns
+    if any(f.name not in names for f in schema):
         return spark.read.csv(path, header=True, inferSchema=True, escape='"', multiLine=True)
-    return text.select(*[_typed(f) for f in known])
+    text = read_records(spark, path, T.StructType([T.StructField(n, T.StringType()) for n in names]), header=True)
+    return text.select(*[_typed(f) for f in schema])
 
 
 def _typed(field: T.StructField) -> Column:
@@ -93,7 +96,9 @@ def _csv_split(
 ) -> DataFrame:
     """Typed rows and a last column that holds what a line has beyond its fields."""
     wide = T.StructType(schema.fields + [T.StructField(_OVERFLOW, T.StringType())])
-    return spark.read.csv(path, schema=wide, header=header, mode="PERMISSIVE", escape='"', multiLine=multi_line)
+    if multi_line:
+        return read_records(spark, path, wide, header)
+    return spark.read.csv(path, schema=wide, header=header, mode="PERMISSIVE", escape='"')
 
 
 def read_csv_typed(
@@ -101,20 +106,26 @@ def read_csv_typed(
 ) -> DataFrame:
     """Typed CSV read that skips lines with too many fields and pads short lines with NULL.
 
-    Quotes inside quoted fields are doubled. ``multi_line`` lets quoted fields hold line breaks; a file
-    is then one task, because it can't be split. One extra trailing column catches surplus fields; a row
-    that fills it is a bad line, which ``skipped_lines`` returns.
+    Quotes inside quoted fields are doubled. ``multi_line`` lets quoted fields hold line breaks; files are
+    then read at once, in a task for each block (``read_records``). One extra trailing column catches
+    surplus fields; a row that fills it is a bad line, which ``skipped_lines`` returns.
     """
-    rows = _csv_split(spark, path, schema, header, multi_line)
+    return _good(_csv_split(spark, path, schema, header, multi_line))
+
+
+def _good(rows: DataFrame) -> DataFrame:
     return rows.filter(F.col(_OVERFLOW).isNull()).drop(_OVERFLOW)
 
 
+def _surplus(rows: DataFrame) -> DataFrame:
+    return rows.filter(F.col(_OVERFLOW).isNotNull()).withColumnRenamed(_OVERFLOW, "surplus")
+
+
 def skipped_lines(
     spark: SparkSession, path: str | list[str], schema: T.StructType, header: bool = True, multi_line: bool = False
 ) -> DataFrame:
     """The lines that ``read_csv_typed`` leaves out, with what they hold beyond the fields as ``surplus``."""
-    rows = _csv_split(spark, path, schema, header, multi_line)
-    return rows.filter(F.col(_OVERFLOW).isNotNull()).withColumnRenamed(_OVERFLOW, "surplus")
+    return _surplus(_csv_split(spark, path, schema, header, multi_line))
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -146,16 +157,16 @@ def ingest_chunks(spark: SparkSession, folder: str, out: str, schema: T.StructTy
     """Combine ``transactions_chunk_*.csv`` of a folder into one Parquet dataset.
 
     Columns are taken by the names in each file's header, in whatever order; other columns are dropped
-    and missing ones NULL. Quoted fields may hold quotes (doubled) and line breaks, so a chunk is one task.
+    and missing ones NULL. Quoted fields may hold quotes (doubled) and line breaks; each record is parsed once.
     Lines with surplus fields go to ``<out>_skipped`` as JSON text, to be counted and looked at.
     """
     good, bad = [], []
     for paths, own in _by_header(spark, folder, schema):
-        rows = read_csv_typed(spark, paths, own, multi_line=True)
+        rows = _csv_split(spark, paths, own, header=True, multi_line=True)
         there = set(own.names)
         columns = [F.col(f"`{f.name}`") if f.name in there else F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
-        good.append(rows.select(*columns))
-        bad.append(skipped_lines(spark, paths, own, multi_line=True).select(F.to_json(F.struct("*")).alias("value")))
+        good.append(_good(rows).select(*columns))
+        bad.append(_surplus(rows).select(F.to_json(F.struct("*")).alias("value")))
     if not good:
         raise FileNotFoundError(f"no transactions_chunk_*.csv in {folder}")
     write_parquet(union_batches(*good), out)
