@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrier.functions import price_per_m2, year_month_numeric
-from terrier.operators.ranks import exact_quantiles
+from terrier.operators.ranks import column_quantiles, exact_quantiles
 
 
 def value_frequencies(df: DataFrame) -> DataFrame:
@@ -99,13 +99,15 @@ def _is_finite(value: Column) -> Column:
 def box_stats(df: DataFrame, columns: list[str]) -> DataFrame:
     """Quartiles, whiskers (furthest values within 1.5 quartile ranges) and outliers per column.
 
-    Infinite values are left out, as missing ones are. The whiskers of all columns take one scan.
+    Infinite values are left out, as missing ones are. The quartiles of all columns are searched together, and
+    their whiskers take one scan.
     """
+    numbers = [F.col(f"`{c}`").cast("double") for c in columns]
+    values = [F.when(_is_finite(v), v) for v in numbers]
+    found = column_quantiles(df, values, [0.25, 0.5, 0.75])
     quartiles, wanted = {}, []
-    for i, column in enumerate(columns):
-        value = F.col(f"`{column}`").cast("double")
-        value = F.when(_is_finite(value), value)
-        quartiles[column] = q1, _, q3 = tuple(exact_quantiles(df, value, [0.25, 0.5, 0.75]).values())
+    for i, (column, value) in enumerate(zip(columns, values, strict=True)):
+        quartiles[column] = q1, _, q3 = tuple(found[i].values())
         if q1 is not None:
             reach = 1.5 * (q3 - q1)
             inside = value.between(F.lit(q1 - reach), F.lit(q3 + reach))

@@ -54,23 +54,41 @@ class Extent:
 
 
 def extent(df: DataFrame, value: Column | str) -> Extent:
-    value = (F.col(value) if isinstance(value, str) else value).cast("double")
-    finite = value.isNotNull() & ~F.isnan(value) & (F.abs(value) != F.lit(math.inf))
-    row = df.agg(
-        F.min(F.when(finite, value)).alias("low"),
-        F.max(F.when(finite, value)).alias("high"),
-        F.count_if(finite).alias("finite"),
-        F.count_if(value == F.lit(-math.inf)).alias("minus"),
-        F.count_if(value == F.lit(math.inf)).alias("plus"),
-        F.count_if(value.isNull() | F.isnan(value)).alias("missing"),
-    ).first()
-    return Extent(**row.asDict())
+    return _extents(df, [F.col(value) if isinstance(value, str) else value])[0]
+
+
+def _extents(df: DataFrame, values: list[Column]) -> list[Extent]:
+    """The extents of several columns in one aggregate."""
+    wanted = []
+    for i, value in enumerate(v.cast("double") for v in values):
+        finite = value.isNotNull() & ~F.isnan(value) & (F.abs(value) != F.lit(math.inf))
+        wanted += [
+            F.min(F.when(finite, value)).alias(f"low{i}"),
+            F.max(F.when(finite, value)).alias(f"high{i}"),
+            F.count_if(finite).alias(f"finite{i}"),
+            F.count_if(value == F.lit(-math.inf)).alias(f"minus{i}"),
+            F.count_if(value == F.lit(math.inf)).alias(f"plus{i}"),
+            F.count_if(value.isNull() | F.isnan(value)).alias(f"missing{i}"),
+        ]
+    row = df.agg(*wanted).first() if wanted else ()
+    return [Extent(*row[6 * i : 6 * i + 6]) for i in range(len(values))]
 
 
 def locate_ranks(df: DataFrame, value: Column | str, ranks: list[int], known: Extent | None = None) -> dict[int, Hit]:
     """The hit for each zero-based rank in ascending order of ``value``; NULL and NaN are ignored."""
     column = (F.col(value) if isinstance(value, str) else value).cast("double")
     seen = known or extent(df, column)
+    hits, brackets = _begin(ranks, seen)
+    by_scale = bool(brackets) and _spans_scales(seen.low, seen.high)
+    while brackets:
+        found = [_scales(df, column)] if by_scale else _histogram(df, column, brackets)
+        by_scale = False
+        brackets = _narrow(brackets, found, hits)
+    return hits
+
+
+def _begin(ranks: list[int], seen: Extent) -> tuple[dict[int, Hit], list[tuple]]:
+    """The ranks that fall on infinite values, and the bracket (low, high, rows below, ranks) of the others."""
     hits: dict[int, Hit] = {}
     inside: list[int] = []
     for rank in sorted(set(ranks)):
@@ -82,21 +100,54 @@ def locate_ranks(df: DataFrame, value: Column | str, ranks: list[int], known: Ex
             hits[rank] = Hit(math.inf, seen.minus + seen.finite, seen.plus)
         else:
             inside.append(rank)
-    brackets = [(seen.low, seen.high, seen.minus, inside)] if inside else []
-    by_scale = bool(brackets) and _spans_scales(seen.low, seen.high)
-    while brackets:
-        finer = []
-        found = [_scales(df, column)] if by_scale else _histogram(df, column, brackets)
-        by_scale = False
-        for (low, high, below, wanted), buckets in zip(brackets, found):
-            for bucket in buckets:
-                held = [r for r in wanted if below <= r < below + bucket["n"]]
-                if held and bucket["low"] == bucket["high"]:
-                    hits.update({r: Hit(bucket["low"], below, bucket["n"]) for r in held})
-                elif held:
-                    finer.append((bucket["low"], bucket["high"], below, held))
-                below += bucket["n"]
-        brackets = finer
+    return hits, [(seen.low, seen.high, seen.minus, inside)] if inside else []
+
+
+def _narrow(brackets: list[tuple], found: list[list], hits: dict[int, Hit]) -> list[tuple]:
+    """The buckets that hold wanted ranks; those of a single value become hits."""
+    finer = []
+    for (_, _, below, wanted), buckets in zip(brackets, found, strict=True):
+        for bucket in buckets:
+            held = [r for r in wanted if below <= r < below + bucket["n"]]
+            if held and bucket["low"] == bucket["high"]:
+                hits.update({r: Hit(bucket["low"], below, bucket["n"]) for r in held})
+            elif held:
+                finer.append((bucket["low"], bucket["high"], below, held))
+            below += bucket["n"]
+    return finer
+
+
+def locate_ranks_of(df: DataFrame, values: list[Column], ranks: list[list[int]], seen: list[Extent]) -> list[dict[int, Hit]]:
+    """``locate_ranks`` of several columns in the scans of one: a slot of the histogram carries its column's number.
+
+    A scan returns at most HISTOGRAM_ROWS rows (the first one 4,200 for each column whose range is wide).
+    """
+    columns = [v.cast("double") for v in values]
+    begun = [_begin(r, e) for r, e in zip(ranks, seen, strict=True)]
+    hits, brackets = [b[0] for b in begun], [b[1] for b in begun]
+    wide = {i for i, own in enumerate(brackets) if own and _spans_scales(seen[i].low, seen[i].high)}
+    while any(brackets):
+        per = max(2, HISTOGRAM_ROWS // sum(map(len, brackets)))
+        places = []
+        for i, own in enumerate(brackets):
+            if own:
+                # A name in place of the expression: the value is computed once a row.
+                v = F.col(f"v{i}")
+                slot = F.when(F.abs(v) < F.lit(math.inf), _scale_slot(v)) if i in wide else _bracket_slot(v, own, per)
+                places.append(F.struct(F.lit(i).alias("i"), slot.cast("long").alias("slot"), v.alias("v")))
+        rows = (
+            df.select(*[c.alias(f"v{i}") for i, c in enumerate(columns) if brackets[i]])
+            .select(F.explode(F.array(*places)).alias("p"))
+            .filter(F.col("p.slot").isNotNull())
+            .groupBy("p.i", "p.slot")
+            .agg(F.count("*").alias("n"), F.min("p.v").alias("low"), F.max("p.v").alias("high"))
+            .collect()
+        )
+        found: list[list[list]] = [[[] for _ in own] for own in brackets]
+        for row in sorted(rows, key=lambda r: (r["i"], r["slot"])):
+            found[row["i"]][0 if row["i"] in wide else row["slot"] // per].append(row)
+        brackets = [_narrow(own, buckets, h) for own, buckets, h in zip(brackets, found, hits, strict=True)]
+        wide = set()
     return hits
 
 
@@ -160,34 +211,31 @@ def _scales(df: DataFrame, value: Column) -> list:
     Inside one, equal widths gain all their bits in every pass, so the number of passes has a bound for
     any distribution: the 52 bits of a double's fraction by those of the buckets.
     """
-    power = F.floor(F.log2(F.abs(F.col("v")))) + 1100
-    slot = F.when(F.col("v") == 0, 0).when(F.col("v") > 0, power).otherwise(-power)
     rows = (
         df.select(value.alias("v"))
         .filter(F.abs(F.col("v")) < F.lit(math.inf))
-        .groupBy(slot.cast("int").alias("slot"))
+        .groupBy(_scale_slot(F.col("v")).cast("int").alias("slot"))
         .agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
         .collect()
     )
     return sorted(rows, key=lambda r: r["slot"])
 
 
+def _scale_slot(v: Column) -> Column:
+    power = F.floor(F.log2(F.abs(v))) + 1100
+    return F.when(v == 0, 0).when(v > 0, power).otherwise(-power)
+
+
 def _histogram(df: DataFrame, value: Column, brackets: list[tuple]) -> list[list]:
     """Per bracket, its non-empty equal-width buckets in value order with count, min and max."""
     per = max(2, HISTOGRAM_ROWS // len(brackets))
     lows, highs = [b[0] for b in brackets], [b[1] for b in brackets]
-    v, i = F.col("v"), F.col("i")
-    low, high = F.get(_numbers(lows), i), F.get(_numbers(highs), i)
-    # Halved so that the width of a range beyond half the double maximum stays finite.
-    width = F.get(_numbers([high / 2 - low / 2 or 1.0 for low, high in zip(lows, highs)]), i)
-    share = (v / 2 - low / 2) / width
-    place = F.when(v >= high, per - 1).otherwise(F.least(F.floor(share * per), F.lit(per - 1)))
     rows = (
         df.filter(value.between(F.lit(lows[0]), F.lit(highs[-1])))
         .select(value.alias("v"))
-        .withColumn("i", _bracket_of(v, highs, 0, len(highs) - 1))
-        .filter(v >= low)
-        .groupBy((i * per + place).cast("long").alias("slot"))
+        .select("v", _bracket_slot(F.col("v"), brackets, per).alias("slot"))
+        .filter("slot is not null")
+        .groupBy("slot")
         .agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
         .collect()
     )
@@ -197,6 +245,18 @@ def _histogram(df: DataFrame, value: Column, brackets: list[tuple]) -> list[list
     return grouped
 
 
+def _bracket_slot(v: Column, brackets: list[tuple], per: int) -> Column:
+    """Bracket number times ``per`` plus the place among its equal widths; NULL outside all brackets."""
+    lows, highs = [b[0] for b in brackets], [b[1] for b in brackets]
+    i = _bracket_of(v, highs, 0, len(highs) - 1)
+    low, high = F.get(_numbers(lows), i), F.get(_numbers(highs), i)
+    # Halved so that the width of a range beyond half the double maximum stays finite.
+    width = F.get(_numbers([high / 2 - low / 2 or 1.0 for low, high in zip(lows, highs)]), i)
+    share = (v / 2 - low / 2) / width
+    place = F.when(v >= high, per - 1).otherwise(F.least(F.floor(share * per), F.lit(per - 1)))
+    return F.when((v >= low) & (v <= F.lit(highs[-1])), (i * per + place).cast("long"))
+
+
 def _numbers(values: list[float]) -> Column:
     return F.array(*[F.lit(x) for x in values])
 
@@ -210,6 +270,23 @@ def _bracket_of(value: Column, highs: list[float], first: int, last: int) -> Col
     return F.when(value <= F.lit(highs[middle]), left).otherwise(_bracket_of(value, highs, middle + 1, last))
 
 
+def column_quantiles(df: DataFrame, values: list[Column], shares: list[float]) -> list[dict[float, float | None]]:
+    """``exact_quantiles`` of several columns, as doubles, in the scans of one column."""
+    seen = _extents(df, values)
+    places = [{s: s * (e.rows - 1) for s in shares if e.rows} for e in seen]
+    hits = locate_ranks_of(df, values, [_neighbours(own) for own in places], seen)
+    return [{s: _at(found, own[s]) if own else None for s in shares} for own, found in zip(places, hits, strict=True)]
+
+
+def _neighbours(places: dict[float, float]) -> list[int]:
+    return sorted({r for place in places.values() for r in (math.floor(place), math.ceil(place))})
+
+
+def _at(hits: dict[int, Hit], place: float) -> float:
+    low, high = hits[math.floor(place)].value, hits[math.ceil(place)].value
+    return float(low) if low == high else low + (high - low) * (place - math.floor(place))
+
+
 def exact_quantiles(df: DataFrame, value: Column | str, shares: list[float]) -> dict[float, float | None]:
     """Quantiles with linear interpolation between neighbouring ranks."""
     whole = isinstance(value, str) and isinstance(df.schema[value].dataType, T.IntegralType)
@@ -217,14 +294,8 @@ def exact_quantiles(df: DataFrame, value: Column | str, shares: list[float]) ->
     if seen.rows == 0:
         return {share: None for share in shares}
     places = {share: share * (seen.rows - 1) for share in shares}
-    ranks = {r for place in places.values() for r in (math.floor(place), math.ceil(place))}
-    hits = (locate_whole_ranks if whole else locate_ranks)(df, value, sorted(ranks), seen)
-
-    def at(place: float) -> float:
-        low, high = hits[math.floor(place)].value, hits[math.ceil(place)].value
-        return float(low) if low == high else low + (high - low) * (place - math.floor(place))
-
-    return {share: at(place) for share, place in places.items()}
+    hits = (locate_whole_ranks if whole else locate_ranks)(df, value, _neighbours(places), seen)
+    return {share: _at(hits, place) for share, place in places.items()}
 
 
 def canonical_text(column: Column, kind: T.DataType) -> Column:

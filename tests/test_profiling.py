@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from terrier.operators import profiling
+from terrier.operators import profiling, ranks
 
 
 def test_histogram_matches_numpy(spark):
@@ -53,3 +53,37 @@ def test_infinite_values_are_left_out(spark):
     assert [r["n"] for r in profiling.histogram(table, "v", 2).orderBy("bin").collect()] == [1, 2]
     row = profiling.box_stats(table, ["v"]).first()
     assert (row["low"], row["median"], row["high"], row["outliers"]) == (1.0, 2.0, 3.0, 0)
+
+
+def test_quartiles_of_many_columns_take_the_scans_of_one(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    data = {
+        "a": rng.normal(size=400),
+        "b": np.exp(rng.normal(scale=40, size=400)),
+        "c": np.where(rng.random(400) < 0.4, 7.0, rng.normal(size=400) - 1e6),
+        "d": rng.integers(-3, 3, 400).astype(float),
+        "e": np.full(400, 2.5),
+        "f": np.full(400, np.nan),
+    }
+    data["a"][:9], data["a"][9] = np.inf, np.nan
+    df = spark.createDataFrame(list(zip(*[map(float, v) for v in data.values()])), ", ".join(f"{c} double" for c in data)).repartition(3)
+    scans = []
+    explode = ranks.F.explode
+    monkeypatch.setattr(ranks.F, "explode", lambda c: scans.append(c) or explode(c))
+    shares = [0.0, 0.25, 0.5, 0.75, 1.0]
+    every = ranks.column_quantiles(df, [ranks.F.col(c) for c in data], shares)
+    many = len(scans)
+    for found, (name, values) in zip(every, data.items(), strict=True):
+        assert found == ranks.exact_quantiles(df, name, shares)
+        known = values[np.isfinite(values)]
+        if name not in "af":
+            assert list(found.values()) == pytest.approx(np.quantile(known, shares).tolist(), rel=1e-9)
+    alone = []
+    for name in data:
+        scans.clear()
+        ranks.column_quantiles(df, [ranks.F.col(name)], shares)
+        alone.append(len(scans))
+    assert many <= max(alone) + 1 < sum(alone)
+    assert ranks.column_quantiles(df, [], shares) == []
+    box = {r.column: r for r in profiling.box_stats(df, list(data)).collect()}
+    assert box["e"].median == 2.5 and box["f"].median is None and box["a"].high < np.inf
