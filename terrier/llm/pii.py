@@ -1,10 +1,14 @@
-"""Personal data: rules propose, boosted trees on format and context select, thresholds are calibrated."""
+"""Personal data: rules propose, boosted trees on format and context select, thresholds are calibrated.
+
+The trees are grown from the examples of all documents. These are binned and counted once; each level of a tree
+is a job that sums gradients by leaf, feature and bin, and the driver sees these sums alone.
+"""
 
 from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -12,12 +16,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrier.llm.common import bounded_sample, map_rows
+from terrier.llm.common import bounded_sample, map_rows, worker_memory
 from terrier.sources.scratch import settle
 
 KINDS = ["email", "ip", "card", "phone", "secret"]
-#: Documents that the trees are fitted on at most; a fifth of them for each kind.
-FIT_DOCS = 20_000
+#: Bins of a feature at most, and steps of the probability by which thresholds are found.
+BINS = 16
+STEPS = 4096
+#: Whole numbers that gradients are summed as, so that the order of the sums changes no tree.
+UNIT = 1 << 26
 #: Log odds that evidence for or against a span adds to what the trees say.
 EVIDENCE = 4.0
 #: The trees' margin for a kind counts n / (n + SHRINK) with n candidates of its smaller class in the fit.
@@ -268,58 +275,73 @@ def _odds(score: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-score))
 
 
-def boost(x: np.ndarray, y: np.ndarray, rounds: int = 40, depth: int = 3, rate: float = 0.3, bins: int = 16) -> Boosted:
-    """Gradient boosting of the log loss with second-order leaf values, on binned features."""
-    mean = min(max(float(y.mean()), 1e-3), 1 - 1e-3)
+def _binned(x: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
+    """The number of edges below each value, one column per feature."""
+    return np.stack([np.searchsorted(e, c, side="left") for e, c in zip(edges, x.T, strict=True)], axis=1).astype(np.uint8)
+
+
+def _sums(bins: np.ndarray, y: np.ndarray, n: np.ndarray, model: Boosted, questions: list[tuple[int, float]]) -> np.ndarray:
+    """Gradients and curvatures of rows that stand for ``n`` each: whole numbers by (leaf, feature, bin, which)."""
+    p = _odds(model.margin(bins))
+    units = [np.rint(UNIT * w) * n for w in (y - p, p * (1 - p))]
+    leaf = np.zeros(len(bins), int)
+    for f, cut in questions:
+        leaf = 2 * leaf + (bins[:, f] > cut)
+    size = (1 << len(questions)) * BINS
+    cells = [[np.bincount(leaf * BINS + column, u, size).reshape(-1, BINS) for u in units] for column in bins.T]
+    return np.array(cells).transpose(2, 0, 3, 1).astype(np.int64)
+
+
+def _grow(sums: Callable[[Boosted, list], np.ndarray], edges: list[np.ndarray], mean: float, rounds: int, depth: int, rate: float) -> Boosted:
+    """Gradient boosting of the log loss with second-order leaf values, from what ``sums`` adds up over all rows."""
+    mean = min(max(mean, 1e-3), 1 - 1e-3)
     model = Boosted(bias=float(np.log(mean / (1 - mean))))
-    edges = [np.unique(np.quantile(c, np.linspace(0, 1, bins + 1)[1:-1])) for c in x.T]
-    binned = [np.searchsorted(e, c, side="left") for e, c in zip(edges, x.T, strict=True)]
-    margin = np.full(len(x), model.bias)
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-margin))
-        g, h = y - p, p * (1 - p)
-        leaf, questions = np.zeros(len(x), int), []
-        for level in range(depth):
+        questions: list[tuple[int, float]] = []
+        for _ in range(depth):
+            cells = sums(model, questions) / UNIT
             best = (-1.0, 0, 0)
-            for f, (column, edge) in enumerate(zip(binned, edges, strict=True)):
+            for f, edge in enumerate(edges):
                 if not len(edge):
                     continue
-                wide = len(edge) + 1
-                at = leaf * wide + column
-                sums = [np.bincount(at, w, (1 << level) * wide).reshape(-1, wide) for w in (g, h)]
-                left = [s.cumsum(axis=1)[:, :-1] for s in sums]
-                right = [s.sum(axis=1, keepdims=True) - lo for s, lo in zip(sums, left, strict=True)]
-                gain = (left[0] ** 2 / (left[1] + 1) + right[0] ** 2 / (right[1] + 1)).sum(axis=0)
+                left = cells[:, f].cumsum(axis=1)[:, : len(edge)]
+                right = cells[:, f].sum(axis=1)[:, None] - left
+                gain = (left[..., 0] ** 2 / (left[..., 1] + 1) + right[..., 0] ** 2 / (right[..., 1] + 1)).sum(axis=0)
                 cut = int(gain.argmax())
                 if gain[cut] > best[0]:
                     best = (float(gain[cut]), f, cut)
             _, f, cut = best
-            if not len(edges[f]):
+            if not len(edges[f]):  # all rows are alike
+                halves = cells[:, f].sum(axis=1)
                 break
-            questions.append((f, float(edges[f][cut])))
-            leaf = 2 * leaf + (binned[f] > cut)
-        size = 1 << len(questions)
-        values = rate * np.bincount(leaf, g, size) / (np.bincount(leaf, h, size) + 1)
-        model.trees.append((questions, values))
-        margin += values[leaf]
+            halves = np.stack([cells[:, f, : cut + 1].sum(axis=1), cells[:, f, cut + 1 :].sum(axis=1)], axis=1)
+            questions.append((f, cut))
+        leaves = halves.reshape(-1, 2)
+        model.trees.append((questions, rate * leaves[:, 0] / (leaves[:, 1] + 1)))
+    # Grown on bins; from here on, values are asked for.
+    model.trees = [([(f, float(edges[f][cut])) for f, cut in asked], leaves) for asked, leaves in model.trees]
     return model
 
 
-def calibrate(model: Boosted, x: np.ndarray, y: np.ndarray, precision: float = 0.95) -> None:
+def boost(x: np.ndarray, y: np.ndarray, rounds: int = 40, depth: int = 3, rate: float = 0.3) -> Boosted:
+    """Boosted trees of rows that are at hand."""
+    edges = [np.unique(np.quantile(c, np.linspace(0, 1, BINS + 1)[1:-1])) for c in x.T]
+    bins, one = _binned(x, edges), np.ones(len(x))
+    return _grow(lambda model, asked: _sums(bins, y, one, model, asked), edges, float(y.mean()), rounds, depth, rate)
+
+
+def calibrate(model: Boosted, steps: np.ndarray, precision: float = 0.95) -> None:
     """Per kind, the lowest threshold at which held-out candidates reach ``precision`` by the trees alone.
 
-    One false candidate more is counted than there are, so a few that are right don't suffice. A kind that never
-    gets there, or of which all held-out candidates are of one class, has UNCALIBRATED.
+    ``steps`` counts them all by kind, step of their probability and label. One false candidate more is counted
+    than there are, so a few that are right don't suffice. A kind that never gets there, or of which all held-out
+    candidates are of one class, has UNCALIBRATED.
     """
-    p = _odds(model.score(x, np.zeros(len(x))))
-    for k, kind in enumerate(KINDS):
-        own = x[:, 0] == k
-        order = np.argsort(-p[own], kind="stable")
-        score, hit = p[own][order], y[own][order]
-        good = np.cumsum(hit) >= precision * np.arange(2, len(hit) + 2)
-        good &= np.append(score[1:] != score[:-1], True)[: len(score)]
-        mixed = 0 < hit.sum() < len(hit)
-        model.thresholds[kind] = max(0.5, float(score[np.flatnonzero(good).max()])) if mixed and good.any() else UNCALIBRATED
+    for kind, counts in zip(KINDS, steps, strict=True):
+        above = counts[::-1].cumsum(axis=0)[::-1]
+        good = (above[:, 1] >= precision * (above.sum(axis=1) + 1)) & (counts.sum(axis=1) > 0)
+        mixed = (counts.sum(axis=0) > 0).all()
+        model.thresholds[kind] = max(0.5, float(np.flatnonzero(good).min() / STEPS)) if mixed and good.any() else UNCALIBRATED
 
 
 def _holding(texts: DataFrame, most: int) -> DataFrame:
@@ -347,42 +369,110 @@ def _holding(texts: DataFrame, most: int) -> DataFrame:
     return same.groupBy("k", "h").agg(F.first("text").alias("text")).select("k", "text")
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = FIT_DOCS) -> Boosted:
-    """Fit on the candidates of at most ``most`` documents that hold some; half calibrate the thresholds.
-
-    Each kind has a fifth of them, chosen by a hash. A candidate is an example if evidence supports it or
-    speaks against it; where it does both or neither, only ``find`` sees it, and the trees decide. The halves
-    are of texts, so copies of one fall on one side. Rows with a null id are not fitted on.
-    """
-    sample = _holding(docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("text")), most)
+def _examples(texts: DataFrame) -> DataFrame:
+    """kind, y, half, x of each candidate of (k, text) that evidence supports or speaks against, once for equal rows."""
 
     def rows(batches):
+        worker_memory("pii")
         for columns in batches:
-            found, labels, halves = [], [], []
-            for text in columns["text"].to_pylist():
-                base = set(base_spans(text or ""))
-                half = zlib.crc32((text or "").encode("utf-8", "surrogatepass")) % 2
-                for c in candidates(text or ""):
+            found: list[tuple] = []
+            for k, h, text in zip(*(columns[c].to_pylist() for c in ("k", "h", "text")), strict=True):
+                proposed = candidates(text)
+                base = set(base_spans(text)) if proposed else set()
+                half = zlib.crc32(text.encode("utf-8", "surrogatepass")) % 2
+                for at, c in enumerate(proposed):
                     if told := evidence(text, *c, base):
-                        found.append(features(text, *c))
-                        labels.append(int(told > 0))
-                        halves.append(half)
-            yield found, labels, halves
+                        found.append((k, h, at, KINDS.index(c[0]), int(told > 0), half, features(text, *c)))
+            if found:
+                yield tuple(map(list, zip(*found, strict=True)))
+
+    source = texts.filter("k is not null and text is not null").select(F.col("k").cast("string").alias("k"), F.xxhash64("text").alias("h"), "text")
+    found = map_rows(source, rows, "k string, h long, at int, kind int, y int, half int, x array<double>")
+    return settle(found.dropDuplicates(["k", "h", "at"]).drop("k", "h", "at"), "pii_examples")
+
+
+def _bin_edges(learn: DataFrame) -> list[np.ndarray]:
+    """Quantiles of each feature over all rows, of values to three decimals, so that there are few to count."""
+    cuts = [i / BINS for i in range(1, BINS)]
+    found = learn.agg(*[F.percentile(F.round(F.col("x")[f], 3), cuts).alias(f"x{f}") for f in range(N_FEATURES)]).first()
+    return [np.unique(np.array(q, float)) for q in found]
 
-    table = map_rows(sample, rows, "x array<double>, y int, half int").toPandas()
-    if table.empty:
+
+def _table(columns: dict) -> tuple[np.ndarray, ...]:
+    """Bins, label, count and kind of a batch of counted examples."""
+    bins = np.frombuffer(b"".join(columns["bins"].to_pylist()), np.uint8).reshape(-1, N_FEATURES)
+    return bins, *(columns[c].to_numpy().astype(float) for c in ("y", "n")), columns["kind"].to_numpy()
+
+
+def _summed(counted: DataFrame) -> Callable[[Boosted, list], np.ndarray]:
+    """What ``_sums`` adds up over all rows of ``counted``. A task sends its sums alone, at most 41 KB whatever it reads."""
+
+    def sums(model: Boosted, questions: list) -> np.ndarray:
+        def rows(batches):
+            total = np.zeros((1 << len(questions), N_FEATURES, BINS, 2), np.int64)
+            for columns in batches:
+                bins, y, n, _ = _table(columns)
+                total += _sums(bins, y, n, model, questions)
+            yield ([total.tobytes()],)
+
+        parts = [np.frombuffer(r[0], np.int64) for r in map_rows(counted, rows, "sums binary").collect()]
+        return np.sum(parts, axis=0).reshape(-1, N_FEATURES, BINS, 2)
+
+    return sums
+
+
+def fit(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    most: int | None = None,
+    rounds: int = 40,
+    depth: int = 3,
+    rate: float = 0.3,
+) -> Boosted:
+    """Fit on the candidates of all documents; those of half the texts calibrate the thresholds.
+
+    A candidate is an example if evidence supports it or speaks against it; where it does both or neither, only
+    ``find`` sees it, and the trees decide. The halves are of texts, so copies of one fall on one side. Equal
+    rows count once; rows with a null id are not fitted on. With ``most``, at most so many documents are read, a
+    fifth for each kind, chosen by a hash.
+    """
+    texts = docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("text"))
+    examples = _examples(texts if most is None else _holding(texts, most))
+    halves = {half: (n, positive) for half, n, positive in examples.groupBy("half").agg(F.count("*"), F.sum("y")).collect()}
+    if not halves:
         return Boosted(thresholds=dict.fromkeys(KINDS, UNCALIBRATED))
-    x, y, half = np.array(table["x"].tolist(), float), table["y"].to_numpy(float), table["half"].to_numpy()
-    order = np.lexsort((*x.T, y, half))  # whatever order the rows came in, the same trees
-    x, y, half = x[order], y[order], half[order]
-    learn = half == 0 if 0 < (half == 0).sum() < len(half) else np.ones(len(half), bool)
-    model = boost(x[learn], y[learn])
-    for k, kind in enumerate(KINDS):
-        known = y[learn & (x[:, 0] == k)]
-        fewer = min(known.sum(), len(known) - known.sum())
-        model.weights[kind] = float(fewer / (fewer + SHRINK))
-    held = ~learn if (~learn).any() else learn
-    calibrate(model, x[held], y[held])
+    both = len(halves) == 2  # else all rows do both
+    n, positive = halves[0] if both else next(iter(halves.values()))
+    edges = _bin_edges(examples.filter("half = 0") if both else examples)
+
+    def binned(batches):
+        for columns in batches:
+            x = columns["x"].flatten().to_numpy().reshape(-1, N_FEATURES)
+            yield columns["kind"], columns["y"], columns["half"], [b.tobytes() for b in _binned(x, edges)]
+
+    rows = map_rows(examples, binned, "kind int, y int, half int, bins binary")
+    counted = settle(rows.groupBy("kind", "y", "half", "bins").agg(F.count("*").alias("n")), "pii_bins")
+    learn, held = (counted.filter(f"half = {i}") if both else counted for i in (0, 1))
+    model = _grow(_summed(learn), edges, positive / n, rounds, depth, rate)
+    known = np.zeros((len(KINDS), 2))
+    for k, y, count in learn.groupBy("kind", "y").agg(F.sum("n")).collect():
+        known[k, y] = count
+    model.weights = {kind: float(few / (few + SHRINK)) for kind, few in zip(KINDS, known.min(axis=1), strict=True)}
+    # Bins of a row say on which side of an edge it lies, which is all that a tree asks.
+    asked = Boosted([([(f, int(np.searchsorted(edges[f], e))) for f, e in q], v) for q, v in model.trees], model.bias)
+
+    def stepped(batches):
+        for columns in batches:
+            bins, y, n, kind = _table(columns)
+            weight = np.array([model.weights[k] for k in KINDS])[kind]
+            step = np.minimum((STEPS * _odds(weight * asked.margin(bins))).astype(int), STEPS - 1)
+            yield kind, step, y.astype(int), n.astype(int)
+
+    steps = np.zeros((len(KINDS), STEPS, 2))
+    for kind, step, y, count in map_rows(held, stepped, "kind int, step int, y int, n long").groupBy("kind", "step", "y").agg(F.sum("n")).collect():
+        steps[kind, step, y] = count
+    calibrate(model, steps)
     return model
 
 
