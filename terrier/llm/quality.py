@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrier.llm.common import bounded_sample, portions
+from terrier.llm.common import bounded_sample, portions, worker_memory
 
 #: Buckets of the hashed features, documents that the scorer is fitted on at most, words that a task
 #: remembers at most.
@@ -66,6 +66,7 @@ class Reader:
     """Counts of texts from the outlines of their words, which are remembered."""
 
     def __init__(self):
+        worker_memory("quality")  # what other operators left in the worker goes
         self.forget()
 
     def forget(self):
@@ -78,7 +79,7 @@ class Reader:
         """For each text: its statistics (n words, then shares), buckets and their weights."""
         for part in portions([t or "" for t in texts]):
             split = [(t or "").split() for t in texts[part]]
-            new = set().union(*split) - self.codes.keys()
+            new = set().union(*split).difference(self.codes)
             if len(self.codes) + len(new) > MEMORY:
                 self.forget()
                 new = set().union(*split)
