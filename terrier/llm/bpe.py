@@ -6,9 +6,11 @@ import json
 import os
 import re
 from collections import Counter
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -109,19 +111,24 @@ def _byte_letters() -> dict[str, int]:
 
 
 def encode(
-    docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", most: int = TABLE_WORDS
+    docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", most: int = TABLE_WORDS, decoded: bool = False
 ) -> DataFrame:
     """doc_id, ids (binary, little-endian unsigned 32-bit): every text as the tokenizer encodes it.
 
     The ids of the words in the table are joined back by position inside the task that reads the text,
     so no text moves. Words outside the table are encoded once a task. Null text counts as empty and
     has no ids; rows with null or repeated ids are encoded as they come. Other columns are ignored.
+
+    With ``decoded``, the column text is what ``decode`` makes of the ids, in the same pass: a task then has one
+    Python worker, where one after the other takes two.
     """
     spark = docs.sparkSession
     table = word_table(word_counts(docs, text_col), vocabulary, most).toArrow()
     known = spark.sparkContext.broadcast((table["word"].to_pylist(), table["ids"].to_pylist()))
+    pieces = _sent_pieces(spark, vocabulary) if decoded else None
 
     def rows(batches):
+        piece = dict(zip(*pieces.value, strict=True)).__getitem__ if decoded else None
         tokenizer = _tokenizer(vocabulary)
         known_ids = WordIds(lambda texts: _ids(tokenizer, texts), MEMORY, dict(zip(*known.value, strict=True)))
         for columns in batches:
@@ -131,27 +138,31 @@ def encode(
                 found = known_ids.of(cut)
                 # Empty though there is a text: it isn't plain.
                 blobs = [f if c or not t else _ids(tokenizer, [t])[0] for t, c, f in zip(texts[part], cut, found, strict=True)]
-                yield keys[part], blobs
+                yield (keys[part], blobs, [_joined(b, piece) for b in blobs]) if decoded else (keys[part], blobs)
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    return map_rows(source, rows, "doc_id long, ids binary")
+    return map_rows(source, rows, "doc_id long, ids binary" + ", text string" * decoded)
+
+
+def _sent_pieces(spark: SparkSession, vocabulary: str) -> Broadcast:
+    table = piece_table(spark, vocabulary).toArrow()
+    return spark.sparkContext.broadcast((table["id"].to_pylist(), table["piece"].to_pylist()))
+
+
+def _joined(ids: bytes | None, piece: Callable[[int], bytes]) -> str:
+    return b"".join(map(piece, np.frombuffer(ids or b"", "<u4").tolist())).decode("utf-8", "replace")
 
 
 def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     """``encoded`` and the column text: each id is looked up in the piece table, whose size is that of
     the vocabulary, and the pieces are joined. Bytes that are no UTF-8 become U+FFFD."""
-    spark = encoded.sparkSession
-    table = piece_table(spark, vocabulary).toArrow()
-    known = spark.sparkContext.broadcast((table["id"].to_pylist(), table["piece"].to_pylist()))
+    known = _sent_pieces(encoded.sparkSession, vocabulary)
 
     def run(batches):
         pieces = dict(zip(*known.value, strict=True)).__getitem__
         small = (b.slice(i, 512) for b in batches for i in range(0, b.num_rows, 512))
         for given in small:
-            texts = [
-                b"".join(map(pieces, np.frombuffer(blob or b"", "<u4").tolist())).decode("utf-8", "replace")
-                for blob in given.column("ids").to_pylist()
-            ]
+            texts = [_joined(blob, pieces) for blob in given.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([*given.columns, pa.array(texts, pa.string())], names=[*given.schema.names, "text"])
 
     return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField("text", T.StringType())]))

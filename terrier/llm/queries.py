@@ -66,7 +66,7 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
     words = public_tokenizers.path("byte_bpe_50k.json")
-    return bpe.digests(bpe.decode(bpe.encode(_table(spark, folder, "documents"), words), words))
+    return bpe.digests(bpe.encode(_table(spark, folder, "documents"), words, decoded=True))
 
 
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
