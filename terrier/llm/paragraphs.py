@@ -7,10 +7,12 @@ from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrier.llm.common import map_rows, mix, shingles, words
+from terrier.llm.common import map_rows, mix, portions, shingles, words
 from terrier.llm.jaccard import bitmap, connect
 from terrier.sources.scratch import settle
 
@@ -39,30 +41,51 @@ def tune(threshold: float = 0.75, miss: float = 1e-4, stray: float = 0.05, chanc
 
 def _paragraphs(docs: DataFrame, bands: int, rows_each: int, min_words: int, width: int) -> DataFrame:
     """doc_id, paragraph, start, end, key (of the normalised words), bands."""
-    seeds = mix(np.arange(1, bands * rows_each + 1, dtype=np.uint64))[:, None]
+    # Fingerprints are mixed already: an odd factor deals each seed another order of them.
+    seeds = mix(np.arange(1, bands * rows_each + 1, dtype=np.uint64)) | np.uint64(1)
     factors = mix(np.arange(1001, 1001 + bands * rows_each, dtype=np.uint64)).reshape(bands, rows_each)
 
+    def sketched(lines: list[bytes]) -> np.ndarray:
+        # All lines at once: their shingles lie one after the other, and a minimum of each stretch is a line's.
+        words = _Words(lines, 1)
+        n = np.diff(np.append(words.first, len(words.owner)))
+        every = _windows(words.prints[0], width) if len(words.owner) >= width else np.empty(0, np.uint64)
+        inside = words.owner[: len(every)] == words.owner[width - 1 :]
+        own, long = every[inside], n >= width
+        starts = np.concatenate([[0], np.cumsum(n[long] - width + 1)[:-1]]).astype(int)
+        out = np.empty((len(lines), bands), np.int32)
+        with np.errstate(over="ignore"):
+            least = np.empty((len(lines), bands * rows_each), np.uint64)
+            for i in np.flatnonzero(~long).tolist():  # fewer words than a shingle has
+                least[i] = (shingles(lines[i].split(), width)[:1] * seeds).min(axis=0)
+            for i, seed in enumerate(seeds):
+                if len(own):
+                    least[long, i] = np.minimum.reduceat(own * seed, starts)
+            for i in range(bands):
+                both = least[:, i * rows_each : (i + 1) * rows_each] * factors[i]
+                out[:, i] = mix(both.sum(axis=1, dtype=np.uint64)) >> np.uint64(33)
+        return out
+
     def rows(batches):
         for columns in batches:
-            found = []
-            known: dict[int, list[int]] = {}
-            for doc, text in zip(columns["doc_id"].to_pylist(), columns["text"].to_pylist(), strict=True):
-                start = 0
-                for at, line in enumerate((text or "").split("\n")):
-                    if len(line) >= 2 * min_words - 1 and len(parts := words(line)) >= min_words:
-                        key = int.from_bytes(blake2b(b" ".join(parts), digest_size=8).digest(), "little", signed=True)
-                        if key not in known:
-                            least = mix(shingles(parts, width)[None, :] ^ seeds).min(axis=1).reshape(bands, rows_each)
-                            with np.errstate(over="ignore"):
-                                folded = mix((least * factors).sum(axis=1, dtype=np.uint64)) >> np.uint64(33)
-                            known[key] = folded.astype(np.int32).tolist()
-                        found.append((doc, at, start, start + len(line), key, known[key]))
-                    start += len(line) + 1
-                if len(found) >= 4096:
-                    yield tuple(map(list, zip(*found, strict=True)))
-                    found, known = [], {}
-            if found:
-                yield tuple(map(list, zip(*found, strict=True)))
+            texts, ids = columns["text"].to_pylist(), columns["doc_id"].to_pylist()
+            for part in portions([t or "" for t in texts], PORTION):
+                found = []
+                known: dict[int, bytes] = {}
+                for doc, text in zip(ids[part], texts[part], strict=True):
+                    start = 0
+                    for at, line in enumerate((text or "").split("\n")):
+                        if len(line) >= 2 * min_words - 1 and len(parts := words(line)) >= min_words:
+                            joined = b" ".join(parts)
+                            key = int.from_bytes(blake2b(joined, digest_size=8).digest(), "little", signed=True)
+                            known.setdefault(key, joined)
+                            found.append((doc, at, start, start + len(line), key))
+                        start += len(line) + 1
+                if found:
+                    place = {key: i for i, key in enumerate(known)}
+                    bits = sketched(list(known.values()))
+                    columns_out = list(map(list, zip(*found, strict=True)))
+                    yield *columns_out, list(bits[[place[key] for key in columns_out[-1]]])
 
     schema = "doc_id long, paragraph int, start long, end long, key long, bands array<int>"
     return map_rows(docs, rows, schema)
@@ -153,39 +176,57 @@ def repeated_passages(
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
-
-
-def _words_at(text: str) -> tuple[np.ndarray, ...]:
-    """Two 64-bit fingerprints of each word, its start and end in code points, and its line."""
-    raw = np.frombuffer(text.encode("utf-8", "surrogatepass").lower() + b" ", np.uint8)
-    space = _SPACE[raw]
-    inside = ~space
-    starts = np.flatnonzero(inside & np.append(True, space[:-1]))
-    if not len(starts):
-        return np.empty(0, np.uint64), np.empty(0, np.uint64), starts, starts, starts
-    ends = np.flatnonzero(space & np.append(False, inside[:-1]))
-    # A word's bytes, weighted by powers of an odd number from its start on, summed modulo 2^64.
-    edges = np.concatenate([[0], starts])
-    place = np.arange(len(raw)) - np.repeat(edges, np.diff(np.append(edges, len(raw))))
-    prints = []
-    for seed in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F):
-        with np.errstate(over="ignore"):
-            letters = mix(raw.astype(np.uint64) + np.uint64(seed) * (place.astype(np.uint64) + np.uint64(1)))
-        letters[space] = 0
-        prints.append(mix(np.add.reduceat(letters, starts)))
-    first = np.cumsum((raw & 0xC0) != 0x80) - 1  # the code point that a byte belongs to
-    line = np.cumsum(raw == 10)
-    return *prints, first[starts], first[ends], line[starts]
+#: Letters of the texts whose words are read at once (about).
+PORTION = 1 << 18
+#: Two tables of what a byte counts for; white space counts nothing.
+_BYTES = [mix(np.arange(i * 1000 + 1, i * 1000 + 257, dtype=np.uint64)) * ~_SPACE for i in (1, 2)]
+#: Bits of a window's place beside those of its fingerprint.
+_PLACE = np.uint64(31)
+
+
+class _Words:
+    """The words of some texts (or lower-cased bytes), one after the other: fingerprints (``sides`` of them), and where they stand."""
+
+    def __init__(self, texts: list, sides: int = 2):
+        parts = [t if isinstance(t, bytes) else t.encode("utf-8", "surrogatepass").lower() for t in texts]
+        self.raw = raw = np.frombuffer(b" ".join([*parts, b""]), np.uint8)
+        space = _SPACE[raw]
+        self.starts = starts = np.flatnonzero(~space & np.append(True, space[:-1]))
+        self.bytes = np.cumsum([0, *(len(p) + 1 for p in parts[:-1])])  # where texts begin
+        self.owner = np.searchsorted(self.bytes, starts, side="right") - 1
+        self.first = np.searchsorted(self.owner, np.arange(len(texts)))  # the first word of each text
+        self.prints = []
+        if not len(starts):
+            self.prints = [np.empty(0, np.uint64)] * sides
+            return
+        # A word's bytes, weighted by numbers that go by their place in it, summed modulo 2^64.
+        edges = np.concatenate([[0], starts])
+        place = np.arange(len(raw)) - np.repeat(edges, np.diff(np.append(edges, len(raw))))
+        for side in range(sides):
+            weight = mix(np.arange(side << 40, (side << 40) + int(place.max()) + 1, dtype=np.uint64)) | np.uint64(1)
+            with np.errstate(over="ignore"):
+                self.prints.append(mix(np.add.reduceat(_BYTES[side][raw] * weight[place], starts)))
+
+    def places(self) -> tuple[np.ndarray, ...]:
+        """Start and end of each word in code points, and its line, within its text."""
+        space = _SPACE[self.raw]
+        ends = np.flatnonzero(space & np.append(False, ~space[:-1]))
+        point = np.cumsum((self.raw & 0xC0) != 0x80)  # of the code point that a byte belongs to, from 1
+        line = np.cumsum(self.raw == 10)
+        at = self.bytes[self.owner]
+        return point[self.starts] - point[at], point[ends] - point[at], line[self.starts] - line[at] + (self.raw[at] == 10)
 
 
 def _windows(prints: np.ndarray, width: int) -> np.ndarray:
-    """A fingerprint of each ``width`` successive words."""
-    total = np.zeros(len(prints) - width + 1, np.uint64)
-    factors = mix(np.arange(1, width + 1, dtype=np.uint64)) | np.uint64(1)
-    with np.errstate(over="ignore"):
-        for i in range(width):
-            total += prints[i : i + len(total)] * factors[i]
-    return mix(total)
+    """A fingerprint of each ``width`` successive words, by doubling."""
+    done, turn = 1, 1
+    while done < width:
+        step = min(done, width - done)
+        a, b = (mix(np.array([2 * turn + i], np.uint64)) | np.uint64(1) for i in (0, 1))
+        with np.errstate(over="ignore"):
+            prints = mix(prints[: len(prints) - step] * a + prints[step:] * b)
+        done, turn = done + step, turn + 1
+    return prints
 
 
 def _slide(x: np.ndarray, width: int, least: np.ufunc) -> np.ndarray:
@@ -198,31 +239,39 @@ def _slide(x: np.ndarray, width: int, least: np.ufunc) -> np.ndarray:
     return x
 
 
-def _anchors(prints: np.ndarray, run: int, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and fingerprints of the windows of ``width`` words that are the least of their surroundings.
+def _anchors(words: _Words, run: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions of the windows of ``run`` words, the anchor of each, and the fingerprints of these anchors.
 
-    Every ``run`` successive words hold one at least, and which ones depends on those words alone.
+    A window's anchor is the least of its windows of ``width`` words (the first of equal ones), with the words
+    before it in the window's first half, or else behind it, that any window holds of which it is in that half.
+    So equal windows have equal anchors. An anchor is twice its position, and one more in the first half;
+    fingerprints are those of the distinct anchors, which ascend.
     """
+    prints = words.prints[0]
+    empty = np.empty(0, np.int64)
+    if len(prints) < run:
+        return empty, empty, np.empty(0, np.uint64)
     own = _windows(prints, width)
-    near = run - width + 1
-    least = _slide(own, near, np.minimum)
-    edge = np.zeros(near - 1, np.uint64)
-    at = np.flatnonzero(_slide(np.concatenate([edge, least, edge]), near, np.maximum) == own)
-    return at, own[at]
-
-
-def _stretches(places: list[tuple]) -> Iterator[tuple]:
-    """Runs of the sorted windows of one text: successive ones that are all kept, or all removed."""
-    run = None
-    for pos, start, end, line, doc, at, of_line, copies, removed in places:
-        if run and pos <= run[0] + 1 and removed == run[7]:
-            run[0], run[3], run[6] = pos, end, max(run[6], copies)
-        else:
-            if run:
-                yield tuple(run[1:])
-            run = [pos, line, start, end, doc, of_line, copies, removed]
-    if run:
-        yield tuple(run[1:])
+    near, half = run - width + 1, (run - width + 1) // 2
+    place = np.arange(len(own), dtype=np.uint64)
+    least = _slide(own >> _PLACE << _PLACE | place, near, np.minimum)
+    at = np.flatnonzero(words.owner[: len(least)] == words.owner[run - 1 :])  # windows within one text
+    spot = (least[at] & ((np.uint64(1) << _PLACE) - np.uint64(1))).astype(np.int64)
+    early = spot - at < half
+    code = 2 * spot + early
+    distinct = code[np.append(True, code[1:] != code[:-1])] if len(code) else code
+    before, behind = _windows(prints, width + half), _windows(prints, width + near - half)
+    side, spot = (distinct & 1).astype(bool), distinct >> 1
+    found = np.empty(len(distinct), np.uint64)
+    found[side] = behind[spot[side]]
+    found[~side] = ~before[spot[~side] - half]
+    return at, code, found
+
+
+def _pairs(lists: pa.Array) -> np.ndarray:
+    """The members of each list, each with the number of its list before it."""
+    n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    return np.repeat(np.arange(len(n)), n) << 32 | lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
 
 
 def shared_runs(
@@ -235,9 +284,9 @@ def shared_runs(
 ) -> DataFrame:
     """Runs of ``run`` or more words that stand elsewhere word for word, wherever lines break: columns as of ``repeated_passages``.
 
-    Words are compared after lower-casing A-Z; white space of any kind counts alike. Anchors, windows of
-    ``width`` words that are the least of their surroundings, are in every ``run`` words; windows of ``run``
-    words are counted where they hold an anchor that stands twice, which leaves out no window that repeats.
+    Words are compared after lower-casing A-Z; white space of any kind counts alike. Every window of ``run``
+    words has an anchor, its least window of ``width`` words with the words around; windows are counted where
+    their anchor stands twice, which leaves out no window that repeats.
     Windows are equal if two independent 64-bit fingerprints are. The first of equal windows, by document
     and position, stays; one that overlaps its own first place (a loop) stays too. Successive windows that
     stay, or that are removed, are one row: ``paragraph`` is the line where it starts, ``first_doc`` and
@@ -252,10 +301,14 @@ def shared_runs(
 
     def anchors(batches):
         for columns in batches:
-            for doc, text in zip(columns["doc_id"].to_pylist(), columns["text"].to_pylist(), strict=True):
-                if len(text) >= 2 * run - 1 and len((prints := _words_at(text)[0])) >= run:
-                    at, own = _anchors(prints, run, width)
-                    yield [doc] * len(at), at.astype(np.int32), own.astype(np.int64)
+            texts, ids = columns["text"].to_pylist(), columns["doc_id"].to_numpy()
+            for part in portions(texts, PORTION):
+                words = _Words(texts[part], 1)
+                _, code, own = _anchors(words, run, width)
+                if len(own):
+                    code = code[np.append(True, code[1:] != code[:-1])]
+                    owner = words.owner[code >> 1]
+                    yield ids[part][owner], (code - 2 * words.first[owner]).astype(np.int32), own.astype(np.int64)
 
     placed = settle(map_rows(source, anchors, "doc_id long, at int, anchor long"), "anchors")
     twice = placed.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
@@ -269,25 +322,26 @@ def shared_runs(
 
     def windows(batches):
         for columns in batches:
-            for doc, text, at, gone in zip(*(columns[c].to_pylist() for c in ("doc_id", "text", "marks", "gone")), strict=True):
-                low, high, start, end, line = _words_at(text)
-                if len(low) < run:
+            texts, ids = columns["text"].to_pylist(), columns["doc_id"].to_numpy()
+            for part in portions(texts, PORTION):
+                words = _Words(texts[part])
+                at, code, _ = _anchors(words, run, width)
+                owner = words.owner[at]
+                # Windows whose anchor stands twice, without those that touch a removed line.
+                good = np.isin(owner << 32 | code - 2 * words.first[owner], _pairs(columns["marks"][part]))
+                start, end, line = words.places()
+                lost = np.concatenate([[0], np.isin(words.owner << 32 | line, _pairs(columns["gone"][part])).cumsum()])
+                at = at[good & (lost[at + run] == lost[at])]
+                if not len(at):
                     continue
-                # Windows that hold a mark, without those that touch a removed line.
-                held, lost = np.zeros(len(low) + 1, int), np.zeros(len(low) + 1, int)
-                # Repeated ids share their marks, which may lie beyond the end of the shorter text.
-                own = np.array([a for a in at if a + width <= len(low)], int)
-                held[own + 1] = 1
-                lost[1:] = np.isin(line, gone or [])
-                held, lost = held.cumsum(), lost.cumsum()
-                n = len(low) - run + 1
-                good = (held[run - width + 1 :][:n] > held[:n]) & (lost[run:] == lost[:n])
-                pos = np.flatnonzero(good)
-                if len(pos):
-                    text_id = int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
-                    pair = [_windows(p, run)[pos].astype(np.int64) for p in (low, high)]
-                    spots = [x.astype(np.int32) for x in (pos, start[pos], end[pos + run - 1], line[pos])]
-                    yield [doc] * len(pos), [text_id] * len(pos), *pair, *spots
+                owner = words.owner[at]
+                named = np.zeros(len(texts[part]), np.int64)
+                for i in np.unique(owner).tolist():
+                    digest = blake2b(texts[part][i].encode("utf-8", "surrogatepass"), digest_size=8).digest()
+                    named[i] = int.from_bytes(digest, "little", signed=True)
+                pair = [_windows(p, run)[at].astype(np.int64) for p in words.prints]
+                spots = [x.astype(np.int32) for x in (at - words.first[owner], start[at], end[at + run - 1], line[at])]
+                yield ids[part][owner], named[owner], *pair, *spots
 
     schema = "doc_id long, text_id long, low long, high long, pos int, start int, end int, line int"
     places = settle(map_rows(marked, windows, schema), "windows")
@@ -299,28 +353,34 @@ def shared_runs(
     near = (F.col("doc_id") == F.col("first.doc_id")) & (F.col("pos") - F.col("first.pos") < run)
     repeats = places.join(groups, ["low", "high"]).select(
         "doc_id", "text_id", "pos", "start", "end", "line",
-        F.col("first.doc_id").alias("of_doc"), F.col("first.pos").alias("of_pos"), F.col("first.line").alias("of_line"),
+        F.col("first.doc_id").alias("of_doc"), F.col("first.line").alias("of_line"),
         "copies", (~near).alias("removed"),
     )
-    keys = ["doc_id", "text_id"]
+    keys, others = ["doc_id", "text_id"], ["start", "end", "line", "of_doc", "of_line", "copies"]
 
     def merge(batches):
-        last, held = None, []
-        fields = ["pos", "start", "end", "line", "of_doc", "of_pos", "of_line", "copies", "removed"]
-
-        def done():
-            return [[last[0]] * len(rows), *map(list, zip(*rows, strict=True))] if (rows := list(_stretches(held))) else None
-
+        # Successive windows of one text that are all kept, or all removed, are one row; the last may go on in the next batch.
+        held = None
         for columns in batches:
-            owners = zip(columns["doc_id"].to_pylist(), columns["text_id"].to_pylist(), strict=True)
-            for owner, *place in zip(owners, *(columns[f].to_pylist() for f in fields), strict=True):
-                if owner != last:
-                    if out := done():
-                        yield out
-                    last, held = owner, []
-                held.append(tuple(place))
-        if out := done():
-            yield out
+            rows = [columns[f].to_numpy(zero_copy_only=False) for f in (*keys, "pos", "removed", *others)]
+            if not len(rows[0]):
+                continue
+            if held:
+                rows = [np.concatenate([[h], r]) for h, r in zip(held, rows, strict=True)]
+            doc, text, pos, removed = rows[:4]
+            new = (doc[1:] != doc[:-1]) | (text[1:] != text[:-1]) | (pos[1:] > pos[:-1] + 1) | (removed[1:] != removed[:-1])
+            first = np.flatnonzero(np.append(True, new))
+            last = np.append(first[1:], len(doc)) - 1
+            runs = [r[first] for r in rows]
+            runs[2], runs[5] = pos[last], rows[5][last]
+            runs[-1] = np.maximum.reduceat(rows[-1], first)
+            held = [r[-1] for r in runs]
+            doc, _, _, removed, *rest = (r[:-1] for r in runs)
+            start, end, line, of_doc, of_line, copies = rest
+            yield doc, line, start, end, of_doc, of_line, copies, removed.astype(bool)
+        if held:
+            doc, _, _, removed, start, end, line, of_doc, of_line, copies = ([h] for h in held)
+            yield doc, line, start, end, of_doc, of_line, copies, [bool(removed[0])]
 
     dealt = repeats.repartition(*keys).sortWithinPartitions(*keys, "pos")
     schema = "doc_id long, paragraph int, start long, end long, first_doc long, first_paragraph int, copies long, removed boolean"
