@@ -21,6 +21,7 @@ from terrier.operators import modelling, preprocessing, splits
 from terrier.plans import pipeline
 from terrier.schemas import SCORING_REQUEST, STATELESS, TRANSACTIONS_RAW
 from terrier.sources import registry, scratch, tables
+from terrier.sources.files import remove_folder
 
 _FOLDS = """select (case when r <= (total % 5) * (total // 5 + 1) then (r - 1) // (total // 5 + 1)
   else total % 5 + (r - 1 - (total % 5) * (total // 5 + 1)) // (total // 5) end) as fold, o_totalprice as y
@@ -73,7 +74,10 @@ class _Trained:
 
     def __init__(self, t: Tables):
         self.t = t
-        parts = scratch.settle(splits.temporal_split(t.merged_stage), "parts")
+        # The merged rows are not read again once they are split.
+        path = t.scratch("merged")
+        parts = scratch.settle(splits.temporal_split(scratch.settle(t.merged, "merged", path)), "parts")
+        remove_folder(t.spark, path)
         self.train = parts.filter("part = 'train'").drop("part")
         self.test = parts.filter("part = 'test'").drop("part")
         self.fitted = preprocessing.fit_preprocessor(self.train)
@@ -110,7 +114,8 @@ def _facts(trained: _Trained, model: modelling.Model) -> DataFrame:
     The stand-ins' prices are drawn without regard to the features, so there is nothing to predict on other rows.
     """
     rows = modelling.drop_non_finite(trained.encoded(trained.train), modelling.TARGET)
-    own = modelling.evaluate_rmse(modelling.predict(rows, model)).first()["rmse"]
+    with scratch.own_shuffles_removed(trained.t.spark):
+        own = modelling.evaluate_rmse(modelling.predict(rows, model)).first()["rmse"]
     spread = rows.agg(F.stddev_pop(modelling.TARGET)).first()[0]
     return modelling.evaluate(trained.scored_test(model)).select(
         (F.col("row_count") > 0).alias("scored"),

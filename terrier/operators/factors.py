@@ -20,7 +20,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrier.sources.scratch import settle
+from terrier.sources.scratch import own_shuffles_removed, settle
 
 # What runs in tasks is shipped with the job, so executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -52,48 +52,124 @@ def _grouped(keys: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[starts], np.add.reduceat(sums, starts, axis=0)
 
 
-def _tables(batches, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    for b in batches:
-        if b.num_rows:
-            keys = np.stack([b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3)], axis=1)
-            plain = [b.column(i).to_numpy(zero_copy_only=False)[:, None] for i in (3, 4)]
-            yield keys, np.concatenate([*plain, _matrix(b.column(5), size), _matrix(b.column(6), size * size)], axis=1)
+def _summed_rows(rows: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """n, yy, t and S of each stretch of rows (y, x...)."""
+    x = np.concatenate([np.ones((len(rows), 1)), rows[:, 1:]], axis=1)
+    outer = (x[:, :, None] * x[:, None, :]).reshape(len(x), -1)
+    y = rows[:, :1]
+    return np.add.reduceat(np.concatenate([np.ones_like(y), y * y, x * y, outer], axis=1), starts, axis=0)
 
 
-def statistics(rows: DataFrame, size: int) -> DataFrame:
-    """Sums by city, part and department of rows (city, part, dep, y, x...), dealt and sorted by city.
+def _dealt(rows: DataFrame, size: int) -> DataFrame:
+    """Rows (city, part, dep, y, x...) dealt and sorted by city: few of a key as they are, more of them as their sums.
 
-    Batches are summed before the shuffle, so a city with a third of all rows is a row for each batch.
+    The rows of a key in a batch are one record: ``k`` rows of (y, x...) behind one another, or, where they would take
+    more room than their sums, n, yy, t and the upper half of S with a ``k`` of 0. So a city with a third of all
+    rows is a record for each batch, and no record is larger than its rows.
     """
+    upper = np.triu_indices(size)
+    half = 2 + size + len(upper[0])
 
     def partial(batches):
         for b in batches:
             if not b.num_rows:
                 continue
             keys = np.stack([b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3)], axis=1)
-            y = b.column(3).to_numpy(zero_copy_only=False)
-            x = np.stack([np.ones(len(y)), *(b.column(4 + i).to_numpy(zero_copy_only=False) for i in range(size - 1))], axis=1)
-            for start in range(0, len(y), 5000):
-                part = slice(start, start + 5000)
-                xs, ys = x[part], y[part, None]
-                outer = (xs[:, :, None] * xs[:, None, :]).reshape(len(xs), -1)
-                yield _batch(*_grouped(keys[part], np.concatenate([np.ones_like(ys), ys * ys, xs * ys, outer], axis=1)), size)
+            values = np.stack([b.column(3 + i).to_numpy(zero_copy_only=False) for i in range(size)], axis=1)
+            order = np.lexsort(keys.T[::-1])
+            keys, values = keys[order], values[order]
+            starts = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(axis=1)))
+            counts = np.diff(np.append(starts, len(keys)))
+            few = counts * size <= half
+            if few.any():
+                yield record(keys[starts[few]], counts[few], counts[few] * size, values[np.repeat(few, counts)])
+            if not few.all():
+                found = []
+                for start, n in zip(starts[~few].tolist(), counts[~few].tolist(), strict=True):
+                    whole = sum(_summed_rows(values[a : min(a + 5000, start + n)], np.zeros(1, np.int64)) for a in range(start, start + n, 5000))
+                    found.append(np.concatenate([whole[0, : 2 + size], whole[0, 2 + size :].reshape(size, size)[upper]]))
+                many = np.zeros(len(found), np.int64)
+                yield record(keys[starts[~few]], many, many + half, np.stack(found))
+
+    def record(keys, rows, lengths, values):
+        ends = np.append(0, np.cumsum(lengths)).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(values.ravel()))
+        arrays = [pa.array(keys[:, 0]), pa.array(keys[:, 1].astype(np.int32)), pa.array(keys[:, 2]), pa.array(rows.astype(np.int32)), lists]
+        return pa.RecordBatch.from_arrays(arrays, names=["city", "part", "dep", "k", "v"])
+
+    records = rows.mapInArrow(partial, "city long, part int, dep long, k int, v array<double>")
+    return records.repartition("city").sortWithinPartitions("city", "part", "dep")
+
+
+def _merged(batches, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Keys and sums of what was dealt; a table ends where a city ends."""
+    half = 2 + size + size * (size + 1) // 2
+
+    def tables():
+        for whole in batches:
+            for a in range(0, whole.num_rows, 512):
+                b = whole.slice(a, 512)
+                keys = np.stack([b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3)], axis=1)
+                rows = b.column(3).to_numpy(zero_copy_only=False).astype(np.int64)
+                values, lengths = b.column(4).flatten().to_numpy(zero_copy_only=False), np.where(rows, rows * size, half)
+                plain = np.repeat(rows > 0, lengths)
+                sums = np.empty((len(keys), 2 + size + size * size))
+                if plain.any():
+                    own = rows[rows > 0]
+                    sums[rows > 0] = _summed_rows(values[plain].reshape(-1, size), np.cumsum(own) - own)
+                if not plain.all():
+                    sums[rows == 0] = _whole(values[~plain].reshape(-1, half), size)
+                yield keys, sums
 
-    def merge(batches):
-        held = None
-        for keys, sums in _tables(batches, size):
-            if held is not None:
-                keys, sums = np.concatenate([held[0], keys]), np.concatenate([held[1], sums])
-            keys, sums = _grouped(keys, sums)
-            last = keys[:, 0] == keys[-1, 0]  # a city may go on in the next batch
-            if not last.all():
-                yield _batch(keys[~last], sums[~last], size)
-            held = keys[last], sums[last]
+    held = None
+    for keys, sums in tables():
         if held is not None:
-            yield _batch(*held, size)
+            keys, sums = np.concatenate([held[0], keys]), np.concatenate([held[1], sums])
+        keys, sums = _grouped(keys, sums)
+        last = keys[:, 0] == keys[-1, 0]  # a city may go on in the next batch
+        if not last.all():
+            yield keys[~last], sums[~last]
+        held = keys[last], sums[last]
+    if held is not None:
+        yield held
+
+
+def _whole(halves: np.ndarray, size: int) -> np.ndarray:
+    """Sums with all of S, from sums with its upper half."""
+    rows, columns = np.triu_indices(size)
+    s = np.empty((len(halves), size, size))
+    s[:, rows, columns] = s[:, columns, rows] = halves[:, 2 + size :]
+    return np.concatenate([halves[:, : 2 + size], s.reshape(len(halves), -1)], axis=1)
+
+
+def statistics(rows: DataFrame, size: int) -> DataFrame:
+    """Sums by city, part and department of rows (city, part, dep, y, x...), dealt and sorted by city."""
+
+    def merge(batches):
+        for keys, sums in _merged(batches, size):
+            yield _batch(keys, sums, size)
+
+    return _dealt(rows, size).mapInArrow(merge, _SUMS)
+
+
+def city_records(rows: DataFrame, size: int) -> DataFrame:
+    """The same sums with one record a city: its parts and departments, and for each n, yy, t and the upper half of S.
+
+    However the files of these are cut, a city stays whole, so passes over them need no shuffle.
+    """
+    upper = np.flatnonzero(np.triu(np.ones((size, size))).ravel()) + 2 + size
+
+    def merge(batches):
+        for keys, sums in _merged(batches, size):
+            starts = np.flatnonzero(np.append(True, keys[1:, 0] != keys[:-1, 0]))
+            ends = np.append(starts, len(keys)).astype(np.int32)
+            halves = np.concatenate([sums[:, : 2 + size], sums[:, upper]], axis=1)
+            lists = [pa.array(keys[:, 1].astype(np.int32)), pa.array(keys[:, 2]), pa.array(halves.ravel())]
+            widths = 1, 1, halves.shape[1]
+            arrays = [pa.ListArray.from_arrays(pa.array(ends * w), x) for w, x in zip(widths, lists, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(keys[starts, 0]), *arrays], names=["city", "part", "dep", "v"])
 
-    dealt = rows.mapInArrow(partial, _SUMS).repartition("city").sortWithinPartitions("city", "part", "dep")
-    return dealt.mapInArrow(merge, _SUMS)
+    return _dealt(rows, size).mapInArrow(merge, "city long, part array<int>, dep array<long>, v array<double>")
 
 
 @dataclass
@@ -129,17 +205,19 @@ def _cities(batches, shared: Shared) -> Iterator[tuple]:
 
 
 def _whole_cities(batches, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Tables that end where a city ends; a city has a row for each department and part, no more."""
-    held = None
-    for keys, sums in _tables(batches, size):
-        if held is not None:
-            keys, sums = np.concatenate([held[0], keys]), np.concatenate([held[1], sums])
-        last = keys[:, 0] == keys[-1, 0]
-        if not last.all():
-            yield keys[~last], sums[~last]
-        held = keys[last], sums[last]
-    if held is not None:
-        yield held
+    """Tables of some thousand keys that end where a city ends; a city has a row for each department and part, no more."""
+    half = 2 + size + size * (size + 1) // 2
+    for whole in batches:
+        if not whole.num_rows:
+            continue
+        counts = np.diff(whole.column(1).offsets.to_numpy())
+        pieces = np.cumsum(counts) // 4096
+        starts = np.flatnonzero(np.append(True, pieces[1:] != pieces[:-1]))
+        for a, z in zip(starts.tolist(), [*starts[1:].tolist(), len(pieces)], strict=True):
+            b = whole.slice(a, z - a)
+            city = np.repeat(b.column(0).to_numpy(zero_copy_only=False), counts[a:z])
+            part, dep, values = (b.column(i).flatten().to_numpy(zero_copy_only=False) for i in (1, 2, 3))
+            yield np.stack([city, part.astype(np.int64), dep], axis=1), _whole(values.reshape(-1, half), size)
 
 
 def _summed(stats: DataFrame, rows, width: int) -> dict[int, np.ndarray]:
@@ -166,7 +244,8 @@ def _summed(stats: DataFrame, rows, width: int) -> dict[int, np.ndarray]:
             )
 
     kind = "k long, v array<double>"
-    found = stats.mapInArrow(partial, kind).repartition("k").mapInArrow(merge, kind).collect()
+    with own_shuffles_removed(stats.sparkSession):
+        found = stats.mapInArrow(partial, kind).repartition("k").mapInArrow(merge, kind).collect()
     return {r["k"]: np.array(r["v"]) for r in found}
 
 
@@ -305,9 +384,7 @@ def fit_factors(
 
     both = rows(fit, 0) if validation is None else rows(fit, 0).union(rows(validation, 1))
     size = len(numeric) + 1
-    stored = settle(statistics(both, size), "city_sums")
-    # Files are read in pieces that may cut a city's rows apart, so they are dealt by city again.
-    stats = stored.repartition("city").sortWithinPartitions("city", "part", "dep")
+    stats = settle(city_records(both, size), "city_sums")
     draw = np.random.default_rng(seed)
     matrix = np.concatenate([np.zeros((size, 1)), draw.normal(0, 1 / np.sqrt(size), (size, city_size + department_size))], axis=1)
     shared = Shared(matrix, city_size, {}, ridge)
